@@ -95,15 +95,32 @@ def change_hash(*cols) -> Column:
 
 
 # Money aggregation.  Double sums depend on summation order, so two runs (or
-# two engines) can disagree in the last bits.  Money totals are summed exactly
-# in DECIMAL and returned as DOUBLE rounded to MONEY_SCALE places.
+# two engines) can disagree in the last bits.  Money totals are summed exactly:
+# every value becomes an integer count of 1e-8 units (``rint(x * 1e8)``; the
+# values here carry at most 6 decimals, so the product is within rounding noise
+# of an integer), the counts are summed as DECIMAL(38,0) (long-backed while
+# they fit in 18 digits, so no per-row BigDecimal), and the total is scaled
+# back once per group and returned as DOUBLE rounded to MONEY_SCALE places.
 SUM_SCALE = 8
 MONEY_SCALE = 6
+_LONG_SAFE = 9.0e10          # |x| * 1e8 stays inside a long below this
+
+
+def money_units(col) -> Column:
+    x = _c(col)
+    scaled = F.rint(x * float(10 ** SUM_SCALE))
+    return (F.when(F.abs(x) < _LONG_SAFE, scaled.cast("long").cast("decimal(38,0)"))
+            .otherwise(scaled.cast("decimal(38,0)")))
+
+
+def money_total(units_sum) -> Column:
+    """Exact decimal(38,0) count of 1e-8 units -> DOUBLE rounded to MONEY_SCALE."""
+    scaled = _c(units_sum) / F.lit(10 ** SUM_SCALE).cast("decimal(38,0)")
+    return F.round(scaled, MONEY_SCALE).cast(f"decimal(38,{MONEY_SCALE})").cast("double")
 
 
 def money_sum(col) -> Column:
-    exact = F.sum(_c(col).cast(f"decimal(38,{SUM_SCALE})"))
-    return F.round(exact, MONEY_SCALE).cast(f"decimal(38,{MONEY_SCALE})").cast("double")
+    return money_total(F.sum(money_units(col)))
 
 
 def money_sql(expr: str) -> str:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import valuation as V
+from .joins import bounded_broadcast
 
 # Fixed value: the reference scenario (a 12% NAV drop).
 DEFAULT_SCENARIOS: dict[str, dict[str, float]] = {"nav_down_12": {"*": 0.88}}
@@ -34,7 +35,7 @@ def _factor(shocks: Mapping[str, float]):
 def stressed_drawing_power(fhd: DataFrame, scheme: DataFrame,
                            scenarios: Mapping[str, Mapping[str, float]]) -> DataFrame:
     """(customer_id, scenario, drawing_power) under each scenario."""
-    per_cat = (fhd.join(scheme.select("scheme_code", "category"), "scheme_code")
+    per_cat = (fhd.join(bounded_broadcast(scheme.select("scheme_code", "category")), "scheme_code")
                .groupBy("customer_id", "category").agg(V.money_sum("dp_contrib").alias("dp")))
     grid = F.array(*[F.struct(F.lit(name).alias("scenario"), _factor(sh).alias("factor"))
                      for name, sh in scenarios.items()])

@@ -52,7 +52,6 @@ def build_silver_layer(lake: Lake) -> dict[str, DataFrame]:
 
 
 def build_gold_layer(lake: Lake, sil: dict[str, DataFrame], run_date: dt.date) -> dt.date:
-    spark = lake.spark
     # SCD2 customer dimension: first load, or merge into the current version.
     stage = gold.dim_customer_stage(sil["customer"])
     if lake.exists("gold", "dim_customer"):
@@ -77,7 +76,6 @@ def build_gold_layer(lake: Lake, sil: dict[str, DataFrame], run_date: dt.date) -
     lake.publish_replace(gold.customer_360(fld_pub), "gold", "customer_360")
     lake.publish_snapshot(gold.mart_portfolio_daily(fld_pub), "gold", "mart_portfolio_daily")
     lake.publish_snapshot(gold.mart_risk_daily(fld_pub), "gold", "mart_risk_daily")
-    _ = spark
     return as_of_value
 
 
@@ -90,13 +88,17 @@ def run_eod(spark: SparkSession, sf_dir: str, lake: Lake | None = None,
             run_date: dt.date | str = "2024-01-05",
             ingested_at: dt.datetime | None = None) -> EodResult:
     lake = lake or Lake(spark)
+    lake.autoflush = False
     run_date = dt.date.fromisoformat(run_date) if isinstance(run_date, str) else run_date
-    land_bronze(spark, sf_dir, lake, ingested_at)
-    sil = build_silver_layer(lake)
-    silver_report = quality.enforce(quality.run_suite(sil, "silver"))
-    as_of = build_gold_layer(lake, sil, run_date)
-    g = read_gold(lake, as_of)
-    gold_report = quality.enforce(quality.run_suite(g, "gold"))
+    try:
+        land_bronze(spark, sf_dir, lake, ingested_at)
+        sil = build_silver_layer(lake)
+        silver_report = quality.enforce(quality.run_suite(sil, "silver"))
+        as_of = build_gold_layer(lake, sil, run_date)
+        g = read_gold(lake, as_of)
+        gold_report = quality.enforce(quality.run_suite(g, "gold"))
+    finally:
+        lake.flush_audit()
     return EodResult(as_of, silver_report, gold_report)
 
 

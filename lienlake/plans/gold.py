@@ -4,11 +4,10 @@ Plan shape (one lazy plan per output, no driver round trip):
 
 * The as-of date is a scalar subquery (``max(nav_date)``) evaluated once per
   query and reused, instead of ``collect()`` + literal.
-* NAV-at-as-of and scheme LTV are joined first (both one row per scheme), so
-  the large holdings side is shuffled once, not twice.  A hot scheme only has
-  one row on the small side; AQE splits a skewed holdings partition if the
-  join stays sort-merge, or broadcasts the priced-scheme side when its
-  measured size is small.
+* NAV-at-as-of and scheme LTV are joined first (both one row per scheme) and
+  that side is broadcast behind a row-count check, so holdings are not
+  shuffled to be priced; a hot scheme costs nothing.  Beyond the bound the
+  join is sort-merge and AQE splits a skewed holdings partition.
 * Customer and loan rollups are hash aggregates with map-side partial
   aggregation, so a customer owning a third of the holdings is pre-summed per
   map task before it reaches the shuffle.
@@ -21,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import valuation as V
+from ..operators.joins import bounded_broadcast
 
 FHD_COLUMNS = ["customer_id", "scheme_code", "as_of_date", "units_pledged", "nav",
                "collateral_value", "dp_contrib", "lien_status"]
@@ -48,8 +48,13 @@ def asof_nav(nav: DataFrame, as_of: Column | None = None) -> DataFrame:
 
 def fact_holding_daily(holding: DataFrame, nav: DataFrame, scheme: DataFrame,
                        as_of: Column | None = None) -> DataFrame:
-    """Price every pledged holding at the as-of NAV and its scheme's LTV."""
-    priced = asof_nav(nav, as_of).join(scheme.select("scheme_code", "eligible_ltv_pct"), "scheme_code")
+    """Price every pledged holding at the as-of NAV and its scheme's LTV.
+
+    The priced-scheme side has one row per scheme; it is broadcast when its
+    row count is within the checked bound, so the holdings are not shuffled
+    for this join at all (otherwise a sort-merge join with AQE skew splits)."""
+    priced = bounded_broadcast(
+        asof_nav(nav, as_of).join(scheme.select("scheme_code", "eligible_ltv_pct"), "scheme_code"))
     h = holding.select("customer_id", "scheme_code", "units_pledged", "lien_status")
     j = h.join(priced, "scheme_code")
     return j.select(

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.valuation import money_sum
+from ..functions.valuation import money_sum, money_total, money_units
 
 
 def latest_as_of(df: DataFrame) -> DataFrame:
@@ -53,10 +53,10 @@ def dash_amc_exposure(fhd: DataFrame, dim_scheme: DataFrame, k: int = 10) -> Dat
     Holdings are pre-aggregated per scheme before the join, so the join sees
     one row per scheme instead of one per holding (a hot scheme costs nothing).
     """
-    per_scheme = fhd.groupBy("scheme_code").agg(F.sum(F.col("collateral_value").cast("decimal(38,8)")).alias("_v"))
+    per_scheme = fhd.groupBy("scheme_code").agg(F.sum(money_units("collateral_value")).alias("_v"))
     j = per_scheme.join(dim_scheme.select("scheme_code", "amc"), "scheme_code")
     agg = j.groupBy("amc").agg(F.sum("_v").alias("_v"))
-    return (agg.select("amc", F.round("_v", 6).cast("decimal(38,6)").cast("double").alias("exposure"))
+    return (agg.select("amc", money_total("_v").alias("exposure"))
             .orderBy(F.col("exposure").desc(), F.col("amc")).limit(k))
 
 

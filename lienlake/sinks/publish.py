@@ -34,10 +34,13 @@ def new_version() -> str:
 
 
 class Lake:
-    def __init__(self, spark: SparkSession, root: str | None = None, use_catalog: bool = False):
+    def __init__(self, spark: SparkSession, root: str | None = None, use_catalog: bool = False,
+                 autoflush: bool = True):
         self.spark = spark
         self.root = (root or lake_root(spark)).rstrip("/")
         self.use_catalog = use_catalog
+        self.autoflush = autoflush      # False: audit rows are written by flush_audit()
+        self._pending: list[tuple] = []
 
     # ---- locations ------------------------------------------------------
     def table_dir(self, layer: str, name: str) -> str:
@@ -72,8 +75,16 @@ class Lake:
     def _audit(self, layer: str, name: str, version: str, rows: int, path: str,
                as_of: dt.date | None = None) -> None:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        row = [(layer, name, version, as_of, int(rows or 0), now, path)]
-        (self.spark.createDataFrame(row, AUDIT_SCHEMA).coalesce(1)
+        self._pending.append((layer, name, version, as_of, int(rows or 0), now, path))
+        if self.autoflush:
+            self.flush_audit()
+
+    def flush_audit(self) -> None:
+        """Append the buffered audit rows (one small file per flush)."""
+        if not self._pending:
+            return
+        rows, self._pending = self._pending, []
+        (self.spark.createDataFrame(rows, AUDIT_SCHEMA).coalesce(1)
          .write.mode("append").parquet(f"{self.root}/audit"))
 
     def publish_replace(self, df: DataFrame, layer: str, name: str, audit: bool = True) -> str:
