@@ -18,13 +18,23 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      small: bool | None = None) -> DataFrame:
+    """Broadcast ``df`` if it is proven small.  ``small`` passes in a bound
+    already established for a superset (e.g. the dimension a one-row-per-key
+    frame is derived from), so the check runs once per dimension, not per join."""
+    if small is None:
+        small = fits_broadcast(df, max_rows)
+    return F.broadcast(df) if small else df
 
 
 def semi_join_valid(df: DataFrame, valid: DataFrame, on: str | Sequence[str],
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, small: bool | None = None) -> DataFrame:
     """Keep rows whose key exists in ``valid`` (a LEFT SEMI join).
 
     Distinct keys are pre-aggregated before the join so a duplicated key on
@@ -33,4 +43,4 @@ def semi_join_valid(df: DataFrame, valid: DataFrame, on: str | Sequence[str],
     """
     keys = [on] if isinstance(on, str) else list(on)
     ref = valid.select(*keys).distinct()
-    return df.join(bounded_broadcast(ref, max_broadcast_rows), keys, "left_semi")
+    return df.join(bounded_broadcast(ref, max_broadcast_rows, small), keys, "left_semi")

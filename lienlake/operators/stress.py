@@ -33,9 +33,11 @@ def _factor(shocks: Mapping[str, float]):
 
 
 def stressed_drawing_power(fhd: DataFrame, scheme: DataFrame,
-                           scenarios: Mapping[str, Mapping[str, float]]) -> DataFrame:
+                           scenarios: Mapping[str, Mapping[str, float]],
+                           scheme_small: bool | None = None) -> DataFrame:
     """(customer_id, scenario, drawing_power) under each scenario."""
-    per_cat = (fhd.join(bounded_broadcast(scheme.select("scheme_code", "category")), "scheme_code")
+    cats = bounded_broadcast(scheme.select("scheme_code", "category"), small=scheme_small)
+    per_cat = (fhd.join(cats, "scheme_code")
                .groupBy("customer_id", "category").agg(V.money_sum("dp_contrib").alias("dp")))
     grid = F.array(*[F.struct(F.lit(name).alias("scenario"), _factor(sh).alias("factor"))
                      for name, sh in scenarios.items()])
@@ -46,7 +48,7 @@ def stressed_drawing_power(fhd: DataFrame, scheme: DataFrame,
 
 def stress_revalue(fld: DataFrame, fhd: DataFrame, scheme: DataFrame,
                    scenarios: Mapping[str, Mapping[str, float]] | None = None,
-                   only_new_calls: bool = True) -> DataFrame:
+                   only_new_calls: bool = True, scheme_small: bool | None = None) -> DataFrame:
     """Loans whose margin status changes under each scenario.
 
     Output: scenario, loan_id, customer_id, outstanding, base_drawing_power,
@@ -58,7 +60,7 @@ def stress_revalue(fld: DataFrame, fhd: DataFrame, scheme: DataFrame,
                        F.col("drawing_power").alias("base_drawing_power"),
                        F.col("margin_call_flag").alias("base_margin_call"),
                        F.explode(names).alias("scenario"))
-    sdp = stressed_drawing_power(fhd, scheme, scenarios)
+    sdp = stressed_drawing_power(fhd, scheme, scenarios, scheme_small)
     j = loans.join(sdp, ["customer_id", "scenario"], "left")
     dp = F.coalesce(F.col("drawing_power"), F.lit(0.0))
     out = j.select(

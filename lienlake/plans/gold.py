@@ -47,14 +47,17 @@ def asof_nav(nav: DataFrame, as_of: Column | None = None) -> DataFrame:
 
 
 def fact_holding_daily(holding: DataFrame, nav: DataFrame, scheme: DataFrame,
-                       as_of: Column | None = None) -> DataFrame:
+                       as_of: Column | None = None, scheme_small: bool | None = None) -> DataFrame:
     """Price every pledged holding at the as-of NAV and its scheme's LTV.
 
     The priced-scheme side has one row per scheme; it is broadcast when its
     row count is within the checked bound, so the holdings are not shuffled
-    for this join at all (otherwise a sort-merge join with AQE skew splits)."""
+    for this join at all (otherwise a sort-merge join with AQE skew splits).
+    ``scheme_small``: the scheme dimension's bound, if already checked (the
+    priced side has at most one row per scheme)."""
     priced = bounded_broadcast(
-        asof_nav(nav, as_of).join(scheme.select("scheme_code", "eligible_ltv_pct"), "scheme_code"))
+        asof_nav(nav, as_of).join(scheme.select("scheme_code", "eligible_ltv_pct"), "scheme_code"),
+        small=scheme_small)
     h = holding.select("customer_id", "scheme_code", "units_pledged", "lien_status")
     j = h.join(priced, "scheme_code")
     return j.select(
@@ -148,10 +151,10 @@ def dim_customer_stage(customer: DataFrame) -> DataFrame:
     )
 
 
-def build_gold(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def build_gold(silver: dict[str, DataFrame], scheme_small: bool | None = None) -> dict[str, DataFrame]:
     """All gold frames as lazy plans sharing one as-of scalar subquery."""
     as_of = as_of_date(silver["nav"])
-    fhd = fact_holding_daily(silver["mf_holding"], silver["nav"], silver["scheme"], as_of)
+    fhd = fact_holding_daily(silver["mf_holding"], silver["nav"], silver["scheme"], as_of, scheme_small)
     fld = fact_loan_daily(silver["loan"], customer_collateral(fhd), last_payment(silver["repayment"]), as_of)
     return {
         "dim_scheme": silver["scheme"],

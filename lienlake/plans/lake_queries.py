@@ -189,7 +189,7 @@ FROM (
 WHERE outstanding > stressed_drawing_power AND NOT base_margin_call""")
 def _q(m):
     """Loans newly in margin call under each NAV shock scenario."""
-    return stress.stress_revalue(m.fld, m.fhd, m.silver["scheme"], STRESS_SCENARIOS)
+    return stress.stress_revalue(m.fld, m.fhd, m.silver["scheme"], STRESS_SCENARIOS, scheme_small=m.scheme_small)
 
 
 # ---- end of day ------------------------------------------------------------

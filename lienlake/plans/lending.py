@@ -11,6 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.joins import fits_broadcast
 from ..sources import adapter
 from . import gold, silver
 
@@ -24,9 +25,15 @@ class LendingModel:
     def src(self) -> dict[str, DataFrame]:
         return adapter.load_sources(self.spark, self.sf_dir)
 
+    @cached_property
+    def scheme_small(self) -> bool:
+        """One size check of the scheme dimension per model; every frame with
+        at most one row per scheme inherits it."""
+        return fits_broadcast(self.src["scheme"])
+
     @cached_property
     def silver(self) -> dict[str, DataFrame]:
-        return silver.build_silver(self.src)
+        return silver.build_silver(self.src, self.scheme_small)
 
     @cached_property
     def as_of(self):
@@ -35,7 +42,7 @@ class LendingModel:
     @cached_property
     def fhd(self) -> DataFrame:
         s = self.silver
-        return gold.fact_holding_daily(s["mf_holding"], s["nav"], s["scheme"], self.as_of)
+        return gold.fact_holding_daily(s["mf_holding"], s["nav"], s["scheme"], self.as_of, self.scheme_small)
 
     @cached_property
     def by_cust(self) -> DataFrame:

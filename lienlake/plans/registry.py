@@ -9,9 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions import valuation as V
+from ..operators.joins import bounded_broadcast
 from . import gold, serving, silver
 from .lending import LendingModel
 
@@ -45,7 +45,7 @@ def _q(m):
 
 @register("semi_valid_scheme")
 def _q(m):
-    return silver.valid_holdings(m.src["mf_holding"], m.silver["scheme"])
+    return silver.valid_holdings(m.src["mf_holding"], m.silver["scheme"], m.scheme_small)
 
 
 @register("latest_holding")
@@ -154,8 +154,8 @@ def _loan_cust(m):
 
 @register("val_drawing_power")
 def _q(m):
-    priced = gold.asof_nav(m.silver["nav"], m.as_of).join(
-        m.silver["scheme"].select("scheme_code", "eligible_ltv_pct"), "scheme_code")
+    priced = bounded_broadcast(gold.asof_nav(m.silver["nav"], m.as_of).join(
+        m.silver["scheme"].select("scheme_code", "eligible_ltv_pct"), "scheme_code"), small=m.scheme_small)
     h = m.silver["mf_holding"].select("holding_id", "scheme_code", "units_pledged")
     return h.join(priced, "scheme_code").select(
         "holding_id", "units_pledged", "nav", "eligible_ltv_pct",
@@ -204,4 +204,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["dash_top_margin_calls"](spark, sf_dir)
 
 
-__all__ = ["QUERIES", "flagship", "F"]
+__all__ = ["QUERIES", "flagship"]

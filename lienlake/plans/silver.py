@@ -47,10 +47,10 @@ def latest_nav(nav_clean: DataFrame) -> DataFrame:
     return latest(nav_clean, ["scheme_code", "nav_date"], ["published_at"])
 
 
-def valid_holdings(holding: DataFrame, scheme: DataFrame) -> DataFrame:
+def valid_holdings(holding: DataFrame, scheme: DataFrame, scheme_small: bool | None = None) -> DataFrame:
     """P5 + J1: non-negative units, scheme must exist."""
     out = _try_double(holding, "units_pledged").filter(F.col("units_pledged") >= 0)
-    return semi_join_valid(out, scheme, "scheme_code")
+    return semi_join_valid(out, scheme, "scheme_code", small=scheme_small)
 
 
 def latest_holding(holding_valid: DataFrame) -> DataFrame:
@@ -64,13 +64,13 @@ def clean_loan(loan: DataFrame) -> DataFrame:
     return out.filter(F.col("outstanding") >= 0)
 
 
-def build_silver(src: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def build_silver(src: dict[str, DataFrame], scheme_small: bool | None = None) -> dict[str, DataFrame]:
     scheme = clean_scheme(src["scheme"])
     return {
         "customer": tokenize_pii(src["customer"]),
         "scheme": scheme,
         "nav": latest_nav(clean_nav(src["nav"])),
-        "mf_holding": latest_holding(valid_holdings(src["mf_holding"], scheme)),
+        "mf_holding": latest_holding(valid_holdings(src["mf_holding"], scheme, scheme_small)),
         "loan": clean_loan(src["loan"]),
         "repayment": src["repayment"],
     }
