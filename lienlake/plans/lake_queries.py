@@ -39,7 +39,7 @@ LOAN_SCHEMA = T.StructType([
 
 def _reg(name, sql=None):
     def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: fn(LendingModel(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: fn(LendingModel.for_session(spark, sf_dir))
         if sql is not None:
             ORACLE_SQL[name] = sql
         return fn

@@ -17,10 +17,24 @@ from . import gold, silver
 
 
 class LendingModel:
+    """Lazy frames for one input directory.  ``for_session`` shares one model
+    per (session, directory): the frames are immutable plans, so sharing them
+    only saves driver-side plan construction and the scheme size check."""
+
+    _shared: dict[tuple[str, str], "LendingModel"] = {}
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
 
+    @classmethod
+    def for_session(cls, spark: SparkSession, sf_dir: str) -> "LendingModel":
+        key = (spark.sparkContext.applicationId, sf_dir)
+        m = cls._shared.get(key)
+        if m is None or m.spark is not spark:
+            m = cls._shared[key] = cls(spark, sf_dir)
+        return m
+
     @cached_property
     def src(self) -> dict[str, DataFrame]:
         return adapter.load_sources(self.spark, self.sf_dir)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import quality as Q
 from .lending import LendingModel
 
@@ -13,7 +11,7 @@ ORACLE_SQL = {}
 
 def _reg(name):
     def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: fn(LendingModel(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: fn(LendingModel.for_session(spark, sf_dir))
         return fn
     return deco
 
@@ -151,4 +149,3 @@ UNION ALL
 
 
 ORACLE_SQL.update(_oracles())
-_ = F

@@ -21,7 +21,7 @@ QUERIES: dict[str, Query] = {}
 
 def register(name: str):
     def deco(fn: Callable[[LendingModel], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: fn(LendingModel(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: fn(LendingModel.for_session(spark, sf_dir))
         QUERIES[name].__doc__ = fn.__doc__
         return fn
     return deco
