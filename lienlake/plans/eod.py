@@ -13,6 +13,7 @@ a failed gate is published.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,18 @@ GOLD_TABLES = ["dim_customer", "dim_scheme", "fact_holding_daily", "fact_loan_da
 SNAPSHOT_TABLES = {"fact_holding_daily", "fact_loan_daily", "mart_portfolio_daily", "mart_risk_daily"}
 
 
+# Independent tables of one layer are written as concurrent Spark jobs from
+# driver threads; the cluster scheduler interleaves their tasks.
+PARALLEL_WRITES = 4
+
+
+def run_parallel(tasks: dict, workers: int = PARALLEL_WRITES) -> dict:
+    """Run independent publish callables concurrently; re-raise the first failure."""
+    with ThreadPoolExecutor(max_workers=max(1, min(workers, len(tasks)))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 @dataclass
 class EodResult:
     as_of: dt.date
@@ -39,15 +52,18 @@ class EodResult:
 def land_bronze(spark: SparkSession, sf_dir: str, lake: Lake,
                 ingested_at: dt.datetime | None = None) -> dict[str, str]:
     """Every source table, stamped with lineage, published to bronze."""
-    return {name: lake.publish_replace(stamp_lineage(df, f"driver/{name}", ingested_at), "bronze", name)
-            for name, df in adapter.load_sources(spark, sf_dir).items()}
+    srcs = adapter.load_sources(spark, sf_dir)
+    return run_parallel({
+        name: (lambda name=name, df=df: lake.publish_replace(
+            stamp_lineage(df, f"driver/{name}", ingested_at), "bronze", name))
+        for name, df in srcs.items()})
 
 
 def build_silver_layer(lake: Lake) -> dict[str, DataFrame]:
     bronze = {name: lake.read("bronze", name) for name in adapter.SOURCES}
     frames = silver.build_silver(bronze)
-    for name, df in frames.items():
-        lake.publish_replace(df, "silver", name)
+    run_parallel({name: (lambda name=name, df=df: lake.publish_replace(df, "silver", name))
+                  for name, df in frames.items()})
     return {name: lake.read("silver", name) for name in frames}
 
 
@@ -58,12 +74,13 @@ def build_gold_layer(lake: Lake, sil: dict[str, DataFrame], run_date: dt.date) -
         dim = scd2.scd2_apply(lake.read("gold", "dim_customer"), stage, run_date)
     else:
         dim = scd2.scd2_initial(stage, run_date)
-    lake.publish_replace(dim, "gold", "dim_customer")
-    lake.publish_replace(sil["scheme"], "gold", "dim_scheme")
-
     as_of = gold.as_of_date(sil["nav"])
     fhd = gold.fact_holding_daily(sil["mf_holding"], sil["nav"], sil["scheme"], as_of)
-    lake.publish_snapshot(fhd, "gold", "fact_holding_daily")
+    run_parallel({
+        "dim_customer": lambda: lake.publish_replace(dim, "gold", "dim_customer"),
+        "dim_scheme": lambda: lake.publish_replace(sil["scheme"], "gold", "dim_scheme"),
+        "fact_holding_daily": lambda: lake.publish_snapshot(fhd, "gold", "fact_holding_daily"),
+    })
     # The as-of date is read once from the published fact (one small aggregate
     # over the partition column) and used to prune every later read.
     as_of_value = (lake.read_snapshot("gold", "fact_holding_daily")
@@ -73,9 +90,12 @@ def build_gold_layer(lake: Lake, sil: dict[str, DataFrame], run_date: dt.date) -
                                gold.last_payment(sil["repayment"]), F.lit(as_of_value))
     lake.publish_snapshot(fld, "gold", "fact_loan_daily")
     fld_pub = lake.read_snapshot("gold", "fact_loan_daily", as_of_value)
-    lake.publish_replace(gold.customer_360(fld_pub), "gold", "customer_360")
-    lake.publish_snapshot(gold.mart_portfolio_daily(fld_pub), "gold", "mart_portfolio_daily")
-    lake.publish_snapshot(gold.mart_risk_daily(fld_pub), "gold", "mart_risk_daily")
+    run_parallel({
+        "customer_360": lambda: lake.publish_replace(gold.customer_360(fld_pub), "gold", "customer_360"),
+        "mart_portfolio_daily": lambda: lake.publish_snapshot(
+            gold.mart_portfolio_daily(fld_pub), "gold", "mart_portfolio_daily"),
+        "mart_risk_daily": lambda: lake.publish_snapshot(gold.mart_risk_daily(fld_pub), "gold", "mart_risk_daily"),
+    })
     return as_of_value
 
 

@@ -18,6 +18,7 @@ itself (no second scan).
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -41,6 +42,7 @@ class Lake:
         self.use_catalog = use_catalog
         self.autoflush = autoflush      # False: audit rows are written by flush_audit()
         self._pending: list[tuple] = []
+        self._audit_lock = threading.Lock()   # publishes may run in parallel threads
 
     # ---- locations ------------------------------------------------------
     def table_dir(self, layer: str, name: str) -> str:
@@ -75,17 +77,21 @@ class Lake:
     def _audit(self, layer: str, name: str, version: str, rows: int, path: str,
                as_of: dt.date | None = None) -> None:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        self._pending.append((layer, name, version, as_of, int(rows or 0), now, path))
+        with self._audit_lock:
+            self._pending.append((layer, name, version, as_of, int(rows or 0), now, path))
         if self.autoflush:
             self.flush_audit()
 
     def flush_audit(self) -> None:
-        """Append the buffered audit rows (one small file per flush)."""
-        if not self._pending:
-            return
-        rows, self._pending = self._pending, []
-        (self.spark.createDataFrame(rows, AUDIT_SCHEMA).coalesce(1)
-         .write.mode("append").parquet(f"{self.root}/audit"))
+        """Append the buffered audit rows (one small file per flush).  Appends
+        to the audit directory are serialized: concurrent appends to one path
+        would share a staging directory."""
+        with self._audit_lock:
+            if not self._pending:
+                return
+            rows, self._pending = self._pending, []
+            (self.spark.createDataFrame(rows, AUDIT_SCHEMA).coalesce(1)
+             .write.mode("append").parquet(f"{self.root}/audit"))
 
     def publish_replace(self, df: DataFrame, layer: str, name: str, audit: bool = True) -> str:
         """K1: write a new version and make it current.  Returns its path."""
