@@ -59,3 +59,12 @@ def test_csv_permissive_keeps_corrupt_rows(spark, scratch):
     assert len(rows) == 2 and len(bad) == 1 and bad[0]["v"] is None
     with pytest.raises(Exception):
         files.read_csv(spark, f"{scratch}/bad", schema, mode="FAILFAST").collect()
+
+
+def test_catalog_table_is_repointed(spark, scratch):
+    lake = Lake(spark, scratch, use_catalog=True)
+    name = "t_" + scratch.rsplit("/", 2)[-2][:8]
+    lake.publish_replace(spark.createDataFrame([(1,)], "x int"), "gold", name)
+    lake.publish_replace(spark.createDataFrame([(2,), (3,)], "x int"), "gold", name)
+    assert lake.exists("gold", name)
+    assert sorted(r["x"] for r in spark.table(f"gold.{name}").collect()) == [2, 3]
