@@ -1,10 +1,13 @@
 """Stress revaluation (T9): reprice collateral under NAV shocks.
 
 A scenario maps asset category -> NAV multiplier (``"*"`` = any category).
-Drawing power is linear in NAV, so holdings are first reduced to one row per
-(customer, category) and only that reduced frame fans out over the scenario
-list (a generator over a literal array whose length is the caller's scenario
-count).  No join against a scenario table and no per-holding fan-out.
+Plan: one aggregation over the holdings computes every scenario's drawing
+power per customer at once (one column per scenario: no fan-out of holdings,
+no second aggregation).  The loan fact is joined on ``customer_id`` alone, so
+its existing customer partitioning is reused, and only then is each loan
+expanded into one row per scenario with a generator over a literal array
+whose length is the caller's scenario count.  No join against a scenario
+table.
 """
 
 from __future__ import annotations
@@ -35,15 +38,12 @@ def _factor(shocks: Mapping[str, float]):
 def stressed_drawing_power(fhd: DataFrame, scheme: DataFrame,
                            scenarios: Mapping[str, Mapping[str, float]],
                            scheme_small: bool | None = None) -> DataFrame:
-    """(customer_id, scenario, drawing_power) under each scenario."""
+    """(customer_id, _dp0, _dp1, ...): drawing power under each scenario."""
     cats = bounded_broadcast(scheme.select("scheme_code", "category"), small=scheme_small)
-    per_cat = (fhd.join(cats, "scheme_code")
-               .groupBy("customer_id", "category").agg(V.money_sum("dp_contrib").alias("dp")))
-    grid = F.array(*[F.struct(F.lit(name).alias("scenario"), _factor(sh).alias("factor"))
-                     for name, sh in scenarios.items()])
-    fanned = per_cat.select("customer_id", "dp", F.inline(grid))
-    return fanned.groupBy("customer_id", "scenario").agg(
-        V.money_sum(F.col("dp") * F.col("factor")).alias("drawing_power"))
+    h = fhd.select("customer_id", "scheme_code", "dp_contrib").join(cats, "scheme_code")
+    return h.groupBy("customer_id").agg(*[
+        V.money_sum(F.col("dp_contrib") * _factor(sh)).alias(f"_dp{i}")
+        for i, sh in enumerate(scenarios.values())])
 
 
 def stress_revalue(fld: DataFrame, fhd: DataFrame, scheme: DataFrame,
@@ -55,17 +55,19 @@ def stress_revalue(fld: DataFrame, fhd: DataFrame, scheme: DataFrame,
     stressed_drawing_power, shortfall, margin_call, newly_breached.
     """
     scenarios = scenarios or DEFAULT_SCENARIOS
-    names = F.array(*[F.lit(n) for n in scenarios])
+    sdp = stressed_drawing_power(fhd, scheme, scenarios, scheme_small)
     loans = fld.select("loan_id", "customer_id", "outstanding",
                        F.col("drawing_power").alias("base_drawing_power"),
-                       F.col("margin_call_flag").alias("base_margin_call"),
-                       F.explode(names).alias("scenario"))
-    sdp = stressed_drawing_power(fhd, scheme, scenarios, scheme_small)
-    j = loans.join(sdp, ["customer_id", "scenario"], "left")
-    dp = F.coalesce(F.col("drawing_power"), F.lit(0.0))
-    out = j.select(
-        "scenario", "loan_id", "customer_id", "outstanding", "base_drawing_power",
-        dp.alias("stressed_drawing_power"),
+                       F.col("margin_call_flag").alias("base_margin_call"))
+    j = loans.join(sdp, "customer_id", "left")
+    grid = F.array(*[F.struct(F.lit(name).alias("scenario"),
+                              F.coalesce(F.col(f"_dp{i}"), F.lit(0.0)).alias("stressed_drawing_power"))
+                     for i, name in enumerate(scenarios)])
+    per = j.select("loan_id", "customer_id", "outstanding", "base_drawing_power", "base_margin_call",
+                   F.inline(grid))
+    dp = F.col("stressed_drawing_power")
+    out = per.select(
+        "scenario", "loan_id", "customer_id", "outstanding", "base_drawing_power", "stressed_drawing_power",
         V.shortfall("outstanding", dp).alias("shortfall"),
         V.is_margin_call("outstanding", dp).alias("margin_call"),
         (V.is_margin_call("outstanding", dp) & ~F.col("base_margin_call")).alias("newly_breached"))

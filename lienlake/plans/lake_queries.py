@@ -175,17 +175,11 @@ SELECT scenario, loan_id, customer_id, outstanding, base_drawing_power, stressed
   outstanding > stressed_drawing_power AS margin_call,
   outstanding > stressed_drawing_power AND NOT base_margin_call AS newly_breached
 FROM (
-  SELECT g.scenario, l.loan_id, l.customer_id, l.outstanding, l.drawing_power AS base_drawing_power,
-    l.margin_call_flag AS base_margin_call, coalesce(s.drawing_power, 0e0) AS stressed_drawing_power
-  FROM g_fld l CROSS JOIN (VALUES ('nav_down_12'), ('equity_crash')) AS g(scenario)
-  LEFT JOIN (
-    SELECT customer_id, scenario, {V.money_sql('dp * factor')} AS drawing_power FROM (
-      SELECT customer_id, dp, 'nav_down_12' AS scenario, 0.88e0 AS factor FROM stress_pc
-      UNION ALL
-      SELECT customer_id, dp, 'equity_crash',
-        CASE WHEN category = 'EQUITY' THEN 0.7e0 WHEN category = 'HYBRID' THEN 0.85e0 ELSE 0.97e0 END FROM stress_pc)
-    GROUP BY customer_id, scenario) s
-  ON l.customer_id = s.customer_id AND g.scenario = s.scenario)
+  SELECT 'nav_down_12' AS scenario, loan_id, customer_id, outstanding, base_drawing_power, base_margin_call,
+    coalesce(dp0, 0e0) AS stressed_drawing_power FROM stress_loans
+  UNION ALL
+  SELECT 'equity_crash', loan_id, customer_id, outstanding, base_drawing_power, base_margin_call,
+    coalesce(dp1, 0e0) FROM stress_loans)
 WHERE outstanding > stressed_drawing_power AND NOT base_margin_call""")
 def _q(m):
     """Loans newly in margin call under each NAV shock scenario."""
@@ -211,9 +205,14 @@ def _q(m):
 def _finish():
     from .oracle import CTES, sql_for
     CTES.update(_SCD_CTES)
-    CTES["stress_pc"] = f"""
-SELECT f.customer_id, s.category, {V.money_sql('f.dp_contrib')} AS dp
-FROM g_fhd f JOIN x_scheme s ON f.scheme_code = s.scheme_code GROUP BY f.customer_id, s.category"""
+    CTES["stress_dp"] = f"""
+SELECT f.customer_id, {V.money_sql('f.dp_contrib * 0.88e0')} AS dp0,
+  {V.money_sql("f.dp_contrib * CASE WHEN s.category = 'EQUITY' THEN 0.7e0 WHEN s.category = 'HYBRID' THEN 0.85e0 ELSE 0.97e0 END")} AS dp1
+FROM g_fhd f JOIN x_scheme s ON f.scheme_code = s.scheme_code GROUP BY f.customer_id"""
+    CTES["stress_loans"] = """
+SELECT l.loan_id, l.customer_id, l.outstanding, l.drawing_power AS base_drawing_power,
+  l.margin_call_flag AS base_margin_call, d.dp0, d.dp1
+FROM g_fld l LEFT JOIN stress_dp d ON l.customer_id = d.customer_id"""
     for k, body in list(ORACLE_SQL.items()):
         ORACLE_SQL[k] = sql_for(body)
 
