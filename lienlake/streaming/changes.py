@@ -7,9 +7,9 @@ c (create), u (update), d (delete); ``seq`` orders the changes of a key.
 far, *including* deletes (kept as tombstones), so an older update arriving
 after a delete cannot resurrect the row.  The serving view drops tombstones.
 Each micro-batch is reduced to one record per key before it touches the
-table (partial aggregation, skew-safe), then merged with the previous table
-version by a full outer join on the key; the version is written to
-``v=<batch id>`` so a replayed batch is idempotent.
+table (partial aggregation, skew-safe), then merged into the hash buckets it
+touches (newest seq wins); only those buckets are rewritten, and a replayed
+batch is idempotent.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.latest import latest
-from .margin import _version, read_serving
+from ..sinks.upsert import DEFAULT_BUCKETS, read_bucketed, upsert_buckets
 
 OPS = ["r", "c", "u", "d"]
 
@@ -36,19 +36,16 @@ def decode_changes(raw: DataFrame, schema: str) -> DataFrame:
     return p.filter(F.col("op").isin(*OPS) & F.col("seq").isNotNull() & F.col("key").isNotNull())
 
 
-def merge_changes(table: DataFrame | None, batch: DataFrame) -> DataFrame:
-    """Newest record per key wins (ties: later op letter); tombstones kept."""
-    b = latest(batch.select("key", "seq", "op", "row"), ["key"], ["seq", "op"])
-    if table is None:
-        return b
-    return latest(table.select("key", "seq", "op", "row").unionByName(b), ["key"], ["seq", "op"])
+def newest(rows: DataFrame) -> DataFrame:
+    """Newest record per key (ties: later op letter); tombstones kept."""
+    return latest(rows, ["key"], ["seq", "op"])
 
 
-def changes_writer(root: str, name: str):
+def changes_writer(root: str, name: str, buckets: int = DEFAULT_BUCKETS):
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        old = read_serving(spark, root, name, before=batch_id)
-        merge_changes(old, batch).write.mode("overwrite").parquet(f"{root}/{name}/{_version(batch_id)}")
+        b = newest(batch.select("key", "seq", "op", "row"))
+        upsert_buckets(b, f"{root}/{name}", "key", buckets,
+                       resolve=lambda old, new: newest(old.unionByName(new)))
     return write
 
 
@@ -63,5 +60,5 @@ def run_apply_changes(changes: DataFrame, root: str, name: str, checkpoint: str)
 
 def current_rows(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Serving view: live rows only, flattened."""
-    t = read_serving(spark, root, name)
+    t = read_bucketed(spark, f"{root}/{name}")
     return t.filter(F.col("op") != "d").select("key", "seq", "row.*")
