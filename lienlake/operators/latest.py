@@ -19,10 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str] | str) -> DataFrame:
+def latest(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str] | str,
+           co_keys: Sequence[str] = ()) -> DataFrame:
+    """``co_keys``: columns the key determines (constant within a key), added
+    to the grouping so that an existing partitioning on them - e.g. from a
+    join on that column just upstream - satisfies the aggregation and no new
+    shuffle is needed.  Groups are unchanged because the key determines them."""
     if isinstance(order_cols, str):
         order_cols = [order_cols]
-    keys, order_cols = list(keys), list(order_cols)
+    keys = list(keys) + [c for c in co_keys if c in df.columns and c not in keys]
+    order_cols = list(order_cols)
     payload = [c for c in df.columns if c not in keys]
     ranked = order_cols + [c for c in payload if c not in order_cols]
     best = F.max(F.struct(*[F.col(c) for c in ranked])).alias("_best")

@@ -40,7 +40,7 @@ WHERE (v = 2 OR p_partkey % 10 = 0) AND NOT (v = 1 AND p_partkey % 97 = 0)""",
 SELECT l_orderkey * 8 + l_linenumber AS holding_id, o_custkey AS customer_id, l_partkey AS scheme_code,
   l_quantity AS units_pledged,
   CASE l_returnflag WHEN 'N' THEN 'REQUESTED' WHEN 'A' THEN 'MARKED' ELSE 'RELEASED' END AS lien_status,
-  CAST(l_shipdate AS DATE) AS as_of_date, l_suppkey, l_extendedprice
+  CAST(l_shipdate AS DATE) AS as_of_date, l_suppkey, l_extendedprice, l_orderkey
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 WHERE o_custkey % 20 <> 0""",
     "x_loan": """
@@ -55,7 +55,7 @@ FROM lineitem""",
 }
 
 HOLDING_COLS = ["holding_id", "customer_id", "scheme_code", "units_pledged", "lien_status",
-                "as_of_date", "l_suppkey", "l_extendedprice"]
+                "as_of_date", "l_suppkey", "l_extendedprice", "l_orderkey"]
 
 # --- silver ---
 CTES.update({

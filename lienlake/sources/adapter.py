@@ -97,7 +97,9 @@ def holdings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """x_holding_raw: one pledged holding per lineitem, owned by the order's customer.
 
     holding_id is not unique (the latest-row rule has real work to do).
-    Every 20th customer holds nothing.
+    Every 20th customer holds nothing.  ``l_orderkey`` is kept: it is
+    determined by holding_id (line numbers are 1..7), and the dedup reuses the
+    join's partitioning on it.
     """
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey",
                     "l_quantity", "l_returnflag", "l_shipdate", "l_suppkey", "l_extendedprice")
@@ -111,7 +113,7 @@ def holdings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").alias("units_pledged"),
         F.when(flag == "N", "REQUESTED").when(flag == "A", "MARKED").otherwise("RELEASED").alias("lien_status"),
         F.col("l_shipdate").cast("date").alias("as_of_date"),
-        "l_suppkey", "l_extendedprice",
+        "l_suppkey", "l_extendedprice", "l_orderkey",
     )
 
 
