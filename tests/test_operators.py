@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from lienlake.operators import quality as Q
 from lienlake.operators import scd2
@@ -137,4 +136,3 @@ def test_chart_query_modes(spark):
     assert g == {"A": 2, "B": 1}
     one = serving.chart_query(df, metrics=[("total", "SUM(v)")]).first()
     assert one["total"] == 8.0
-    _ = F
