@@ -143,7 +143,17 @@ UNION ALL
         _fk_sql("x_loan", "loan", "customer_id", "x_customer", "customer", "customer_id"),
         _fk_sql("x_repayment", "repayment", "loan_id", "x_loan", "loan", "loan_id"),
     ])
+    want = ", ".join(f"'{c}'" for c in Q.NAV_COLUMN_SET)
+    columns = f"""
+SELECT 'nav' AS table_name, 'expect_table_columns_to_match_set' AS expectation,
+  m.missing = '' AND u.unexpected = '' AS success, m.missing, u.unexpected, n.element_count
+FROM (SELECT coalesce(string_agg(w, ',' ORDER BY w), '') AS missing FROM unnest([{want}]) AS t(w)
+      WHERE w NOT IN (SELECT column_name FROM (DESCRIBE SELECT * FROM s_nav))) m,
+     (SELECT coalesce(string_agg(column_name, ',' ORDER BY column_name), '') AS unexpected
+      FROM (DESCRIBE SELECT * FROM s_nav) WHERE column_name NOT IN ({want})) u,
+     (SELECT count(*) AS element_count FROM s_nav) n"""
     return {"dq_silver": sql_for(silver), "dq_gold": sql_for(gold), "dq_score": sql_for(score),
+            "dq_columns": sql_for(columns),
             "dq_not_null": sql_for(nn), "dq_between": sql_for(between),
             "dq_unique": sql_for(unique), "dq_foreign_key": sql_for(fk)}
 
