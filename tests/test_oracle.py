@@ -22,7 +22,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_or_is_declared_rows_only():
-    rows_only = {"encode_ticks", "alert_json"}
+    rows_only = {"alert_json"}
     assert set(KEYS) - set(oracle_sql()) == rows_only
 
 
