@@ -21,9 +21,8 @@ def test_entry_runs(spark):
     assert len(rows) > 0
 
 
-def test_every_query_has_oracle_or_is_declared_rows_only():
-    rows_only = {"alert_json"}
-    assert set(KEYS) - set(oracle_sql()) == rows_only
+def test_every_query_has_an_oracle():
+    assert set(KEYS) - set(oracle_sql()) == set()
 
 
 @pytest.mark.parametrize("key", KEYS)
