@@ -4,17 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ngram_join
+from . import line_dedup, mixing, ngram_join, suffix_dedup
 from .common import read_table
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document with a passage of 50 words or more that another document has too."""
+    return suffix_dedup.passages_by_document(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per line that goes, with the line that stands for it."""
+    found = line_dedup.duplicate_lines(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "line_no", "keep_doc_id", "keep_line_no", "edits")
+
+
+def op9_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return ngram_join.jaccard_components(docs).select("doc_id", "n_shingles", "component_id")
 
 
 QUERIES = {
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
+    "op5_line_dedup": op5_line_dedup,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
+    "op9_weighted_fair_mix": op9_weighted_fair_mix,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
