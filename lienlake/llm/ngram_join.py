@@ -14,18 +14,25 @@ nearly everything; T grows by ``spare`` to make up for them.  ``allocate``
 chooses the number of deep segments and spare shares of a band by cost: keys
 written against sets that are expected to meet by accident.
 
-Sets that share a key are candidates, but a group of thousands of near copies
-is never expanded into its pairs.  The smallest member of a key's group is its
-leader L; every member x is compared with L exactly.  For two members x and y
-of L's groups that are still in different components, with a = shingles added
-to L and r = shingles of L that are missing,
+Sets that share a key are candidates.  The pairs of a group of up to ``SMALL``
+sets are written out, first held against each other by fingerprints: the
+shingles hashed into cells, of which those that differ are a lower bound of
+the difference.  What may still link is compared exactly.
 
-    |x ^ y| = a_x + a_y - 2 * common additions + |r sets' difference|
+A larger group, such as thousands of near copies, is never expanded into its
+pairs.  The member that stands in most such groups is its leader L, and every
+member x is compared with L exactly.  For two members x and y of L's groups that are still in
+different components, with a = shingles added to L and r = shingles of L that
+are missing,
 
-so either they share an added shingle - then (L, shingle) is a new, smaller
-key, and the step repeats, with larger leaders each time - or
+    |x ^ y| = a_x + a_y - 2 * common additions + |difference of what is missing|
+
+so either they share an added shingle - then (L, shingle) is a key of the next
+round, whose leader comes later in that order, so rounds end - or
 a_x + a_y + |r_x - r_y| <= H(x, y), which needs one that lacks more of L than
-it adds; those are joined on L and on how much they need or allow.  No link is lost.
+it adds; those are joined on L and on how much they need or allow.  A linked
+pair misses at most (1 - threshold) of either set, so that many additions and
+one more, in hash order, are enough to meet.  No link is lost.
 
 Cases: a null or blank text has no shingles and links with nothing; a text of
 fewer words than a shingle is one shingle; equal sets are one node from the
@@ -51,6 +58,9 @@ from .tokens import Hasher, byte_texts, chunks, joined, mix, signed
 #: Ratio between the sizes at which bands end.
 BAND = 1.6
 
+#: Groups of up to so many sets are expanded into their pairs; larger ones are solved through a leader.
+SMALL = 16
+
 
 def shingle_sets(hasher: Hasher, texts: list, k: int) -> list:
     """Sorted distinct shingle hashes of each text of a chunk."""
@@ -136,6 +146,32 @@ def keys_of(shingles, b: int, plan: tuple[int, int, int]):
     return np.unique(np.concatenate(found))
 
 
+def fingerprint(shingles) -> bytes:
+    """A byte for each of 2^i cells, n/4 to n/2 of them: the sum of the codes of the shingles there."""
+    cells = 1 << max((len(shingles) - 1).bit_length() - 2, 0)
+    at = (mix(shingles, 41) % np.uint64(cells)).astype(np.int64)
+    return np.bincount(at, mix(shingles, 43) % np.uint64(256), cells).astype(np.int64).astype(np.uint8).tobytes()
+
+
+def _may_link(threshold: int):
+    """Pairs whose fingerprints differ in no more cells than linked sets can."""
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            kept = []
+            columns = [batch.column(c).to_pylist() for c in ("print", "other", "n", "m")]
+            for i, (x, y, n, m) in enumerate(zip(*columns)):
+                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+                while len(x) != len(y):  # cells of the larger one fold onto half as many
+                    x, y = (x, y) if len(x) > len(y) else (y, x)
+                    x = x[: len(x) // 2] + x[len(x) // 2 :]
+                if np.count_nonzero(x != y) <= most_different(n, m, threshold):
+                    kept.append(i)
+            yield batch.select(["sid", "leader"]).take(pa.array(kept, pa.int64()))
+    return run
+
+
 def _describe(k: int):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -143,12 +179,13 @@ def _describe(k: int):
         hasher = Hasher()
         for batch in batches:
             texts = byte_texts(batch.column("text"))
-            size, sid = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.uint64)
+            size, sid, prints = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.uint64), []
             for lo, hi in chunks(texts):
                 for i, s in enumerate(shingle_sets(hasher, texts[lo:hi], k), lo):
                     size[i], sid[i] = len(s), mix(mix(s, 3).sum(dtype=np.uint64), len(s))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("rk"), pa.array(size), pa.array(signed(sid))],
-                                             names=["doc_id", "rk", "n_shingles", "sid"])
+                    prints.append(fingerprint(s) if len(s) else b"")
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("rk"), pa.array(size), pa.array(signed(sid)),
+                                              pa.array(prints, pa.binary())], names=["doc_id", "rk", "n_shingles", "sid", "print"])
     return run
 
 
@@ -198,56 +235,72 @@ def _sets(k: int):
     return run
 
 
-def _groups(keyed: DataFrame) -> DataFrame:
-    """Members of keys that two or more sets share, with the key's leader."""
-    w = W.partitionBy("key")
-    return (keyed.select("key", "sid", F.min("sid").over(w).alias("leader"), F.max("sid").over(w).alias("last"))
-            .filter("leader <> last").drop("last"))
+def _groups(keyed: DataFrame, *key: str) -> DataFrame:
+    """Members (key, sid, part, turn) of keys that sets of two or more parts share, with the key's leader and size."""
+    w = W.partitionBy(*key)
+    return (keyed.select(*key, "sid", "part", "turn", F.min(F.struct("turn", "sid")).over(w)["sid"].alias("leader"),
+                         F.count("*").over(w).alias("size"), F.min("part").over(w).alias("p0"), F.max("part").over(w).alias("p1"))
+            .filter("p0 <> p1").drop("p0", "p1"))
+
+
+def _pairs_of_small(groups: DataFrame, *key: str) -> DataFrame:
+    """The pairs (sid, leader), leader the smaller, of different parts in groups of up to SMALL rows."""
+    members = groups.filter(F.col("size") <= SMALL).groupBy(*key).agg(F.sort_array(F.collect_set(F.struct("sid", "part"))).alias("of"))
+    pairs = F.flatten(F.transform("of", lambda x, i: F.transform(
+        F.filter(F.slice("of", i + 2, SMALL), lambda y: y["part"] != x["part"]),
+        lambda y: F.struct(y["sid"].alias("sid"), x["sid"].alias("leader")))))
+    return members.select(F.inline(pairs)).distinct()
 
 
 def _linked(n_x: Column, n_y: Column, both: Column, threshold: int) -> Column:
     return both * 100 >= F.lit(threshold) * (n_x + n_y - both)
 
 
-def _compare(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """For pairs (sid, leader): how many shingles each adds and lacks against its leader, and whether they link."""
+def _compare(pairs: DataFrame, sets: DataFrame, threshold: int, *more: str) -> DataFrame:
+    """For pairs (sid, leader, more columns): how many shingles each adds and lacks against its leader, and whether they link."""
     x = pairs.join(sets, "sid")
     y = sets.select(F.col("sid").alias("leader"), F.col("shingles").alias("of_leader"))
     both = F.size(F.array_intersect("shingles", "of_leader")).cast("long")
     return (x.join(y, "leader")
-            .select("sid", "leader", F.size("shingles").cast("long").alias("n"), F.size("of_leader").cast("long").alias("m"),
+            .select("sid", "leader", *more, F.size("shingles").cast("long").alias("n"), F.size("of_leader").cast("long").alias("m"),
                     both.alias("both"), F.array_except("shingles", "of_leader").alias("added"))
             .withColumn("linked", _linked(F.col("n"), F.col("m"), F.col("both"), threshold)))
 
 
-def similarity_links(keyed: DataFrame, sets_of, threshold: int) -> DataFrame:
-    """All links that the components need, as rows (a, b) of set ids.  ``keyed``: (key, sid); ``sets_of``: from
-    a table of sids to their (sid, shingles)."""
-    spark = keyed.sparkSession
-    groups = cut(_groups(keyed))
-    sets = cut(sets_of(groups.select("sid").distinct()))
-    links = spark.createDataFrame([], "a long, b long")
-    while True:
-        pairs = groups.select("sid", "leader").distinct().filter("sid <> leader")
-        seen = cut(_compare(pairs, sets, threshold))
-        links = cut(links.union(seen.filter("linked").select(F.col("sid").alias("a"), F.col("leader").alias("b"))))
-        group_of = cut(components(links))
-        # Members whose cluster is not one component yet, with the numbers the algebra above needs.
-        at = (seen.join(group_of.withColumnRenamed("node", "sid"), "sid", "left")
-              .withColumn("part", F.coalesce("root", "sid")).drop("root"))
-        at = at.withColumn("a", F.size("added").cast("long")).withColumn("r", F.col("m") - F.col("both"))
+def similarity_links(keyed: DataFrame, prints: DataFrame, sets_of, threshold: int) -> DataFrame:
+    """All links that the components need, as rows (a, b) of set ids.  ``keyed``: (key, sid); ``prints``: (sid, n,
+    print), one per set; ``sets_of``: from a table of sids to their (sid, shingles)."""
+    def likely(pairs: DataFrame) -> DataFrame:
+        of_leader = prints.select(F.col("sid").alias("leader"), F.col("n").alias("m"), F.col("print").alias("other"))
+        return pairs.join(prints, "sid").join(of_leader, "leader").mapInArrow(_may_link(threshold), "sid long, leader long")
+
+    groups = cut(_groups(keyed.select("key", "sid", F.col("sid").alias("part"), F.lit(0).cast("long").alias("turn")), "key"))
+    pairs = cut(likely(_pairs_of_small(groups, "key")))
+    # Sets that stand in most large groups, such as the text that others were copied from, lead them.
+    crowd = groups.filter(F.col("size") > SMALL).select("key", "sid")
+    turn = crowd.groupBy("sid").agg((-F.count("*")).alias("turn"))
+    first = F.min(F.struct("turn", "sid")).over(W.partitionBy("key"))["sid"]
+    large = cut(crowd.join(turn, "sid").select("sid", "turn", first.alias("leader")).distinct())
+    sets = cut(sets_of(pairs.select("sid").union(pairs.select("leader")).union(large.select("sid")).distinct()))
+    as_link = (F.col("sid").alias("a"), F.col("leader").alias("b"))
+    links = cut(_compare(pairs, sets, threshold).filter("linked").select(*as_link))
+    while not large.isEmpty():
+        seen = cut(_compare(large.filter("sid <> leader"), sets, threshold, "turn"))
+        links = cut(links.union(seen.filter("linked").select(*as_link)))
+        # Members of clusters that aren't one component yet, with the numbers that the algebra above needs.
+        part = F.coalesce("root", "sid").alias("part")
+        at = seen.join(components(links).withColumnRenamed("node", "sid"), "sid", "left").select(
+            *seen.columns, part, F.size("added").cast("long").alias("a"), (F.col("m") - F.col("both")).alias("r"))
         span = at.groupBy("leader").agg(F.min("part").alias("p0"), F.max("part").alias("p1"))
         open_ = cut(at.join(span.filter("p0 <> p1").select("leader"), "leader"))
-        near = _few_additions(open_, threshold)
-        found = _compare(near, sets, threshold).filter("linked").select(F.col("sid").alias("a"), F.col("leader").alias("b"))
-        links = cut(links.union(found))
-        # Members that share an added shingle make the groups of the next round.
-        shingle = open_.select(F.col("leader").alias("from"), "sid", "part", F.explode("added").alias("e"))
-        w = W.partitionBy("from", "e")
-        groups = cut(shingle.select("sid", F.min("sid").over(w).alias("leader"), F.min("part").over(w).alias("p0"),
-                                    F.max("part").over(w).alias("p1")).filter("p0 <> p1").select("sid", "leader").distinct())
-        if groups.isEmpty():
-            return links
+        # Members that share an added shingle meet again in the next round.
+        enough = F.floor(F.lit(100 - threshold) * F.col("n") / 100).cast("int") + 1
+        added = open_.select(F.col("leader").alias("from"), "sid", "part", "turn", F.explode(F.slice("added", F.lit(1), enough)).alias("shingle"))
+        groups = cut(_groups(added, "from", "shingle"))
+        pairs = likely(_pairs_of_small(groups, "from", "shingle")).union(_few_additions(open_, threshold)).distinct()
+        links = cut(links.union(_compare(pairs, sets, threshold).filter("linked").select(*as_link)))
+        large = cut(groups.filter(F.col("size") > SMALL).select("sid", "turn", "leader").distinct())
+    return links
 
 
 def _few_additions(open_: DataFrame, threshold: int) -> DataFrame:
@@ -275,7 +328,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per row of ``docs``: doc_id, rk (row key), n_shingles, component_id."""
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     base = base.withColumn("rk", row_key("doc_id", "text"))
-    rows = cut(base.mapInArrow(_describe(k), "doc_id long, rk long, n_shingles long, sid long"))
+    rows = cut(base.mapInArrow(_describe(k), "doc_id long, rk long, n_shingles long, sid long, print binary"))
     keyed = base.select("text").mapInArrow(_file(k, threshold), "key long, sid long")
 
     def sets_of(sids: DataFrame) -> DataFrame:
@@ -284,8 +337,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return (texts.mapInArrow(_sets(k), "sid long, shingles array<long>")
                 .groupBy("sid").agg(F.first("shingles").alias("shingles")))
 
-    root = components(similarity_links(keyed, sets_of, threshold))
     full = rows.filter("n_shingles > 0")
+    prints = full.groupBy("sid").agg(F.first("n_shingles").alias("n"), F.first("print").alias("print"))
+    root = components(similarity_links(keyed, prints, sets_of, threshold))
     least = full.groupBy("sid").agg(F.min("doc_id").alias("least"))
     least = least.join(root.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     whole = least.groupBy("root").agg(F.min("least").alias("component_id"))
