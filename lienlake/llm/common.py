@@ -44,3 +44,8 @@ def words(text: Column, pattern: str = SPACE) -> Column:
 def crc_bucket(id_col: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``."""
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(modulus))
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once per row, however often ``use`` mentions it."""
+    return F.element_at(F.transform(F.array(value), use), 1)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, ngram_join, suffix_dedup
+from . import decontamination, license_scan, line_dedup, mixing, ngram_join, quality_rules, secret_scan, suffix_dedup
 from .common import read_table
 
 
@@ -13,12 +14,34 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.passages_by_document(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    live = F.size(F.filter("spans", lambda s: s["live"])).cast("long")
+    return secret_scan.scan(docs).select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(secret_scan.digest(F.col("spans"), secret_scan.BASE), 256).alias("base_sha256"),
+        secret_scan.digest(F.col("spans")).alias("spans"), live.alias("n_live"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line that goes, with the line that stands for it."""
     found = line_dedup.duplicate_lines(read_table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", "line_no", "keep_doc_id", "keep_line_no", "edits")
 
 
+def op6_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(read_table(spark, sf_dir, "documents", "doc_id", "text")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item whose passage it holds."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    items = read_table(spark, sf_dir, "benchmark", "item_id", "text")
+    return decontamination.contaminated(docs, items).select("doc_id", "item_id", "first_word", "agreeing")
+
+
 def op9_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -29,11 +52,20 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(docs).select("doc_id", "n_shingles", "component_id")
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
+
+
 QUERIES = {
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
+    "op3_secret_ownership": op3_secret_ownership,
     "op5_line_dedup": op5_line_dedup,
+    "op6_quality_cascade": op6_quality_cascade,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_weighted_fair_mix": op9_weighted_fair_mix,
+    "op10_license_scan": op10_license_scan,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
