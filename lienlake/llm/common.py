@@ -49,3 +49,12 @@ def crc_bucket(id_col: str, modulus: int) -> Column:
 def let(value: Column, use) -> Column:
     """``use(value)`` with the value computed once per row, however often ``use`` mentions it."""
     return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def labelled_sample(labels: DataFrame, label_col: str, id_col: str, modulus: int, held_out: int, rows: int) -> DataFrame:
+    """(id, label) of about ``rows`` labelled ids at most, chosen by a hash of the id, none of them held out (crc32 of
+    the id as text, modulo ``modulus``).  An id with several labels counts once, with the largest."""
+    known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (crc_bucket(id_col, modulus) != held_out))
+    known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label"))
+    share = min(1.0, rows / max(known.count(), 1))
+    return known.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)))
