@@ -58,8 +58,9 @@ from .tokens import Hasher, byte_texts, chunks, joined, mix, signed
 #: Ratio between the sizes at which bands end.
 BAND = 1.6
 
-#: Groups of up to so many sets are expanded into their pairs; larger ones are solved through a leader.
-SMALL = 16
+#: Groups of up to so many sets are expanded into their pairs; larger ones are solved through a leader.  What a
+#: leader leaves over are few rows, of which larger groups may be expanded.
+SMALL, LEFT_OVER = 32, 128
 
 
 def shingle_sets(hasher: Hasher, texts: list, k: int) -> list:
@@ -243,11 +244,11 @@ def _groups(keyed: DataFrame, *key: str) -> DataFrame:
             .filter("p0 <> p1").drop("p0", "p1"))
 
 
-def _pairs_of_small(groups: DataFrame, *key: str) -> DataFrame:
-    """The pairs (sid, leader), leader the smaller, of different parts in groups of up to SMALL rows."""
-    members = groups.filter(F.col("size") <= SMALL).groupBy(*key).agg(F.sort_array(F.collect_set(F.struct("sid", "part"))).alias("of"))
+def _pairs_of_small(groups: DataFrame, small: int, *key: str) -> DataFrame:
+    """The pairs (sid, leader), leader the smaller, of different parts in groups of up to ``small`` rows."""
+    members = groups.filter(F.col("size") <= small).groupBy(*key).agg(F.sort_array(F.collect_set(F.struct("sid", "part"))).alias("of"))
     pairs = F.flatten(F.transform("of", lambda x, i: F.transform(
-        F.filter(F.slice("of", i + 2, SMALL), lambda y: y["part"] != x["part"]),
+        F.filter(F.slice("of", i + 2, small), lambda y: y["part"] != x["part"]),
         lambda y: F.struct(y["sid"].alias("sid"), x["sid"].alias("leader")))))
     return members.select(F.inline(pairs)).distinct()
 
@@ -274,8 +275,10 @@ def similarity_links(keyed: DataFrame, prints: DataFrame, sets_of, threshold: in
         of_leader = prints.select(F.col("sid").alias("leader"), F.col("n").alias("m"), F.col("print").alias("other"))
         return pairs.join(prints, "sid").join(of_leader, "leader").mapInArrow(_may_link(threshold), "sid long, leader long")
 
-    groups = cut(_groups(keyed.select("key", "sid", F.col("sid").alias("part"), F.lit(0).cast("long").alias("turn")), "key"))
-    pairs = cut(likely(_pairs_of_small(groups, "key")))
+    w = W.partitionBy("key")
+    groups = cut(keyed.select("key", "sid", F.count("*").over(w).alias("size"), F.min("sid").over(w).alias("s0"),
+                              F.max("sid").over(w).alias("s1")).filter("s0 <> s1").drop("s0", "s1"))
+    pairs = cut(likely(_pairs_of_small(groups.withColumn("part", F.col("sid")), SMALL, "key")))
     # Sets that stand in most large groups, such as the text that others were copied from, lead them.
     crowd = groups.filter(F.col("size") > SMALL).select("key", "sid")
     turn = crowd.groupBy("sid").agg((-F.count("*")).alias("turn"))
@@ -297,9 +300,9 @@ def similarity_links(keyed: DataFrame, prints: DataFrame, sets_of, threshold: in
         enough = F.floor(F.lit(100 - threshold) * F.col("n") / 100).cast("int") + 1
         added = open_.select(F.col("leader").alias("from"), "sid", "part", "turn", F.explode(F.slice("added", F.lit(1), enough)).alias("shingle"))
         groups = cut(_groups(added, "from", "shingle"))
-        pairs = likely(_pairs_of_small(groups, "from", "shingle")).union(_few_additions(open_, threshold)).distinct()
+        pairs = likely(_pairs_of_small(groups, LEFT_OVER, "from", "shingle")).union(_few_additions(open_, threshold)).distinct()
         links = cut(links.union(_compare(pairs, sets, threshold).filter("linked").select(*as_link)))
-        large = cut(groups.filter(F.col("size") > SMALL).select("sid", "turn", "leader").distinct())
+        large = cut(groups.filter(F.col("size") > LEFT_OVER).select("sid", "turn", "leader").distinct())
     return links
 
 
@@ -338,7 +341,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 .groupBy("sid").agg(F.first("shingles").alias("shingles")))
 
     full = rows.filter("n_shingles > 0")
-    prints = full.groupBy("sid").agg(F.first("n_shingles").alias("n"), F.first("print").alias("print"))
+    prints = cut(full.groupBy("sid").agg(F.min("n_shingles").alias("n"), F.min("print").alias("print")))
     root = components(similarity_links(keyed, prints, sets_of, threshold))
     least = full.groupBy("sid").agg(F.min("doc_id").alias("least"))
     least = least.join(root.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
