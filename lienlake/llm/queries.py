@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, license_scan, line_dedup, mixing, ngram_join, quality_rules, secret_scan, suffix_dedup
+from . import (decontamination, license_scan, line_dedup, mixing, ngram_join, quality_ensemble, quality_rules, secret_scan,
+               suffix_dedup, toxicity)
 from .common import read_table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.score(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document with a passage of 50 words or more that another document has too."""
     return suffix_dedup.passages_by_document(read_table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -24,6 +31,12 @@ def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.digest(F.col("spans")).alias("spans"), live.alias("n_live"))
 
 
+def op4_quality_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    scored = quality_ensemble.score(docs, read_table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line that goes, with the line that stands for it."""
     found = line_dedup.duplicate_lines(read_table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -58,8 +71,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_secret_ownership": op3_secret_ownership,
+    "op4_quality_ensemble": op4_quality_ensemble,
     "op5_line_dedup": op5_line_dedup,
     "op6_quality_cascade": op6_quality_cascade,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
