@@ -19,10 +19,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
 
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later stages restart from the files, not from
-    the lineage, when an executor is lost."""
+    the lineage, when an executor is lost.  Shuffle files go when the driver has collected the plans that made
+    them, so it is asked to collect."""
     spark = df.sparkSession
     path = scratch_path(spark, "cut")
     df.write.parquet(path)
+    spark.sparkContext._jvm.java.lang.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -12,12 +12,16 @@ pigeonhole principle T = H + 1 shares leave one segment that answers.  A
 set may leave out its first ``spare`` empty plain segments, which would match
 nearly everything; T grows by ``spare`` to make up for them.  ``allocate``
 chooses the number of deep segments and spare shares of a band by cost: keys
-written against sets that are expected to meet by accident.
+written against sets that are expected to meet by accident.  In bands without
+deep segments T is larger by SHARED - 1, so that linked sets share at least
+SHARED keys there.
 
 Sets that share a key are candidates.  The pairs of a group of up to ``SMALL``
-sets are written out, first held against each other by fingerprints: the
-shingles hashed into cells, of which those that differ are a lower bound of
-the difference.  What may still link is compared exactly.
+sets are written out and counted; those that share enough keys are held against
+each other by fingerprints: the shingles hashed into cells, of which those that
+differ are a lower bound of the difference.  What may still link is compared
+exactly.  (A linked pair that shares too few keys of small groups shares one of
+a larger group.)
 
 A larger group, such as thousands of near copies, is never expanded into its
 pairs.  The member that stands in most such groups is its leader L, and every
@@ -58,9 +62,12 @@ from .tokens import Hasher, byte_texts, chunks, joined, mix, signed
 #: Ratio between the sizes at which bands end.
 BAND = 1.6
 
+#: Linked sets share so many plain segments at least.
+SHARED = 3
+
 #: Groups of up to so many sets are expanded into their pairs; larger ones are solved through a leader.  What a
 #: leader leaves over are few rows, of which larger groups may be expanded.
-SMALL, LEFT_OVER = 32, 128
+SMALL, LEFT_OVER = 64, 128
 
 
 def shingle_sets(hasher: Hasher, texts: list, k: int) -> list:
@@ -108,10 +115,10 @@ def allocate(b: int, threshold: int) -> tuple[int, int, int]:
     lo, hi = band_start(b), band_start(b + 1) - 1
     size, need, best = (lo + hi) / 2, most_different(hi, hi, threshold) + 1, None
     for spare in range(0, 13):
-        total = need + spare
-        share = size / total
-        empty = math.exp(-share)
-        for deep in range(0, min(total // 2, 4) + 1):
+        for deep in range(0, min((need + spare) // 2, 4) + 1):
+            total = need + spare + (0 if deep else SHARED - 1)
+            share = size / total
+            empty = math.exp(-share)
             plain = total - 2 * deep
             expect = plain * empty
             over = sum((i - spare) * math.exp(-expect) * expect**i / math.factorial(i) for i in range(spare + 1, spare + 30))
@@ -247,10 +254,12 @@ def _groups(keyed: DataFrame, *key: str) -> DataFrame:
 def _pairs_of_small(groups: DataFrame, small: int, *key: str) -> DataFrame:
     """The pairs (sid, leader), leader the smaller, of different parts in groups of up to ``small`` rows."""
     members = groups.filter(F.col("size") <= small).groupBy(*key).agg(F.sort_array(F.collect_set(F.struct("sid", "part"))).alias("of"))
+    worth = F.when(F.col("key").bitwiseAND(F.lit(1)) == 1, SHARED).otherwise(1) if key == ("key",) else F.lit(SHARED)
     pairs = F.flatten(F.transform("of", lambda x, i: F.transform(
         F.filter(F.slice("of", i + 2, small), lambda y: y["part"] != x["part"]),
         lambda y: F.struct(y["sid"].alias("sid"), x["sid"].alias("leader")))))
-    return members.select(F.inline(pairs)).distinct()
+    met = members.select(worth.alias("worth"), F.inline(pairs)).groupBy("sid", "leader").agg(F.sum("worth").alias("worth"))
+    return met.filter(F.col("worth") >= SHARED).select("sid", "leader")
 
 
 def _linked(n_x: Column, n_y: Column, both: Column, threshold: int) -> Column:
@@ -336,9 +345,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def sets_of(sids: DataFrame) -> DataFrame:
         one = rows.groupBy("sid").agg(F.min("rk").alias("rk")).join(sids, "sid", "left_semi").select("rk")
-        texts = base.select("rk", "text").join(one, "rk", "left_semi").select("text")
-        return (texts.mapInArrow(_sets(k), "sid long, shingles array<long>")
-                .groupBy("sid").agg(F.first("shingles").alias("shingles")))
+        texts = base.select("rk", "text").join(one, "rk", "left_semi").dropDuplicates(["rk"]).select("text")
+        return texts.mapInArrow(_sets(k), "sid long, shingles array<long>")
 
     full = rows.filter("n_shingles > 0")
     prints = cut(full.groupBy("sid").agg(F.min("n_shingles").alias("n"), F.min("print").alias("print")))
