@@ -102,7 +102,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     each = each.withColumn("hash", F.sha2("value", 256))
     shared = (each.select("hash", "owner", "repository").distinct().groupBy("hash")
               .agg(F.countDistinct("owner").alias("owners"), F.countDistinct("repository").alias("repositories")))
-    judged = each.distinct().join(shared, "hash").withColumn("live", (F.col("owners") < widely) & _looks_random(F.col("value")))
+    judged = each.join(cut(shared), "hash").withColumn("live", (F.col("owners") < widely) & _looks_random(F.col("value")))
     # a span of the method's own must be live-looking
     kept = judged.filter((F.col("kind") < BASE) | F.col("live"))
     one = F.struct("start", "kind", "end", "hash", "owners", "repositories", "live")
