@@ -151,13 +151,13 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = cut(lines.groupBy("whole").agg(F.min("at").alias("at"), F.max("at").alias("last"), F.max("halves").alias("halves")))
     near = _near_keepers(base, least)
     gone = least.join(near, "whole", "left").filter("keeper is not null or at <> last")
-    gone = gone.select("whole", F.col("at").alias("first"), "keeper")
-    found = lines.select("whole", "at").distinct().join(gone, "whole").filter("keeper is not null or at <> first")
+    gone = cut(gone.select("whole", F.col("at").alias("first"), "keeper"))  # the join's own shuffles, which Spark can split
+    found = lines.select("whole", "at").join(gone, "whole").filter("keeper is not null or at <> first")
     keep = F.least(F.col("first"), F.col("keeper"))
     same = F.col("at") != F.col("first")
     edits = F.when(F.col("keeper").isNull() | (same & (F.col("first") < F.col("keeper"))), 0).otherwise(1)
     return found.select("at.doc_id", "at.rk", "at.line_no", keep["doc_id"].alias("keep_doc_id"),
-                        keep["line_no"].alias("keep_line_no"), edits.alias("edits"))
+                        keep["line_no"].alias("keep_line_no"), edits.alias("edits")).distinct()
 
 
 def _near_keepers(base: DataFrame, least: DataFrame) -> DataFrame:
@@ -166,10 +166,10 @@ def _near_keepers(base: DataFrame, least: DataFrame) -> DataFrame:
     halves = least.filter("size(halves) > 0").select("whole", F.explode("halves").alias("half"))
     met = (halves.select("whole", F.min("whole").over(w).alias("w0"), F.max("whole").over(w).alias("w1"))
            .filter("w0 <> w1").select("whole").distinct())
-    want = least.join(met, "whole").groupBy("at.rk").agg(F.collect_list(F.struct("whole", "at")).alias("want"))
-    picked = base.select("rk", "text").join(want, "rk").select("text", "want")
+    want = cut(least.join(met, "whole").groupBy("at.rk").agg(F.collect_list(F.struct("whole", "at")).alias("want")))
+    picked = base.select("rk", "text").join(want, "rk").dropDuplicates(["rk"]).select("text", "want")
     at_type = "struct<no_id boolean, doc_id long, rk long, line_no int>"
-    lines = cut(picked.mapInArrow(_picked_lines, f"whole long, at {at_type}, line string").dropDuplicates(["whole"]))
+    lines = cut(picked.mapInArrow(_picked_lines, f"whole long, at {at_type}, line string"))
     filed = lines.mapInArrow(_deletions, f"key long, place int, whole long, at {at_type}")
     by_key, by_place = W.partitionBy("key"), W.partitionBy("key", "place")
     whole_line = F.min(F.when(F.col("place") < 0, F.col("at"))).over(by_key)
