@@ -10,7 +10,7 @@ Nothing is sent twice as late as its target asks (a finish time over 2), which
 bears only on sources whose documents are larger than their targets.
 
 Running sums are never taken over a whole source or over the whole corpus in
-one task: documents fall into buckets of a few ten thousand rows along the
+one task: documents fall into buckets of a few thousand rows along the
 order, buckets are summed first, and only the order within a bucket is sorted.
 
 Cases: a null text has 0 words and is never taken; a null source is a source of
@@ -28,7 +28,7 @@ from pyspark.sql.window import Window as W
 from .common import SPACE, cut, row_key, text_or_empty
 
 #: Documents (or finish times) that a bucket holds on average.
-BUCKET = 50_000
+BUCKET = 5_000
 
 
 def n_words(text: Column) -> Column:
