@@ -119,8 +119,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     kind = "key long, rk long, place int"
     anchors = _repeated(base.select("rk", "text").mapInArrow(_retained(min_words, window, k), kind))
     anchors = cut(anchors.groupBy("rk").agg(F.collect_set("place").alias("anchors")))
-    texts = base.join(anchors, "rk").select("rk", "text", "anchors")
-    found = _repeated(texts.mapInArrow(_windows(min_words, window), kind).distinct())
+    texts = base.join(anchors, "rk").dropDuplicates(["rk"]).select("rk", "text", "anchors")
+    found = cut(_repeated(texts.mapInArrow(_windows(min_words, window), kind)))
     # Windows that touch or overlap are one stretch.
     order = W.partitionBy("rk").orderBy("place")
     ends = F.col("place") + min_words
