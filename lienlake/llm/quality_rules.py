@@ -94,12 +94,12 @@ def rules() -> dict[str, Column]:
 
 
 def order_rules(docs: DataFrame, conditions: dict[str, Column], sample_rows: int = 1000) -> list[str]:
-    """Names of the rules, most rejections per second first, estimated on about ``sample_rows`` rows.  ``docs`` has
-    the columns that the conditions read.  The order is greedy: each next rule is judged on what is left."""
+    """Names of the rules, most rejections per second first, estimated on about ``sample_rows`` rows of ``docs``
+    (column text).  The order is greedy: each next rule is judged on what is left."""
     n = docs.count()
     if not n:
         return list(conditions)
-    sample = cut(docs.sample(min(1.0, sample_rows / n), seed=5).repartition(1))
+    sample = cut(with_statistics(docs.sample(min(1.0, sample_rows / n), seed=5)).coalesce(1))
 
     def timed(*columns: Column) -> float:
         began = time.perf_counter()
@@ -124,7 +124,7 @@ def judge(docs: DataFrame, text_col: str = "text", sample_rows: int = 1000) -> D
     the order; null if none) and kept."""
     stats = with_statistics(docs, text_col)
     conditions = rules()
-    order = order_rules(with_statistics(docs.select(F.col(text_col).alias("text"))), conditions, sample_rows)
+    order = order_rules(docs.select(F.col(text_col).alias("text")), conditions, sample_rows)
     verdict = F.when(base_failed(), "base")
     for name in order:
         verdict = verdict.when(conditions[name], name)
