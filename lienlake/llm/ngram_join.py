@@ -23,11 +23,16 @@ differ are a lower bound of the difference.  What may still link is compared
 exactly.  (A linked pair that shares too few keys of small groups shares one of
 a larger group.)
 
-A larger group, such as thousands of near copies, is never expanded into its
-pairs.  The member that stands in most such groups is its leader L, and every
-member x is compared with L exactly.  For two members x and y of L's groups that are still in
-different components, with a = shingles added to L and r = shingles of L that
-are missing,
+A larger group is gathered around a leader L, its member that stands in most
+such groups, so that groups of the same family share theirs.  Of a cluster, the
+members of all groups with the same leader, up to ``CLUSTER`` sets are held
+against each other by fingerprints in one task, which returns only pairs that
+may still link.
+
+A larger cluster, such as thousands of near copies, is never expanded into its
+pairs.  Every member x is compared with L exactly.  For two members x and y that
+are still in different components, with a = shingles added to L and r =
+shingles of L that are missing,
 
     |x ^ y| = a_x + a_y - 2 * common additions + |difference of what is missing|
 
@@ -65,9 +70,9 @@ BAND = 1.6
 #: Linked sets share so many plain segments at least.
 SHARED = 3
 
-#: Groups of up to so many sets are expanded into their pairs; larger ones are solved through a leader.  What a
-#: leader leaves over are few rows, of which larger groups may be expanded.
-SMALL, LEFT_OVER = 64, 128
+#: The pairs of groups of up to SMALL sets are written out; larger groups are gathered around leaders, clusters of up
+#: to CLUSTER sets compared by fingerprints, and larger ones solved through what members add to their leader.
+SMALL, CLUSTER = 16, 1000
 
 
 def shingle_sets(hasher: Hasher, texts: list, k: int) -> list:
@@ -161,6 +166,12 @@ def fingerprint(shingles) -> bytes:
     return np.bincount(at, mix(shingles, 43) % np.uint64(256), cells).astype(np.int64).astype(np.uint8).tobytes()
 
 
+def _folded(prints):
+    """Fingerprints of twice as many cells, folded onto half as many."""
+    half = prints.shape[-1] // 2
+    return prints[..., :half] + prints[..., half:]
+
+
 def _may_link(threshold: int):
     """Pairs whose fingerprints differ in no more cells than linked sets can."""
     def run(batches: Iterator) -> Iterator:
@@ -171,15 +182,42 @@ def _may_link(threshold: int):
             columns = [batch.column(c).to_pylist() for c in ("print", "other", "n", "m")]
             for i, (x, y, n, m) in enumerate(zip(*columns)):
                 x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-                while len(x) != len(y):  # cells of the larger one fold onto half as many
-                    x, y = (x, y) if len(x) > len(y) else (y, x)
-                    x = x[: len(x) // 2] + x[len(x) // 2 :]
+                while len(x) != len(y):
+                    x, y = (_folded(x), y) if len(x) > len(y) else (x, _folded(y))
                 if np.count_nonzero(x != y) <= most_different(n, m, threshold):
                     kept.append(i)
             yield batch.select(["sid", "leader"]).take(pa.array(kept, pa.int64()))
     return run
 
 
+def _near_in_cluster(threshold: int):
+    """The pairs of a cluster (sid, n, print) that may link by their sizes and fingerprints."""
+    def run(members):
+        import pandas as pd
+
+        members = members.sort_values("n")
+        sid, n = members["sid"].to_numpy(), members["n"].to_numpy()
+        cells = members["print"].map(len).to_numpy()
+        by = {c: np.stack([np.frombuffer(x, np.uint8) for x in members["print"][cells == c]]) for c in np.unique(cells)}
+        first = {c: int(np.argmax(cells == c)) for c in by}  # sizes grow, so equal lengths stand together
+        found = []
+        for i in range(len(sid)):
+            mine = by[cells[i]][i - first[cells[i]]]
+            most = (100 - threshold) * (n[i] + n) // (100 + threshold)
+            for c, prints in by.items():
+                lo = max(i + 1, first[c])
+                hi = min(int(np.searchsorted(n, n[i] * 100 // threshold, "right")), first[c] + len(prints))
+                if c < cells[i] or lo >= hi:
+                    continue
+                theirs = prints[lo - first[c] : hi - first[c]]
+                while theirs.shape[1] > len(mine):
+                    theirs = _folded(theirs)
+                near = np.flatnonzero((theirs != mine).sum(1) <= most[lo:hi]) + lo
+                found += [(max(sid[i], sid[j]), min(sid[i], sid[j])) for j in near]
+        return pd.DataFrame(found, columns=["sid", "leader"])
+    return run
+
+
 def _describe(k: int):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -251,12 +289,12 @@ def _groups(keyed: DataFrame, *key: str) -> DataFrame:
             .filter("p0 <> p1").drop("p0", "p1"))
 
 
-def _pairs_of_small(groups: DataFrame, small: int, *key: str) -> DataFrame:
-    """The pairs (sid, leader), leader the smaller, of different parts in groups of up to ``small`` rows."""
-    members = groups.filter(F.col("size") <= small).groupBy(*key).agg(F.sort_array(F.collect_set(F.struct("sid", "part"))).alias("of"))
+def _pairs_of_small(groups: DataFrame, *key: str) -> DataFrame:
+    """The pairs (sid, leader), leader the smaller, of different parts in groups of up to SMALL rows."""
+    members = groups.filter(F.col("size") <= SMALL).groupBy(*key).agg(F.sort_array(F.collect_set(F.struct("sid", "part"))).alias("of"))
     worth = F.when(F.col("key").bitwiseAND(F.lit(1)) == 1, SHARED).otherwise(1) if key == ("key",) else F.lit(SHARED)
     pairs = F.flatten(F.transform("of", lambda x, i: F.transform(
-        F.filter(F.slice("of", i + 2, small), lambda y: y["part"] != x["part"]),
+        F.filter(F.slice("of", i + 2, SMALL), lambda y: y["part"] != x["part"]),
         lambda y: F.struct(y["sid"].alias("sid"), x["sid"].alias("leader")))))
     met = members.select(worth.alias("worth"), F.inline(pairs)).groupBy("sid", "leader").agg(F.sum("worth").alias("worth"))
     return met.filter(F.col("worth") >= SHARED).select("sid", "leader")
@@ -284,15 +322,22 @@ def similarity_links(keyed: DataFrame, prints: DataFrame, sets_of, threshold: in
         of_leader = prints.select(F.col("sid").alias("leader"), F.col("n").alias("m"), F.col("print").alias("other"))
         return pairs.join(prints, "sid").join(of_leader, "leader").mapInArrow(_may_link(threshold), "sid long, leader long")
 
+    def around_leaders(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Pairs that may link in clusters of up to CLUSTER sets; the members (sid, turn, leader) of larger ones."""
+        sized = cut(members.distinct().withColumn("of", F.count("*").over(W.partitionBy("leader"))))
+        gathered = sized.filter(F.col("of") <= CLUSTER).select("sid", "leader").join(prints, "sid")
+        near = gathered.groupBy("leader").applyInPandas(_near_in_cluster(threshold), "sid long, leader long")
+        return near, sized.filter(F.col("of") > CLUSTER).drop("of")
+
     w = W.partitionBy("key")
     groups = cut(keyed.select("key", "sid", F.count("*").over(w).alias("size"), F.min("sid").over(w).alias("s0"),
                               F.max("sid").over(w).alias("s1")).filter("s0 <> s1").drop("s0", "s1"))
-    pairs = cut(likely(_pairs_of_small(groups.withColumn("part", F.col("sid")), SMALL, "key")))
     # Sets that stand in most large groups, such as the text that others were copied from, lead them.
     crowd = groups.filter(F.col("size") > SMALL).select("key", "sid")
     turn = crowd.groupBy("sid").agg((-F.count("*")).alias("turn"))
     first = F.min(F.struct("turn", "sid")).over(W.partitionBy("key"))["sid"]
-    large = cut(crowd.join(turn, "sid").select("sid", "turn", first.alias("leader")).distinct())
+    near, large = around_leaders(crowd.join(turn, "sid").select("sid", "turn", first.alias("leader")))
+    pairs = cut(likely(_pairs_of_small(groups.withColumn("part", F.col("sid")), "key")).union(near).distinct())
     sets = cut(sets_of(pairs.select("sid").union(pairs.select("leader")).union(large.select("sid")).distinct()))
     as_link = (F.col("sid").alias("a"), F.col("leader").alias("b"))
     links = cut(_compare(pairs, sets, threshold).filter("linked").select(*as_link))
@@ -309,9 +354,9 @@ def similarity_links(keyed: DataFrame, prints: DataFrame, sets_of, threshold: in
         enough = F.floor(F.lit(100 - threshold) * F.col("n") / 100).cast("int") + 1
         added = open_.select(F.col("leader").alias("from"), "sid", "part", "turn", F.explode(F.slice("added", F.lit(1), enough)).alias("shingle"))
         groups = cut(_groups(added, "from", "shingle"))
-        pairs = likely(_pairs_of_small(groups, LEFT_OVER, "from", "shingle")).union(_few_additions(open_, threshold)).distinct()
+        near, large = around_leaders(groups.filter(F.col("size") > SMALL).select("sid", "turn", "leader"))
+        pairs = likely(_pairs_of_small(groups, "from", "shingle")).union(near).union(_few_additions(open_, threshold)).distinct()
         links = cut(links.union(_compare(pairs, sets, threshold).filter("linked").select(*as_link)))
-        large = cut(groups.filter(F.col("size") > LEFT_OVER).select("sid", "turn", "leader").distinct())
     return links
 
 

@@ -62,10 +62,11 @@ def test_ngram_join_matches_brute_force(mixed):
     assert got == brute_components(rows_of(mixed))
 
 
-def test_ngram_join_through_leaders(spark, monkeypatch):
-    """A large group of near copies, with groups of more than two sets solved through leaders."""
-    monkeypatch.setattr(ngram_join, "SMALL", 2)
-    monkeypatch.setattr(ngram_join, "LEFT_OVER", 2)
+@pytest.mark.parametrize("small, cluster", [(2, 2), (2, 1000), (1000, 1000)])
+def test_ngram_join_through_leaders(spark, monkeypatch, small, cluster):
+    """A large group of near copies: by pairs, by fingerprints in clusters, and through leaders."""
+    monkeypatch.setattr(ngram_join, "SMALL", small)
+    monkeypatch.setattr(ngram_join, "CLUSTER", cluster)
     rng = np.random.default_rng(3)
     base = [f"w{x}" for x in rng.integers(0, 5000, 90)]
     rows = []
