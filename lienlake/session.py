@@ -63,6 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir (or spark.lienlake.lakeRoot) to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="lienlake-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
@@ -101,6 +103,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Remove a directory of this package's own tables."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -111,4 +119,4 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 
 
 __all__ = ["build_session", "ensure_checkpoint_dir", "lake_root", "scratch_path",
-           "path_exists", "list_dirs", "local_path"]
+           "path_exists", "list_dirs", "remove_dir", "local_path"]

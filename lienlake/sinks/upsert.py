@@ -1,64 +1,54 @@
-"""Keyed upsert into a hash-bucketed Parquet table (K4, T8 sinks).
-
-The table is partitioned by ``_bucket = pmod(xxhash64(key), buckets)``.  An
-upsert rewrites only the buckets its keys fall in (dynamic partition
-overwrite): the previous rows of those buckets are read back - pruned to the
-touched buckets by a semi join on the partition column - merged with the new
-rows, and written over just those partitions.  Cost per upsert is bounded by
-the touched buckets, not the table.
-
-An upsert is idempotent: replaying the same rows (a re-run micro-batch, or a
-batch whose write partly committed before a failure) produces the same table.
-Choose ``buckets`` so one bucket is a comfortable task (e.g. a few million
-keys per bucket).
+"""Keyed tables fed by a stream (K4, T8 sinks): batches are appended, reads take the latest row of a key.
+
+Each micro-batch is a directory of its own, named by its batch id, and counts
+once it is complete (its ``_SUCCESS`` marker is the last file written).  A batch
+that failed half way is not read, and its replay writes the same directory
+anew; no other batch's rows are touched, so none can be lost.  ``compact``
+folds the complete batches into a new base version in the same way and removes
+what the version before it had covered.  Readers always see one base and the
+batches after it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from ..operators.latest import latest
+from ..session import list_dirs, path_exists, remove_dir
 
-from ..session import list_dirs
+BATCH, BASE = "batch=", "base="
 
-BUCKET_COL = "_bucket"
-DEFAULT_BUCKETS = 16
 
+def append_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Write a micro-batch's rows; the same batch again replaces them."""
+    rows.write.mode("overwrite").parquet(f"{path}/{BATCH}{batch_id:012d}")
 
-def bucket_of(key: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
+def _complete(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    return [int(d[len(prefix):]) for d in list_dirs(spark, path)
+            if d.startswith(prefix) and path_exists(spark, f"{path}/{d}/_SUCCESS")]
 
-def read_bucketed(spark: SparkSession, path: str, keep_bucket: bool = False) -> DataFrame | None:
-    """The table, or None before its first upsert (dynamic overwrite commits
-    partition directories; there is no root-level success marker)."""
-    if not any(d.startswith(f"{BUCKET_COL}=") for d in list_dirs(spark, path)):
-        return None
-    df = spark.read.parquet(path)
-    return df if keep_bucket else df.drop(BUCKET_COL)
 
+def read_latest(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame | None:
+    """The latest row of each key, or None before the first complete batch."""
+    base = max(_complete(spark, path, BASE), default=None)
+    parts = [f"{path}/{BASE}{base:012d}"] if base is not None else []
+    parts += [f"{path}/{BATCH}{b:012d}" for b in sorted(_complete(spark, path, BATCH)) if base is None or b > base]
+    return latest(spark.read.parquet(*parts), keys, order) if parts else None
 
-def upsert_buckets(new: DataFrame, path: str, key: str, buckets: int = DEFAULT_BUCKETS,
-                   resolve: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> None:
-    """Upsert ``new`` (one row per key) into the table at ``path``.
 
-    ``resolve(old_rows, new_rows)`` merges the touched buckets' rows; the
-    default lets a new row replace the stored row with the same key."""
-    spark = new.sparkSession
-    nb = new.withColumn(BUCKET_COL, bucket_of(key, buckets))
-    old = read_bucketed(spark, path, keep_bucket=True)
-    if old is None:
-        merged = nb
-    else:
-        # at most `buckets` rows: a size-proven broadcast; prunes partitions of `old`
-        touched = F.broadcast(nb.select(BUCKET_COL).distinct())
-        old_t = old.join(touched, BUCKET_COL, "left_semi").select(*nb.columns)
-        if resolve is None:
-            merged = nb.unionByName(old_t.join(nb.select(key), key, "left_anti"))
-        else:
-            merged = resolve(old_t, nb)
-    # one writer task per bucket -> one file per touched bucket per upsert
-    (merged.repartition(buckets, BUCKET_COL)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET_COL).parquet(path))
+def compact(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> None:
+    """Fold all complete batches into a new base version; what the previous version covered is removed."""
+    batches, bases = _complete(spark, path, BATCH), _complete(spark, path, BASE)
+    if not batches or max(batches) in bases:
+        return
+    read_latest(spark, path, keys, order).write.mode("overwrite").parquet(f"{path}/{BASE}{max(batches):012d}")
+    old = max(bases, default=-1)
+    for b in batches:
+        if b <= old:
+            remove_dir(spark, f"{path}/{BATCH}{b:012d}")
+    for b in bases:
+        if b < old:
+            remove_dir(spark, f"{path}/{BASE}{b:012d}")

@@ -6,10 +6,10 @@ c (create), u (update), d (delete); ``seq`` orders the changes of a key.
 ``apply_changes`` keeps, per key, the record with the highest ``seq`` seen so
 far, *including* deletes (kept as tombstones), so an older update arriving
 after a delete cannot resurrect the row.  The serving view drops tombstones.
-Each micro-batch is reduced to one record per key before it touches the
-table (partial aggregation, skew-safe), then merged into the hash buckets it
-touches (newest seq wins); only those buckets are rewritten, and a replayed
-batch is idempotent.
+Each micro-batch is reduced to one record per key (partial aggregation,
+skew-safe) and appended under its batch id; reading takes the newest seq of a
+key, and a replayed batch replaces its own rows only.  Records that can't be
+decoded are kept apart, in ``<name>_rejected``, and can be counted there.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.latest import latest
-from ..sinks.upsert import DEFAULT_BUCKETS, read_bucketed, upsert_buckets
+from ..sinks.upsert import append_batch, read_latest
 
 OPS = ["r", "c", "u", "d"]
 
@@ -32,8 +32,10 @@ def encode_changes(changes: DataFrame) -> DataFrame:
 
 
 def decode_changes(raw: DataFrame, schema: str) -> DataFrame:
-    p = raw.select(F.from_json("value", schema).alias("c")).select("c.*")
-    return p.filter(F.col("op").isin(*OPS) & F.col("seq").isNotNull() & F.col("key").isNotNull())
+    """All messages, decoded; ``bad`` holds the text of those that are no change record."""
+    p = raw.select("value", F.from_json("value", schema).alias("c"))
+    ok = F.coalesce(F.col("c.op").isin(*OPS) & F.col("c.seq").isNotNull() & F.col("c.key").isNotNull(), F.lit(False))
+    return p.select("c.*", F.when(~ok, F.coalesce("value", F.lit(""))).alias("bad"))
 
 
 def newest(rows: DataFrame) -> DataFrame:
@@ -41,11 +43,14 @@ def newest(rows: DataFrame) -> DataFrame:
     return latest(rows, ["key"], ["seq", "op"])
 
 
-def changes_writer(root: str, name: str, buckets: int = DEFAULT_BUCKETS):
+def changes_writer(root: str, name: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        b = newest(batch.select("key", "seq", "op", "row"))
-        upsert_buckets(b, f"{root}/{name}", "key", buckets,
-                       resolve=lambda old, new: newest(old.unionByName(new)))
+        batch = batch.persist()
+        try:
+            append_batch(batch.filter("bad is not null").select("bad"), f"{root}/{name}_rejected", batch_id)
+            append_batch(newest(batch.filter("bad is null").select("key", "seq", "op", "row")), f"{root}/{name}", batch_id)
+        finally:
+            batch.unpersist()
     return write
 
 
@@ -60,5 +65,5 @@ def run_apply_changes(changes: DataFrame, root: str, name: str, checkpoint: str)
 
 def current_rows(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Serving view: live rows only, flattened."""
-    t = read_bucketed(spark, f"{root}/{name}")
+    t = read_latest(spark, f"{root}/{name}", ["key"], ["seq", "op"])
     return t.filter(F.col("op") != "d").select("key", "seq", "row.*")
