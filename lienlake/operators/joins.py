@@ -1,11 +1,7 @@
 """Join helpers.
 
-``bounded_broadcast`` is the only place this package forces a broadcast.  It
-checks the side's row count against a bound with a ``limit(bound + 1)`` job
-(which stops reading once the bound is exceeded) and returns the frame
-unchanged when the bound is exceeded, leaving the strategy to Catalyst/AQE
-(sort-merge join, with runtime broadcast conversion when the *measured*
-shuffle output is small).
+No join here is forced to broadcast: Catalyst decides from file sizes and AQE
+from measured shuffle sizes, and AQE splits a hot key of a sort-merge join.
 """
 
 from __future__ import annotations
@@ -13,34 +9,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
 
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      small: bool | None = None) -> DataFrame:
-    """Broadcast ``df`` if it is proven small.  ``small`` passes in a bound
-    already established for a superset (e.g. the dimension a one-row-per-key
-    frame is derived from), so the check runs once per dimension, not per join."""
-    if small is None:
-        small = fits_broadcast(df, max_rows)
-    return F.broadcast(df) if small else df
-
-
-def semi_join_valid(df: DataFrame, valid: DataFrame, on: str | Sequence[str],
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, small: bool | None = None) -> DataFrame:
+def semi_join_valid(df: DataFrame, valid: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Keep rows whose key exists in ``valid`` (a LEFT SEMI join).
 
     Distinct keys are pre-aggregated before the join so a duplicated key on
-    the reference side cannot multiply rows (inner join on distinct keys is a
-    semi join).  The semi join never duplicates and needs no projection back.
+    the reference side is shuffled once; the semi join never duplicates rows
+    and needs no projection back.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    ref = valid.select(*keys).distinct()
-    return df.join(bounded_broadcast(ref, max_broadcast_rows, small), keys, "left_semi")
+    return df.join(valid.select(*keys).distinct(), keys, "left_semi")

@@ -58,7 +58,7 @@ def scd2_apply(target: DataFrame, stage: DataFrame, run_date, key: str = "custom
     out_cols = [key] + attrs + SCD_COLUMNS
 
     cur = target.filter(F.col("is_current"))
-    hist = target.filter(~F.col("is_current"))
+    hist = target.filter(~F.coalesce("is_current", F.lit(False)))  # no flag: not current
     t = cur.select(key, *[F.col(c).alias(f"t_{c}") for c in attrs + SCD_COLUMNS])
     s = stage.select(key, *[F.col(c).alias(f"s_{c}") for c in attrs], F.lit(True).alias("s_present"))
     j = t.join(s, key, "full_outer")

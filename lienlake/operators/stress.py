@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import valuation as V
-from .joins import bounded_broadcast
 
 # Fixed value: the reference scenario (a 12% NAV drop).
 DEFAULT_SCENARIOS: dict[str, dict[str, float]] = {"nav_down_12": {"*": 0.88}}
@@ -36,10 +35,9 @@ def _factor(shocks: Mapping[str, float]):
 
 
 def stressed_drawing_power(fhd: DataFrame, scheme: DataFrame,
-                           scenarios: Mapping[str, Mapping[str, float]],
-                           scheme_small: bool | None = None) -> DataFrame:
+                           scenarios: Mapping[str, Mapping[str, float]]) -> DataFrame:
     """(customer_id, _dp0, _dp1, ...): drawing power under each scenario."""
-    cats = bounded_broadcast(scheme.select("scheme_code", "category"), small=scheme_small)
+    cats = scheme.select("scheme_code", "category")
     h = fhd.select("customer_id", "scheme_code", "dp_contrib").join(cats, "scheme_code")
     return h.groupBy("customer_id").agg(*[
         V.money_sum(F.col("dp_contrib") * _factor(sh)).alias(f"_dp{i}")
@@ -48,14 +46,14 @@ def stressed_drawing_power(fhd: DataFrame, scheme: DataFrame,
 
 def stress_revalue(fld: DataFrame, fhd: DataFrame, scheme: DataFrame,
                    scenarios: Mapping[str, Mapping[str, float]] | None = None,
-                   only_new_calls: bool = True, scheme_small: bool | None = None) -> DataFrame:
+                   only_new_calls: bool = True) -> DataFrame:
     """Loans whose margin status changes under each scenario.
 
     Output: scenario, loan_id, customer_id, outstanding, base_drawing_power,
     stressed_drawing_power, shortfall, margin_call, newly_breached.
     """
     scenarios = scenarios or DEFAULT_SCENARIOS
-    sdp = stressed_drawing_power(fhd, scheme, scenarios, scheme_small)
+    sdp = stressed_drawing_power(fhd, scheme, scenarios)
     loans = fld.select("loan_id", "customer_id", "outstanding",
                        F.col("drawing_power").alias("base_drawing_power"),
                        F.col("margin_call_flag").alias("base_margin_call"))

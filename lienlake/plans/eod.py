@@ -74,17 +74,18 @@ def build_gold_layer(lake: Lake, sil: dict[str, DataFrame], run_date: dt.date) -
         dim = scd2.scd2_apply(lake.read("gold", "dim_customer"), stage, run_date)
     else:
         dim = scd2.scd2_initial(stage, run_date)
-    as_of = gold.as_of_date(sil["nav"])
+    # This run's own valuation date: the newest NAV that it landed (one aggregate
+    # over one column), whatever days the history already has.
+    as_of_value = sil["nav"].agg(F.max("nav_date")).first()[0]
+    if as_of_value is None:
+        raise ValueError("no NAV to value the holdings at")
+    as_of = F.lit(as_of_value)
     fhd = gold.fact_holding_daily(sil["mf_holding"], sil["nav"], sil["scheme"], as_of)
     run_parallel({
         "dim_customer": lambda: lake.publish_replace(dim, "gold", "dim_customer"),
         "dim_scheme": lambda: lake.publish_replace(sil["scheme"], "gold", "dim_scheme"),
         "fact_holding_daily": lambda: lake.publish_snapshot(fhd, "gold", "fact_holding_daily"),
     })
-    # The as-of date is read once from the published fact (one small aggregate
-    # over the partition column) and used to prune every later read.
-    as_of_value = (lake.read_snapshot("gold", "fact_holding_daily")
-                   .agg(F.max("as_of_date")).first()[0])
     fhd_pub = lake.read_snapshot("gold", "fact_holding_daily", as_of_value)
     fld = gold.fact_loan_daily(sil["loan"], gold.customer_collateral(fhd_pub),
                                gold.last_payment(sil["repayment"]), F.lit(as_of_value))
@@ -104,9 +105,8 @@ def read_gold(lake: Lake, as_of) -> dict[str, DataFrame]:
             for t in GOLD_TABLES}
 
 
-def run_eod(spark: SparkSession, sf_dir: str, lake: Lake | None = None,
-            run_date: dt.date | str = "2024-01-05",
-            ingested_at: dt.datetime | None = None) -> EodResult:
+def run_eod(spark: SparkSession, sf_dir: str, lake: Lake | None = None, *,
+            run_date: dt.date | str, ingested_at: dt.datetime | None = None) -> EodResult:
     lake = lake or Lake(spark)
     lake.autoflush = False
     run_date = dt.date.fromisoformat(run_date) if isinstance(run_date, str) else run_date

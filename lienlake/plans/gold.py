@@ -4,10 +4,9 @@ Plan shape (one lazy plan per output, no driver round trip):
 
 * The as-of date is a scalar subquery (``max(nav_date)``) evaluated once per
   query and reused, instead of ``collect()`` + literal.
-* NAV-at-as-of and scheme LTV are joined first (both one row per scheme) and
-  that side is broadcast behind a row-count check, so holdings are not
-  shuffled to be priced; a hot scheme costs nothing.  Beyond the bound the
-  join is sort-merge and AQE splits a skewed holdings partition.
+* NAV-at-as-of and scheme LTV are joined first (both one row per scheme).
+  Catalyst broadcasts that side while it is small; otherwise the join is
+  sort-merge and AQE splits the holdings of a hot scheme.
 * Customer and loan rollups are hash aggregates with map-side partial
   aggregation, so a customer owning a third of the holdings is pre-summed per
   map task before it reaches the shuffle.
@@ -20,20 +19,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import valuation as V
-from ..operators.joins import bounded_broadcast
 
-FHD_COLUMNS = ["customer_id", "scheme_code", "as_of_date", "units_pledged", "nav",
-               "collateral_value", "dp_contrib", "lien_status"]
+# The fact's columns.
 FLD_COLUMNS = ["loan_id", "customer_id", "as_of_date", "product_type", "outstanding",
                "collateral_value", "drawing_power", "ltv_pct", "utilization_pct",
                "shortfall_amount", "margin_call_flag", "dpd", "npa_bucket",
                "accrued_interest", "annual_rate"]
-C360_COLUMNS = ["customer_id", "active_loans", "total_outstanding", "total_collateral",
-                "current_dpd", "in_margin_call", "weighted_ltv", "segment"]
 
 
 def as_of_date(nav: DataFrame) -> Column:
-    """The single global valuation date, as a scalar subquery."""
+    """The single global valuation date, as a scalar subquery.  Removing
+    duplicates doesn't change a maximum, so clean NAV rows will do."""
     return nav.select(F.max("nav_date")).scalar()
 
 
@@ -47,17 +43,10 @@ def asof_nav(nav: DataFrame, as_of: Column | None = None) -> DataFrame:
 
 
 def fact_holding_daily(holding: DataFrame, nav: DataFrame, scheme: DataFrame,
-                       as_of: Column | None = None, scheme_small: bool | None = None) -> DataFrame:
-    """Price every pledged holding at the as-of NAV and its scheme's LTV.
-
-    The priced-scheme side has one row per scheme; it is broadcast when its
-    row count is within the checked bound, so the holdings are not shuffled
-    for this join at all (otherwise a sort-merge join with AQE skew splits).
-    ``scheme_small``: the scheme dimension's bound, if already checked (the
-    priced side has at most one row per scheme)."""
-    priced = bounded_broadcast(
-        asof_nav(nav, as_of).join(scheme.select("scheme_code", "eligible_ltv_pct"), "scheme_code"),
-        small=scheme_small)
+                       as_of: Column | None = None) -> DataFrame:
+    """Price every pledged holding at the as-of NAV and its scheme's LTV
+    (one row per scheme)."""
+    priced = asof_nav(nav, as_of).join(scheme.select("scheme_code", "eligible_ltv_pct"), "scheme_code")
     h = holding.select("customer_id", "scheme_code", "units_pledged", "lien_status")
     j = h.join(priced, "scheme_code")
     return j.select(
@@ -79,7 +68,7 @@ def customer_collateral(fhd: DataFrame) -> DataFrame:
 def last_payment(repayment: DataFrame) -> DataFrame:
     """A3: latest successful payment per loan."""
     ok = repayment.filter(F.col("status") == "SUCCESS")
-    return ok.groupBy("loan_id").agg(F.max(F.col("paid_at").cast("timestamp_ntz")).alias("last_paid"))
+    return ok.groupBy("loan_id").agg(F.max(F.col("paid_at").try_cast("timestamp_ntz")).alias("last_paid"))
 
 
 def fact_loan_daily(loan: DataFrame, by_cust: DataFrame, last_pay: DataFrame,
@@ -149,18 +138,3 @@ def dim_customer_stage(customer: DataFrame) -> DataFrame:
         "customer_id", "pan_token", "kyc_status", "risk_category", "city", "state",
         V.change_hash("kyc_status", "risk_category", "city", "state").alias("_hash"),
     )
-
-
-def build_gold(silver: dict[str, DataFrame], scheme_small: bool | None = None) -> dict[str, DataFrame]:
-    """All gold frames as lazy plans sharing one as-of scalar subquery."""
-    as_of = as_of_date(silver["nav"])
-    fhd = fact_holding_daily(silver["mf_holding"], silver["nav"], silver["scheme"], as_of, scheme_small)
-    fld = fact_loan_daily(silver["loan"], customer_collateral(fhd), last_payment(silver["repayment"]), as_of)
-    return {
-        "dim_scheme": silver["scheme"],
-        "fact_holding_daily": fhd,
-        "fact_loan_daily": fld,
-        "customer_360": customer_360(fld),
-        "mart_portfolio_daily": mart_portfolio_daily(fld),
-        "mart_risk_daily": mart_risk_daily(fld),
-    }

@@ -39,7 +39,7 @@ LOAN_SCHEMA = T.StructType([
 
 def _reg(name, sql=None):
     def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: fn(LendingModel.for_session(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: fn(LendingModel(spark, sf_dir))
         if sql is not None:
             ORACLE_SQL[name] = sql
         return fn
@@ -189,7 +189,7 @@ FROM (
 WHERE outstanding > stressed_drawing_power AND NOT base_margin_call""")
 def _q(m):
     """Loans newly in margin call under each NAV shock scenario."""
-    return stress.stress_revalue(m.fld, m.fhd, m.silver["scheme"], STRESS_SCENARIOS, scheme_small=m.scheme_small)
+    return stress.stress_revalue(m.fld, m.fhd, m.silver["scheme"], STRESS_SCENARIOS)
 
 
 # ---- end of day ------------------------------------------------------------
@@ -204,7 +204,7 @@ UNION ALL SELECT 'mart_risk_daily', count(*) FROM g_risk""")
 def _q(m):
     """Full run with gates into a fresh lake; row counts of the gold tables."""
     lake = _lake(m)
-    res = eod.run_eod(m.spark, m.sf_dir, lake)
+    res = eod.run_eod(m.spark, m.sf_dir, lake, run_date="2024-01-05")
     return eod.gold_counts(lake, res.as_of)
 
 

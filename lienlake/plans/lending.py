@@ -11,52 +11,33 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.joins import fits_broadcast
 from ..sources import adapter
 from . import gold, silver
 
 
 class LendingModel:
-    """Lazy frames for one input directory.  ``for_session`` shares one model
-    per (session, directory): the frames are immutable plans, so sharing them
-    only saves driver-side plan construction and the scheme size check."""
-
-    _shared: dict[tuple[str, str], "LendingModel"] = {}
+    """Lazy frames for one input directory; every query builds its own."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
 
-    @classmethod
-    def for_session(cls, spark: SparkSession, sf_dir: str) -> "LendingModel":
-        key = (spark.sparkContext.applicationId, sf_dir)
-        m = cls._shared.get(key)
-        if m is None or m.spark is not spark:
-            m = cls._shared[key] = cls(spark, sf_dir)
-        return m
-
     @cached_property
     def src(self) -> dict[str, DataFrame]:
         return adapter.load_sources(self.spark, self.sf_dir)
 
-    @cached_property
-    def scheme_small(self) -> bool:
-        """One size check of the scheme dimension per model; every frame with
-        at most one row per scheme inherits it."""
-        return fits_broadcast(self.src["scheme"])
-
     @cached_property
     def silver(self) -> dict[str, DataFrame]:
-        return silver.build_silver(self.src, self.scheme_small)
+        return silver.build_silver(self.src)
 
     @cached_property
     def as_of(self):
-        return gold.as_of_date(self.silver["nav"])
+        return gold.as_of_date(silver.clean_nav(self.src["nav"]))
 
     @cached_property
     def fhd(self) -> DataFrame:
         s = self.silver
-        return gold.fact_holding_daily(s["mf_holding"], s["nav"], s["scheme"], self.as_of, self.scheme_small)
+        return gold.fact_holding_daily(s["mf_holding"], s["nav"], s["scheme"], self.as_of)
 
     @cached_property
     def by_cust(self) -> DataFrame:

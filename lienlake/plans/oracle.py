@@ -46,7 +46,7 @@ WHERE o_custkey % 20 <> 0""",
     "x_loan": """
 SELECT o_orderkey AS loan_id, o_custkey AS customer_id, 'OD' AS product_type, o_totalprice AS outstanding,
   9.5e0 + (o_orderkey % 9) * 0.5e0 AS annual_rate
-FROM orders WHERE o_orderkey % 5 = 0""",
+FROM orders""",
     "x_repayment": """
 SELECT l_orderkey AS loan_id, l_extendedprice * l_discount AS amount,
   CAST(DATE '2024-01-05' - INTERVAL '1' DAY * CAST((year(l_shipdate) * 372 + month(l_shipdate) * 31 + day(l_shipdate)) % 160 - 60 AS INT) AS DATE) AS paid_at,
@@ -163,7 +163,7 @@ SELECT loan_book, aum_pledged, total_dp, active_loans, wavg_ltv
 FROM g_portfolio ORDER BY as_of_date DESC LIMIT 1""",
     "dash_risk_by_bucket": """
 SELECT npa_bucket, loans, exposure, margin_calls, total_shortfall
-FROM g_risk ORDER BY exposure DESC, npa_bucket LIMIT 50""",
+FROM g_risk ORDER BY exposure DESC, npa_bucket""",
     "dash_top_margin_calls": """
 SELECT loan_id, customer_id, outstanding, drawing_power, shortfall_amount, ltv_pct
 FROM g_fld WHERE margin_call_flag = true

@@ -11,7 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import valuation as V
-from ..operators.joins import bounded_broadcast
 from . import gold, serving, silver
 from .lending import LendingModel
 
@@ -21,7 +20,7 @@ QUERIES: dict[str, Query] = {}
 
 def register(name: str):
     def deco(fn: Callable[[LendingModel], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: fn(LendingModel.for_session(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: fn(LendingModel(spark, sf_dir))
         QUERIES[name].__doc__ = fn.__doc__
         return fn
     return deco
@@ -45,7 +44,7 @@ def _q(m):
 
 @register("semi_valid_scheme")
 def _q(m):
-    return silver.valid_holdings(m.src["mf_holding"], m.silver["scheme"], m.scheme_small)
+    return silver.valid_holdings(m.src["mf_holding"], m.silver["scheme"])
 
 
 @register("latest_holding")
@@ -107,22 +106,22 @@ def _q(m):
 
 @register("dash_risk_by_bucket")
 def _q(m):
-    return serving.dash_risk_by_bucket(m.risk)
+    return serving.dash_risk_by_bucket(m.risk, m.as_of)
 
 
 @register("dash_top_margin_calls")
 def _q(m):
-    return serving.dash_top_margin_calls(m.fld)
+    return serving.dash_top_margin_calls(m.fld, m.as_of)
 
 
 @register("dash_ltv_histogram")
 def _q(m):
-    return serving.dash_ltv_histogram(m.fld)
+    return serving.dash_ltv_histogram(m.fld, m.as_of)
 
 
 @register("dash_amc_exposure")
 def _q(m):
-    return serving.dash_amc_exposure(m.fhd, m.silver["scheme"])
+    return serving.dash_amc_exposure(m.fhd, m.silver["scheme"], m.as_of)
 
 
 @register("dash_segments")
@@ -132,12 +131,12 @@ def _q(m):
 
 @register("bi_kpis")
 def _q(m):
-    return serving.bi_kpis(m.portfolio, m.risk)
+    return serving.bi_kpis(m.portfolio, m.risk, m.as_of)
 
 
 @register("bi_exposure_by_bucket")
 def _q(m):
-    return serving.bi_exposure_by_bucket(m.risk)
+    return serving.bi_exposure_by_bucket(m.risk, m.as_of)
 
 
 @register("chart_query")
@@ -154,8 +153,8 @@ def _loan_cust(m):
 
 @register("val_drawing_power")
 def _q(m):
-    priced = bounded_broadcast(gold.asof_nav(m.silver["nav"], m.as_of).join(
-        m.silver["scheme"].select("scheme_code", "eligible_ltv_pct"), "scheme_code"), small=m.scheme_small)
+    priced = gold.asof_nav(m.silver["nav"], m.as_of).join(
+        m.silver["scheme"].select("scheme_code", "eligible_ltv_pct"), "scheme_code")
     h = m.silver["mf_holding"].select("holding_id", "scheme_code", "units_pledged")
     return h.join(priced, "scheme_code").select(
         "holding_id", "units_pledged", "nav", "eligible_ltv_pct",

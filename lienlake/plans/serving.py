@@ -10,15 +10,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.valuation import money_sum, money_total, money_units
 
 
-def latest_as_of(df: DataFrame) -> DataFrame:
-    """Rows of the newest as_of_date only (facts may keep history)."""
-    return df.filter(F.col("as_of_date") == df.select(F.max("as_of_date")).scalar())
+def latest_as_of(df: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Rows of the newest as_of_date only: facts and daily marts keep history.
+    ``as_of``: that date, if the caller has it (a published table's is read
+    from its partition column)."""
+    return df.filter(F.col("as_of_date") == (as_of if as_of is not None else df.select(F.max("as_of_date")).scalar()))
 
 
 def dash_portfolio_latest(mart_portfolio: DataFrame) -> DataFrame:
@@ -27,33 +29,38 @@ def dash_portfolio_latest(mart_portfolio: DataFrame) -> DataFrame:
             .select("loan_book", "aum_pledged", "total_dp", "active_loans", "wavg_ltv"))
 
 
-def dash_risk_by_bucket(mart_risk: DataFrame, row_limit: int = 50) -> DataFrame:
-    """Risk table by DPD bucket, largest exposure first."""
-    return (mart_risk.select("npa_bucket", "loans", "exposure", "margin_calls", "total_shortfall")
-            .orderBy(F.col("exposure").desc(), F.col("npa_bucket")).limit(row_limit))
+def dash_risk_by_bucket(mart_risk: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """O2: the latest day's risk table by DPD bucket, largest exposure first."""
+    return (latest_as_of(mart_risk, as_of).select("npa_bucket", "loans", "exposure", "margin_calls", "total_shortfall")
+            .orderBy(F.col("exposure").desc(), F.col("npa_bucket")))
 
 
-def dash_top_margin_calls(fld: DataFrame, k: int = 50) -> DataFrame:
+def risk_table(mart_risk: DataFrame, as_of: Column | None = None, row_limit: int = 50) -> DataFrame:
+    """The BI table of the same rows, cut at the chart's row limit."""
+    return dash_risk_by_bucket(mart_risk, as_of).limit(row_limit)
+
+
+def dash_top_margin_calls(fld: DataFrame, as_of: Column | None = None, k: int = 50) -> DataFrame:
     """The k loans with the largest shortfall among loans in margin call."""
-    return (fld.filter(F.col("margin_call_flag"))
+    return (latest_as_of(fld, as_of).filter(F.col("margin_call_flag"))
             .select("loan_id", "customer_id", "outstanding", "drawing_power", "shortfall_amount", "ltv_pct")
             .orderBy(F.col("shortfall_amount").desc(), F.col("loan_id")).limit(k))
 
 
-def dash_ltv_histogram(fld: DataFrame, width: int = 10) -> DataFrame:
+def dash_ltv_histogram(fld: DataFrame, as_of: Column | None = None, width: int = 10) -> DataFrame:
     """Equal-width LTV histogram."""
     bucket = (F.floor(F.col("ltv_pct") / width) * width).cast("int").alias("ltv_bucket")
-    return (fld.filter(F.col("ltv_pct").isNotNull()).groupBy(bucket)
+    return (latest_as_of(fld, as_of).filter(F.col("ltv_pct").isNotNull()).groupBy(bucket)
             .agg(F.count(F.lit(1)).alias("loans")).orderBy("ltv_bucket"))
 
 
-def dash_amc_exposure(fhd: DataFrame, dim_scheme: DataFrame, k: int = 10) -> DataFrame:
+def dash_amc_exposure(fhd: DataFrame, dim_scheme: DataFrame, as_of: Column | None = None, k: int = 10) -> DataFrame:
     """Collateral by fund house, top k.
 
     Holdings are pre-aggregated per scheme before the join, so the join sees
     one row per scheme instead of one per holding (a hot scheme costs nothing).
     """
-    per_scheme = fhd.groupBy("scheme_code").agg(F.sum(money_units("collateral_value")).alias("_v"))
+    per_scheme = latest_as_of(fhd, as_of).groupBy("scheme_code").agg(F.sum(money_units("collateral_value")).alias("_v"))
     j = per_scheme.join(dim_scheme.select("scheme_code", "amc"), "scheme_code")
     agg = j.groupBy("amc").agg(F.sum("_v").alias("_v"))
     return (agg.select("amc", money_total("_v").alias("exposure"))
@@ -68,16 +75,16 @@ def dash_segments(c360: DataFrame, row_limit: int | None = None) -> DataFrame:
     return out.limit(row_limit) if row_limit else out
 
 
-def bi_kpis(mart_portfolio: DataFrame, mart_risk: DataFrame) -> DataFrame:
+def bi_kpis(mart_portfolio: DataFrame, mart_risk: DataFrame, as_of: Column | None = None) -> DataFrame:
     """The four KPI tiles over the latest as-of (one row).
 
     The two marts are stacked and folded with one aggregate (no join)."""
-    p = latest_as_of(mart_portfolio).select(
+    p = latest_as_of(mart_portfolio, as_of).select(
         F.col("loan_book").cast("decimal(38,6)").alias("loan_book"),
         F.col("aum_pledged").cast("decimal(38,6)").alias("aum_pledged"),
         F.col("active_loans").cast("bigint").alias("active_loans"),
         F.lit(None).cast("bigint").alias("margin_calls"))
-    r = latest_as_of(mart_risk).select(
+    r = latest_as_of(mart_risk, as_of).select(
         F.lit(None).cast("decimal(38,6)").alias("loan_book"),
         F.lit(None).cast("decimal(38,6)").alias("aum_pledged"),
         F.lit(None).cast("bigint").alias("active_loans"),
@@ -91,9 +98,9 @@ def bi_kpis(mart_portfolio: DataFrame, mart_risk: DataFrame) -> DataFrame:
                     F.coalesce(F.col("margin_calls"), F.lit(0)).cast("bigint").alias("open_margin_calls"))
 
 
-def bi_exposure_by_bucket(mart_risk: DataFrame, row_limit: int = 50) -> DataFrame:
+def bi_exposure_by_bucket(mart_risk: DataFrame, as_of: Column | None = None, row_limit: int = 50) -> DataFrame:
     """SUM(exposure) by bucket (bar chart)."""
-    return (mart_risk.groupBy("npa_bucket").agg(money_sum("exposure").alias("exposure"))
+    return (latest_as_of(mart_risk, as_of).groupBy("npa_bucket").agg(money_sum("exposure").alias("exposure"))
             .orderBy(F.col("npa_bucket")).limit(row_limit))
 
 

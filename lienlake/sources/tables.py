@@ -2,9 +2,7 @@
 
 Every reader names the columns it needs, so Catalyst prunes the parquet
 ``ReadSchema`` to exactly those columns and pushes filters into the scan.
-The base (all-column) DataFrame of each input path is resolved once per
-session: file listing and footer/schema resolution are driver-side work that
-would otherwise repeat for every plan that mentions the table.
+Each call reads the table anew, so changed inputs are seen.
 """
 
 from __future__ import annotations
@@ -15,27 +13,10 @@ DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
                  "conversations"]
 
-_BASE: dict[tuple[str, str], DataFrame] = {}
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def base_table(spark: SparkSession, path: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, path)
-    df = _BASE.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _BASE[key] = df
-    return df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    df = base_table(spark, table_path(sf_dir, name))
+    df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*cols) if cols else df
-
-
-def forget_tables() -> None:
-    """Drop cached readers (inputs replaced in place)."""
-    _BASE.clear()

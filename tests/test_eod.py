@@ -15,7 +15,7 @@ def test_hard_silver_failure_stops_before_gold(spark, scratch, monkeypatch):
     monkeypatch.setitem(quality.SUITES, "silver", suite)
     lake = Lake(spark, scratch)
     with pytest.raises(quality.DataQualityError):
-        eod.run_eod(spark, SF, lake)
+        eod.run_eod(spark, SF, lake, run_date="2024-01-05")
     assert lake.exists("silver", "loan")
     assert not lake.exists("gold", "dim_customer")
     # the audit of what was published before the failure is still written
@@ -24,9 +24,9 @@ def test_hard_silver_failure_stops_before_gold(spark, scratch, monkeypatch):
 
 def test_rerun_same_day_is_idempotent(spark, scratch):
     lake = Lake(spark, scratch)
-    first = eod.run_eod(spark, SF, lake)
+    first = eod.run_eod(spark, SF, lake, run_date="2024-01-05")
     counts1 = {r["table_name"]: r["row_count"] for r in eod.gold_counts(lake, first.as_of).collect()}
-    second = eod.run_eod(spark, SF, lake)
+    second = eod.run_eod(spark, SF, lake, run_date="2024-01-05")
     counts2 = {r["table_name"]: r["row_count"] for r in eod.gold_counts(lake, second.as_of).collect()}
     assert first.as_of == second.as_of
     assert counts1 == counts2                       # SCD2 no-op, snapshots replaced not appended

@@ -2,11 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from lienlake.catalog import all_oracle_sql, all_queries
 from tests.oracle_harness import compare, duck_connect
 
 SF = "/root/testdata/sf0.001"
-KEYS = sorted(queries())
+KEYS = sorted(all_queries())
 
 
 @pytest.fixture(scope="module")
@@ -22,10 +23,10 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(KEYS) - set(oracle_sql()) == set()
+    assert set(KEYS) - set(all_oracle_sql()) == set()
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, duck, key):
-    info = compare(spark, duck, key, queries()[key], oracle_sql().get(key), SF)
+    info = compare(spark, duck, key, all_queries()[key], all_oracle_sql().get(key), SF)
     assert info["status"] in ("OK", "rows-only"), info
