@@ -56,7 +56,7 @@ class Grams:
                 power = power * base
                 h = h[:-1] + code[n - 1 :] * power
                 if n >= self.shortest:
-                    whole = np.flatnonzero(gaps[n:] == gaps[: len(gaps) - n])
+                    whole = np.flatnonzero(gaps[n:] == gaps[: max(len(gaps) - n, 0)])
                     g = h[whole]
                     g = (g ^ (g >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15 + 2 * n)
                     yield (g >> np.uint64(64 - self.bits)).astype(np.int64), number[whole]

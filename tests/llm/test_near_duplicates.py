@@ -281,4 +281,4 @@ def test_word_hashes_do_not_depend_on_place():
     run = hasher.running(h)
     first = np.arange(len(h) - 1)
     pair = hasher.stretch(run, first, first + 2)
-    assert pair[0] == pair[2] == pair[6] and pair[0] != pair[1]
+    assert pair[0] == pair[6] and len(set(pair.tolist())) == len(pair) - 1
