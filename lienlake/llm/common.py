@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import remove_dir, scratch_path
 
 #: White space that separates words: space and the control characters 9 to 13.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -17,12 +17,28 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     return df.select(*columns) if columns else df
 
 
+#: Folders of this driver's cuts, until they are cleared.
+_CUTS: list[str] = []
+
+
+def clear_cuts(docs: DataFrame) -> None:
+    """Remove the folders of all cuts but those that ``docs`` is read from.  For the place between two stages, where
+    the result of the one before has been written and nothing else needs its cuts."""
+    files = docs.inputFiles()
+    kept = [p for p in _CUTS if any(p in f for f in files)]
+    for p in _CUTS:
+        if p not in kept:
+            remove_dir(docs.sparkSession, p)
+    _CUTS[:] = kept
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later stages restart from the files, not from
     the lineage, when an executor is lost.  Shuffle files go when the driver has collected the plans that made
     them, so it is asked to collect."""
     spark = df.sparkSession
     path = scratch_path(spark, "cut")
+    _CUTS.append(path)
     df.write.parquet(path)
     spark.sparkContext._jvm.java.lang.System.gc()
     return spark.read.schema(df.schema).parquet(path)

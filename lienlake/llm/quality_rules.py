@@ -121,7 +121,8 @@ def order_rules(docs: DataFrame, conditions: dict[str, Column], sample_rows: int
 
 def judge(docs: DataFrame, text_col: str = "text", sample_rows: int = 1000) -> DataFrame:
     """``docs`` with the base statistics, base_failed, failed_rule (the rule that rejected the text, which depends on
-    the order; null if none) and kept."""
+    the order; null if none) and kept.  Write the result before filtering it: a filter on a statistic is pushed down
+    and computes it twice."""
     stats = with_statistics(docs, text_col)
     conditions = rules()
     order = order_rules(docs.select(F.col(text_col).alias("text")), conditions, sample_rows)

@@ -4,7 +4,7 @@ import corpus_pipeline
 import pytest
 
 from lienlake.llm import queries, toxicity
-from lienlake.llm.common import cut
+from lienlake.session import scratch_path
 
 from .conftest import SF
 from .test_near_duplicates import brute_components, brute_leaks, brute_lines, rows_of
@@ -14,7 +14,9 @@ from .test_near_duplicates import brute_components, brute_leaks, brute_lines, ro
 def steps(spark):
     docs, out = spark.read.parquet(f"{SF}/documents.parquet"), []
     for _, stage in corpus_pipeline.STAGES:
-        docs = cut(stage(spark, docs, SF))
+        path = scratch_path(spark, "stage")
+        stage(spark, docs, SF).write.parquet(path)
+        docs = spark.read.parquet(path)
         out.append(docs)
     return out
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lienlake.llm import license_scan, quality_rules, queries, secret_scan
+from lienlake.llm.common import cut
 
 from .conftest import split_words
 
@@ -89,10 +90,14 @@ def statistics(text):
     return n, sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(covered)
 
 
-def test_statistics_match_brute_force(mixed):
-    got = quality_rules.judge(mixed).select("doc_id", "text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                                            "base_failed", "kept").collect()
-    for r in got:
+@pytest.fixture(scope="module")
+def judged(mixed):
+    return cut(quality_rules.judge(mixed))
+
+
+def test_statistics_match_brute_force(judged):
+    for r in judged.select("doc_id", "text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                           "kept").collect():
         want = statistics(r["text"])
         assert tuple(r[2:7]) == want
         assert r["base_failed"] == (want[0] < 10 or 100 * want[4] > 20 * want[0])
@@ -106,17 +111,17 @@ def test_repeated_words(spark, text, n):
     assert df.select(quality_rules.repeated_words(F.col("w"))).first()[0] == n == statistics(text)[4]
 
 
-def test_verdict_does_not_depend_on_the_order(mixed):
-    stats = quality_rules.with_statistics(mixed.filter("doc_id < 120"))
+def test_verdict_does_not_depend_on_the_order(mixed, judged):
+    stats = cut(quality_rules.with_statistics(mixed.filter("doc_id < 120")))
     conditions = quality_rules.rules()
     assert sorted(quality_rules.order_rules(mixed.select("text"), conditions, 50)) == sorted(conditions)
     each = stats.select("doc_id", *[F.coalesce(c, F.lit(False)).alias(k) for k, c in conditions.items()]).collect()
-    kept = {r["doc_id"]: r["kept"] for r in quality_rules.judge(mixed.filter("doc_id < 120")).filter("not base_failed").collect()}
+    kept = {r["doc_id"]: r["kept"] for r in judged.filter("doc_id < 120 and not base_failed").collect()}
     assert {r["doc_id"]: not any(r[k] for k in conditions) for r in each if r["doc_id"] in kept} == kept
 
 
-def test_cascade_keeps_good_and_rejects_bad_text(mixed, labels):
-    r = quality_rules.judge(mixed).join(labels, "doc_id").filter("not base_failed").groupBy("quality", "kept").count().collect()
+def test_cascade_keeps_good_and_rejects_bad_text(judged, labels):
+    r = judged.join(labels, "doc_id").filter("not base_failed").groupBy("quality", "kept").count().collect()
     n = {(x["quality"], x["kept"]): x["count"] for x in r}
     assert n.get((1, False), 0) <= 0.02 * n[1, True] and n.get((0, True), 0) <= 0.1 * sum(v for k, v in n.items() if k[0] == 0) + 1
 
