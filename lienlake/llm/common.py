@@ -17,19 +17,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     return df.select(*columns) if columns else df
 
 
-#: Folders of this driver's cuts, until they are cleared.
-_CUTS: list[str] = []
+#: Folders that ``cut`` has written in this process.
+CUTS: list[str] = []
 
 
-def clear_cuts(docs: DataFrame) -> None:
-    """Remove the folders of all cuts but those that ``docs`` is read from.  For the place between two stages, where
-    the result of the one before has been written and nothing else needs its cuts."""
+def clear_cuts(paths: list[str], docs: DataFrame) -> None:
+    """Remove the folders of cuts that nothing needs any more, but those that ``docs`` is read from."""
     files = docs.inputFiles()
-    kept = [p for p in _CUTS if any(p in f for f in files)]
-    for p in _CUTS:
-        if p not in kept:
+    for p in paths:
+        if not any(p in f for f in files):
             remove_dir(docs.sparkSession, p)
-    _CUTS[:] = kept
+            CUTS.remove(p)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -38,7 +36,7 @@ def cut(df: DataFrame) -> DataFrame:
     them, so it is asked to collect."""
     spark = df.sparkSession
     path = scratch_path(spark, "cut")
-    _CUTS.append(path)
+    CUTS.append(path)
     df.write.parquet(path)
     spark.sparkContext._jvm.java.lang.System.gc()
     return spark.read.schema(df.schema).parquet(path)
