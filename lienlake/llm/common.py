@@ -25,7 +25,7 @@ def clear_cuts(paths: list[str], docs: DataFrame) -> None:
     """Remove the folders of cuts that nothing needs any more, but those that ``docs`` is read from."""
     files = docs.inputFiles()
     for p in paths:
-        if not any(p in f for f in files):
+        if not any(p.split("/")[-2] in f for f in files):  # the folder's own name; how a path is spelled may differ
             remove_dir(docs.sparkSession, p)
             CUTS.remove(p)
 
