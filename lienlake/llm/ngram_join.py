@@ -26,8 +26,9 @@ a larger group.)
 A larger group is gathered around a leader L, its member that stands in most
 such groups, so that groups of the same family share theirs.  Of a cluster, the
 members of all groups with the same leader, up to ``CLUSTER`` sets are held
-against each other by fingerprints in one task, which returns only pairs that
-may still link.
+against each other by fingerprints in one task.  It returns each set's nearest
+pair first; once those are compared exactly, the pairs of different components
+that may still link follow.
 
 A larger cluster, such as thousands of near copies, is never expanded into its
 pairs.  Every member x is compared with L exactly.  For two members x and y that
@@ -190,20 +191,20 @@ def _may_link(threshold: int):
     return run
 
 
-def _near_in_cluster(threshold: int):
-    """The pairs of a cluster (sid, n, print) that may link by their sizes and fingerprints."""
+def _near_in_cluster(threshold: int, all_pairs: bool):
+    """Pairs of a cluster (sid, n, print, part) that may link by their sizes and fingerprints: all of different
+    parts, or for each set only the nearest of those before it by size, and with itself if it is near a later one."""
     def run(members):
         import pandas as pd
 
-        members = members.sort_values("n")
-        sid, n = members["sid"].to_numpy(), members["n"].to_numpy()
+        members = members.sort_values(["n", "sid"])
+        sid, n, part = (members[c].to_numpy() for c in ("sid", "n", "part"))
         cells = members["print"].map(len).to_numpy()
         by = {c: np.stack([np.frombuffer(x, np.uint8) for x in members["print"][cells == c]]) for c in np.unique(cells)}
         first = {c: int(np.argmax(cells == c)) for c in by}  # sizes grow, so equal lengths stand together
-        found = []
+        found, least, nearest = [], np.full(len(sid), np.iinfo(np.int64).max), np.arange(len(sid))
         for i in range(len(sid)):
             mine = by[cells[i]][i - first[cells[i]]]
-            most = (100 - threshold) * (n[i] + n) // (100 + threshold)
             for c, prints in by.items():
                 lo = max(i + 1, first[c])
                 hi = min(int(np.searchsorted(n, n[i] * 100 // threshold, "right")), first[c] + len(prints))
@@ -212,9 +213,18 @@ def _near_in_cluster(threshold: int):
                 theirs = prints[lo - first[c] : hi - first[c]]
                 while theirs.shape[1] > len(mine):
                     theirs = _folded(theirs)
-                near = np.flatnonzero((theirs != mine).sum(1) <= most[lo:hi]) + lo
-                found += [(max(sid[i], sid[j]), min(sid[i], sid[j])) for j in near]
-        return pd.DataFrame(found, columns=["sid", "leader"])
+                apart = (theirs != mine).sum(1)
+                near = (apart <= (100 - threshold) * (n[i] + n[lo:hi]) // (100 + threshold)) & (part[lo:hi] != part[i])
+                at = np.flatnonzero(near)
+                if all_pairs:
+                    found += [(sid[i], sid[lo + j]) for j in at]
+                elif len(at):
+                    closer = at[apart[at] < least[lo + at]]
+                    least[lo + closer], nearest[lo + closer] = apart[closer], i
+                    found.append((sid[i], sid[i]))
+        if not all_pairs:
+            found += [(sid[i], sid[j]) for j, i in enumerate(nearest) if i != j]
+        return pd.DataFrame([(max(p), min(p)) for p in found], columns=["sid", "leader"], dtype="int64")
     return run
 
 
@@ -323,11 +333,22 @@ def similarity_links(keyed: DataFrame, prints: DataFrame, sets_of, threshold: in
         return pairs.join(prints, "sid").join(of_leader, "leader").mapInArrow(_may_link(threshold), "sid long, leader long")
 
     def around_leaders(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Pairs that may link in clusters of up to CLUSTER sets; the members (sid, turn, leader) of larger ones."""
+        """Members (sid, turn, leader) of clusters of up to CLUSTER sets, and of larger ones."""
         sized = cut(members.distinct().withColumn("of", F.count("*").over(W.partitionBy("leader"))))
-        gathered = sized.filter(F.col("of") <= CLUSTER).select("sid", "leader").join(prints, "sid")
-        near = gathered.groupBy("leader").applyInPandas(_near_in_cluster(threshold), "sid long, leader long")
-        return near, sized.filter(F.col("of") > CLUSTER).drop("of")
+        return sized.filter(F.col("of") <= CLUSTER).drop("of"), sized.filter(F.col("of") > CLUSTER).drop("of")
+
+    def nearest(members: DataFrame) -> DataFrame:
+        own = members.select("sid", "leader", F.col("sid").alias("part")).join(prints, "sid")
+        return own.groupBy("leader").applyInPandas(_near_in_cluster(threshold, False), "sid long, leader long")
+
+    def across_parts(members: DataFrame, links: DataFrame) -> DataFrame:
+        """What the nearest pairs left apart: all pairs of different components that may link."""
+        part = F.coalesce("root", "sid").alias("part")
+        own = members.join(components(links).withColumnRenamed("node", "sid"), "sid", "left").select("sid", "leader", part)
+        w = W.partitionBy("leader")
+        own = own.select("sid", "leader", "part", F.min("part").over(w).alias("p0"), F.max("part").over(w).alias("p1"))
+        own = own.filter("p0 <> p1").drop("p0", "p1").join(prints, "sid")
+        return own.groupBy("leader").applyInPandas(_near_in_cluster(threshold, True), "sid long, leader long").distinct()
 
     w = W.partitionBy("key")
     groups = cut(keyed.select("key", "sid", F.count("*").over(w).alias("size"), F.min("sid").over(w).alias("s0"),
@@ -336,11 +357,13 @@ def similarity_links(keyed: DataFrame, prints: DataFrame, sets_of, threshold: in
     crowd = groups.filter(F.col("size") > SMALL).select("key", "sid")
     turn = crowd.groupBy("sid").agg((-F.count("*")).alias("turn"))
     first = F.min(F.struct("turn", "sid")).over(W.partitionBy("key"))["sid"]
-    near, large = around_leaders(crowd.join(turn, "sid").select("sid", "turn", first.alias("leader")))
-    pairs = cut(likely(_pairs_of_small(groups.withColumn("part", F.col("sid")), "key")).union(near).distinct())
+    middle, large = around_leaders(crowd.join(turn, "sid").select("sid", "turn", first.alias("leader")))
+    pairs = cut(likely(_pairs_of_small(groups.withColumn("part", F.col("sid")), "key")).union(nearest(middle)).distinct())
     sets = cut(sets_of(pairs.select("sid").union(pairs.select("leader")).union(large.select("sid")).distinct()))
     as_link = (F.col("sid").alias("a"), F.col("leader").alias("b"))
-    links = cut(_compare(pairs, sets, threshold).filter("linked").select(*as_link))
+    found = lambda pairs: _compare(pairs.filter("sid <> leader"), sets, threshold).filter("linked").select(*as_link)
+    links = cut(found(pairs))
+    links = cut(links.union(found(across_parts(middle, links))))
     while not large.isEmpty():
         seen = cut(_compare(large.filter("sid <> leader"), sets, threshold, "turn"))
         links = cut(links.union(seen.filter("linked").select(*as_link)))
@@ -354,9 +377,11 @@ def similarity_links(keyed: DataFrame, prints: DataFrame, sets_of, threshold: in
         enough = F.floor(F.lit(100 - threshold) * F.col("n") / 100).cast("int") + 1
         added = open_.select(F.col("leader").alias("from"), "sid", "part", "turn", F.explode(F.slice("added", F.lit(1), enough)).alias("shingle"))
         groups = cut(_groups(added, "from", "shingle"))
-        near, large = around_leaders(groups.filter(F.col("size") > SMALL).select("sid", "turn", "leader"))
-        pairs = likely(_pairs_of_small(groups, "from", "shingle")).union(near).union(_few_additions(open_, threshold)).distinct()
-        links = cut(links.union(_compare(pairs, sets, threshold).filter("linked").select(*as_link)))
+        middle, large = around_leaders(groups.filter(F.col("size") > SMALL).select("sid", "turn", "leader"))
+        pairs = likely(_pairs_of_small(groups, "from", "shingle")).union(_few_additions(open_, threshold))
+        links = cut(links.union(found(pairs.union(nearest(middle)).distinct())))
+        if not middle.isEmpty():
+            links = cut(links.union(found(across_parts(middle, links))))
     return links
 
 
