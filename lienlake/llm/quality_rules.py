@@ -26,11 +26,12 @@ from .common import cut, let, text_or_empty, words
 SYMBOLS = r"[#*$%&|<>]"
 
 
-def _windows(w: Column, k: int) -> Column:
-    """Hashes of the k-word windows of an array of words."""
-    starts = F.sequence(F.lit(0), F.size(w) - k)
-    return F.when(F.size(w) >= k, F.transform(starts, lambda i: F.xxhash64(*[w[i + j] for j in range(k)]))).otherwise(
-        F.array().cast("array<long>"))
+def windows(w: Column, k: int = 5) -> Column:
+    """Hashes of the k-word windows of an array of words, each word hashed once."""
+    def of(h: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(0), F.size(h) - k), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(k)]))
+        return F.when(F.size(h) >= k, each).otherwise(F.array().cast("array<long>"))
+    return let(F.transform(w, lambda x: F.xxhash64(x)), of)
 
 
 def _before(a: Column) -> Column:
@@ -41,8 +42,9 @@ def _after(a: Column) -> Column:
     return F.concat(F.slice(a, 2, F.size(a)), F.transform(F.slice(a, 1, 1), lambda x: F.nullif(x, x)))
 
 
-def repeated_words(w: Column, k: int = 5) -> Column:
-    """How many words stand in k-word windows that the text has twice or more (all of them, the first included).
+def repeated_words(g: Column, k: int = 5) -> Column:
+    """How many words stand in k-word windows that the text has twice or more (all of them, the first included), from
+    the windows' hashes.
 
     Windows are sorted with their places; those equal to a neighbour are repeated; their places, sorted again, tell
     how far each window reaches beyond the one before."""
@@ -58,11 +60,11 @@ def repeated_words(w: Column, k: int = 5) -> Column:
             places = F.transform(F.filter(F.arrays_zip(s.alias("s"), twin.alias("t")), lambda x: x["t"]), lambda x: x["s"]["i"])
             return let(F.sort_array(places), reach)
         return let(placed, repeated)
-    return let(_windows(w, k), lambda g: F.when(F.size(F.array_distinct(g)) < F.size(g), covered(g)).otherwise(F.lit(0).cast("long")))
+    return F.when(F.size(F.array_distinct(g)) < F.size(g), covered(g)).otherwise(F.lit(0).cast("long"))
 
 
 def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with columns __text, __words and the base statistics n_words, word_chars, n_symbols, n_lines,
+    """``docs`` with columns __text, __words, __letters (how many) and the base statistics n_words, word_chars, n_symbols, n_lines,
     n_dup_lines, n_repeat_words (long)."""
     w, lines = F.col("__words"), F.col("__lines")
     out = docs.withColumn("__text", text_or_empty(text_col))
@@ -71,7 +73,8 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return out.withColumns({
         "n_words": F.size(w).cast("long"), "word_chars": F.length(F.array_join(w, "")).cast("long"),
         "n_symbols": F.regexp_count("__text", F.lit(SYMBOLS)).cast("long"), "n_lines": F.size(lines).cast("long"),
-        "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"), "n_repeat_words": repeated_words(w)}).drop("__lines")
+        "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"), "__letters": F.regexp_count("__text", F.lit(r"\p{L}")), "__windows": windows(w)}).withColumn(
+        "n_repeat_words", repeated_words(F.col("__windows"))).drop("__lines", "__windows")
 
 
 def base_failed() -> Column:
@@ -81,7 +84,7 @@ def base_failed() -> Column:
 def rules() -> dict[str, Column]:
     """The method's rules: what each rejects, from the statistics and the text."""
     n = F.col("n_words")
-    letters = F.regexp_count("__text", F.lit(r"\p{L}"))
+    letters = F.col("__letters")
     return {
         "word_length": (F.col("word_chars") < 2 * n) | (F.col("word_chars") > 15 * n),
         "symbols": 10 * F.col("n_symbols") > n,
@@ -130,4 +133,4 @@ def judge(docs: DataFrame, text_col: str = "text", sample_rows: int = 1000) -> D
     for name in order:
         verdict = verdict.when(conditions[name], name)
     out = stats.withColumn("base_failed", base_failed()).withColumn("failed_rule", verdict)
-    return out.withColumn("kept", F.col("failed_rule").isNull()).drop("__text", "__words")
+    return out.withColumn("kept", F.col("failed_rule").isNull()).drop("__text", "__words", "__letters")

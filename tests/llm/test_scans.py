@@ -107,8 +107,8 @@ def test_statistics_match_brute_force(judged):
 @pytest.mark.parametrize("text, n", [("a b c d e a b c d e", 10), ("a a a a a a", 6), ("a b c d e f g h i j", 0), ("a b c d e x b c d e f y a b c d e", 10),
                                      ("x a b c d e f y a b c d e f", 12)])
 def test_repeated_words(spark, text, n):
-    df = spark.createDataFrame([(text,)], "text string").withColumn("w", F.split("text", " "))
-    assert df.select(quality_rules.repeated_words(F.col("w"))).first()[0] == n == statistics(text)[4]
+    df = spark.createDataFrame([(text,)], "text string").select(quality_rules.windows(F.split("text", " ")).alias("g"))
+    assert df.select(quality_rules.repeated_words(F.col("g"))).first()[0] == n == statistics(text)[4]
 
 
 def test_verdict_does_not_depend_on_the_order(mixed, judged):
