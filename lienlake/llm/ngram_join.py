@@ -14,7 +14,8 @@ nearly everything; T grows by ``spare`` to make up for them.  ``allocate``
 chooses the number of deep segments and spare shares of a band by cost: keys
 written against sets that are expected to meet by accident.  In bands without
 deep segments T is larger by SHARED - 1, so that linked sets share at least
-SHARED keys there.
+SHARED keys there; in the others they are sure of one key only.  A key's lowest
+bit tells which: it is 1 if the key alone makes its sets candidates.
 
 Sets that share a key are candidates.  The pairs of a group of up to ``SMALL``
 sets are written out and counted; those that share enough keys are held against
@@ -136,7 +137,7 @@ def allocate(b: int, threshold: int) -> tuple[int, int, int]:
 
 
 def keys_of(shingles, b: int, plan: tuple[int, int, int]):
-    """The keys under which a set is filed in band b."""
+    """The keys under which a set is filed in band b; their lowest bit is 1 if the band has deep segments."""
     plain, deep, spare = plan
     share = mix(shingles, 11 + b) % np.uint64(plain + 2 * deep)
     code = mix(shingles, 23)
@@ -157,7 +158,7 @@ def keys_of(shingles, b: int, plan: tuple[int, int, int]):
         inside = segment < deep
         at = segment[inside]
         found.append(mix((total[at] - code[inside]) ^ place[at]))
-    return np.unique(np.concatenate(found))
+    return np.unique(np.concatenate(found) & ~np.uint64(1) | np.uint64(deep > 0))
 
 
 def fingerprint(shingles) -> bytes:

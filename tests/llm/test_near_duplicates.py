@@ -105,6 +105,36 @@ def test_linked_sets_share_enough_keys(size):
         assert b - ngram_join.band_of(len(x)) in (0, 1)
 
 
+def pairs_of_few_shingles(rng, k, n):
+    """Pairs of texts of 7 to 26 shingles that share no words with other pairs: one word is replaced or some appended."""
+    rows = []
+    for i in range(n):
+        w = [f"p{i}w{x}" for x in range(int(rng.integers(7, 27)) + k - 1)]
+        v = list(w)
+        if i % 2:
+            v[[0, -1][i % 4 // 2]] = f"p{i}other"
+        else:
+            v = v + [f"p{i}more{x}" for x in range(int(rng.integers(1, 5)))]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(v))]
+    return rows
+
+
+def test_ngram_join_links_short_texts(spark):
+    """Bands with deep segments promise one common key, so one is enough for a pair to be compared."""
+    rows = pairs_of_few_shingles(np.random.default_rng(8), 4, 400)
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"])
+                  for r in ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    want = brute_components(rows)
+    assert got == want and sum(doc != least for doc, _, least in want) > 100
+
+
+@pytest.mark.parametrize("b", range(14))
+def test_a_key_tells_whether_it_is_enough(b):
+    plan = ngram_join.allocate(b, 85)
+    keys = ngram_join.keys_of(np.arange(ngram_join.band_start(b), dtype=np.uint64), b, plan)
+    assert set((keys & np.uint64(1)).tolist()) == {int(plan[1] > 0)}
+
+
 def test_ngram_join_of_nothing_and_stage(nothing, edges):
     assert ngram_join.jaccard_components(nothing).count() == 0
     kept = ngram_join.keep_one_of_each(edges)
