@@ -1,12 +1,15 @@
 """Licence statements through a positional rare-token index (operator 10).
 
 The licence templates are indexed by word: for each word, the templates and the
-places where they have it.  A file is looked up with its ``rare`` licence words
-of highest IDF, where the IDF is counted over the whole corpus.  Each occurrence
-votes for a template at a relative position (its place less the template's);
-the position with most votes is where the template would begin.  A template is
-accepted if all its mandatory phrases stand in the file and the words there
-agree with it well enough.
+places where they have it.  A template whose mandatory phrases all stand in the
+file is looked up with its own words of highest IDF that the file has, where the
+IDF is counted over the whole corpus.  Each occurrence votes for the template at a
+relative position (its place less the template's), and the words at every position
+voted for are compared.  A template is accepted if they agree with it well enough.
+
+So many words are looked up that they and the words that the file lacks fill more
+of the template's places than may disagree.  Where the template is accepted one of
+them agrees, so no such position goes without a vote, whatever else is in the file.
 
 Templates are a fixed, short list, so their index is a literal in the plan.  A
 file's words are looked up in the row itself; only the document counts of the
@@ -88,19 +91,30 @@ def _all(conditions: list[Column]) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
-def _agreement(w: Column, looked_up: Column, template: str, phrases: tuple[str, ...]) -> Column:
-    """Share of a template's words that stand in the file at the template's best relative position; 0 if it is not
-    accepted."""
+def _agreement(w: Column, by_idf: Column, template: str, phrases: tuple[str, ...], least: float) -> Column:
+    """Share of a template's words that stand in the file at the template's best relative position; 0 if a mandatory
+    phrase is missing, and exact if it is ``least`` or more.  ``by_idf``: the file's licence words, rarest first."""
     own = template.split(" ")
+    enough = len(own) + 1 - min(n for n in range(len(own) + 1) if n / len(own) >= least)
     postings = {}
     for place, word in enumerate(own):
         postings.setdefault(word, []).append(place)
     index = F.create_map(*[c for k, v in postings.items() for c in (F.lit(k), F.array(*[F.lit(p) for p in v]))])
-    # votes: relative positions of the looked-up words' occurrences
-    at = F.filter(F.transform(w, lambda x, i: F.when(F.array_contains(looked_up, x), F.struct(x.alias("w"), i.alias("i")))),
-                  lambda x: x.isNotNull())
-    votes = F.flatten(F.transform(at, lambda x: F.transform(F.coalesce(F.element_at(index, x["w"]), F.array().cast("array<int>")),
-                                                            lambda p: x["i"] - p)))
+    times = F.create_map(*[c for k, v in postings.items() for c in (F.lit(k), F.lit(len(v)))])
+
+    def looked_up(has: Column) -> Column:
+        # the rarest words, until they and the missing ones fill ``enough`` places
+        lacks = F.lit(len(own)) - F.aggregate(has, F.lit(0), lambda a, x: a + F.element_at(times, x))
+        start = F.struct(lacks.alias("filled"), F.array().cast("array<string>").alias("of"))
+        more = lambda a, x: F.struct((a["filled"] + F.element_at(times, x)).alias("filled"), F.concat(a["of"], F.array(x)).alias("of"))
+        return F.aggregate(has, start, lambda a, x: F.when(a["filled"] < enough, more(a, x)).otherwise(a))["of"]
+
+    def votes_of(rare: Column) -> Column:
+        # relative positions of the looked-up words' occurrences
+        at = F.filter(F.transform(w, lambda x, i: F.when(F.array_contains(rare, x), F.struct(x.alias("w"), i.alias("i")))),
+                      lambda x: x.isNotNull())
+        return F.flatten(F.transform(at, lambda x: F.transform(F.element_at(index, x["w"]), lambda p: x["i"] - p)))
+    votes = let(let(F.array_intersect(by_idf, _strings(postings)), looked_up), votes_of)
 
     def best(v: Column) -> Column:
         # distinct positions with the words that agree there, over the whole template
@@ -112,7 +126,7 @@ def _agreement(w: Column, looked_up: Column, template: str, phrases: tuple[str,
     return F.when(_all(must), share).otherwise(F.lit(0.0))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare: int = 6, least: float = 0.6) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.6) -> DataFrame:
     """One row per row: doc_id, n_words, n_base, first_word, last_word (places of the base phrases), base_labels,
     labels (the accepted templates' too) as sorted arrays, and score, the best agreement of an accepted template."""
     vocabulary = sorted({w for t, _ in TEMPLATES.values() for w in t.split(" ")})
@@ -126,11 +140,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare:
     order = counts.agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "word"))), lambda x: x["word"]).alias("by_idf"))
     by_idf = F.coalesce(order.scalar(), F.array().cast("array<string>"))
     base = {label: _places(F.col("w"), phrase) for phrase, label in BASE.items()}
-    rows = rows.select("doc_id", "n_words", "w", F.slice(F.array_intersect(by_idf, F.col("seen")), 1, rare).alias("rare"),
+    rows = rows.select("doc_id", "n_words", "w", F.array_intersect(by_idf, F.col("seen")).alias("by_idf"),
                        F.arrays_overlap("seen", _strings(must)).alias("may"), *[c.alias(f"b_{i}") for i, c in enumerate(base.values())])
     places = F.concat(*[F.col(f"b_{i}") for i in range(len(base))])
     base_labels = F.filter(F.array(*[F.when(F.size(f"b_{i}") > 0, k) for i, k in enumerate(base)]), lambda x: x.isNotNull())
-    shares = F.array(*[F.struct(F.lit(k).alias("label"), _agreement(F.col("w"), F.col("rare"), t, p).alias("share"))
+    shares = F.array(*[F.struct(F.lit(k).alias("label"), _agreement(F.col("w"), F.col("by_idf"), t, p, least).alias("share"))
                        for k, (t, p) in TEMPLATES.items()])
     accepted = F.filter(shares, lambda x: x["share"] >= least)
     none = F.array().cast("array<struct<label:string,share:double>>")

@@ -161,3 +161,32 @@ def test_templates_are_found_by_position(spark):
         assert k in got[k]["labels"] and got[k]["score"] == 1.0, k
     assert got["scattered"]["labels"] == got["no phrase"]["labels"] == got["null"]["labels"] == []
     assert got["MIT"]["base_labels"] == ["apache", "cc-by", "mit"] and got["MIT"]["n_base"] == 4
+
+
+def brute_licences(text, least=0.6):
+    """Labels and score of the templates, by comparing them at every position."""
+    w = [x for x in NOT_WORD.split((text or "").translate(LOWER)) if x]
+    shares = {}
+    for label, (template, phrases) in license_scan.TEMPLATES.items():
+        own = template.split()
+        stands = lambda p: any(w[i:i + len(p)] == p for i in range(len(w)))
+        if all(stands(p.split()) for p in phrases):
+            shares[label] = max(sum(0 <= d + j < len(w) and w[d + j] == x for j, x in enumerate(own)) for d in range(-len(own), len(w))) / len(own)
+    found = {k: v for k, v in shares.items() if v >= least}
+    return sorted({*licence_base(text)[4], *found}), max(found.values(), default=0.0)
+
+
+def test_several_notices_in_one_text(spark):
+    texts = {k: t for k, (t, _) in license_scan.TEMPLATES.items()}
+    filler = " ".join(f"w{i}" for i in range(300))
+    stray = "mozilla unencumbered lesser holder modification redistribution forms neither binary charge restriction fee option"
+    # some words of the notice are changed, and rarer ones than those left stand far from it
+    edited = texts["gpl-3.0-or-later"].replace("redistribute", "x1").replace("published", "x2").replace("foundation", "x3").replace("modify", "x4")
+    rows = [("all", f" {filler} ".join(texts.values())), ("bsd and mit", texts["bsd-3-clause"] + ". " + texts["mit-notice"]),
+            ("stray", f"{stray} {filler} {texts['mit-notice']} {filler} {texts['cc-by-sa-4.0']}"),
+            ("edited", f"{stray} redistribute published foundation modify {filler} {edited}")]
+    rows += [("common", "the of at your under or")] * 30
+    got = {r["doc_id"]: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert set(texts) <= set(got["all"]["labels"])
+    for k, text in rows:
+        assert (got[k]["labels"], got[k]["score"]) == brute_licences(text), k
