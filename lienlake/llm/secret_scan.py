@@ -8,16 +8,17 @@ they are, so running sums of lengths give every start and end in code points.
 
 Each candidate's value is hashed and the corpus is aggregated by hash: how many
 repositories and how many owners have it.  A value that ``widely`` or more
-owners have is an example that was copied around; one that a single owner has,
-looks random and is not a placeholder is a live-looking credential.  Spans of
-the method's own kinds are kept only if they are live-looking; base spans
-always stay.
+owners or ``copied`` or more repositories have is an example that was copied
+around; one that a single owner has in fewer repositories, looks random and is
+not a placeholder is a live-looking credential; what several owners share is
+neither.  Spans of the method's own kinds are kept only if they are live-looking;
+base spans always stay.
 
 Aggregation is over (hash, owner, repository) first, so a value that a third of
 the corpus has is reduced where it is found.
 
-Cases: a null text is empty; a null owner or repository counts for nothing; rows
-with the same id and text have the same spans; an empty table gives an empty
+Cases: a null text is empty; the null owner is an owner of its own, and so is the
+null repository a repository; rows with the same id and text have the same spans; an empty table gives an empty
 result; an empty text has no spans.
 """
 
@@ -90,7 +91,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-         repository_col: str = "doc_id", widely: int = 3) -> DataFrame:
+         repository_col: str = "doc_id", widely: int = 3, copied: int = 10) -> DataFrame:
     """One row per row: doc_id, rk, spans - array of (start, kind, end, value hash, owners, repositories, live), by
     start, then kind; kind counts in KINDS."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(owner_col).alias("owner"),
@@ -100,9 +101,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     each = rows.filter(F.size("found") > 0).select("rk", "owner", "repository", F.explode("found").alias("x"))
     each = each.select("rk", "owner", "repository", "x.start", "x.kind", "x.end", value.alias("value"))
     each = each.withColumn("hash", F.sha2("value", 256))
+    # a null is a value of its own
+    number = lambda c: F.countDistinct(c) + F.max(F.col(c).isNull().cast("int"))
     shared = (each.select("hash", "owner", "repository").distinct().groupBy("hash")
-              .agg(F.countDistinct("owner").alias("owners"), F.countDistinct("repository").alias("repositories")))
-    judged = each.join(cut(shared), "hash").withColumn("live", (F.col("owners") < widely) & _looks_random(F.col("value")))
+              .agg(number("owner").alias("owners"), number("repository").alias("repositories")))
+    example = (F.col("owners") >= widely) | (F.col("repositories") >= copied)
+    live = ~example & (F.col("owners") == 1) & _looks_random(F.col("value"))
+    judged = each.join(cut(shared), "hash").withColumn("live", live)
     # a span of the method's own must be live-looking
     kept = judged.filter((F.col("kind") < BASE) | F.col("live"))
     one = F.struct("start", "kind", "end", "hash", "owners", "repositories", "live")

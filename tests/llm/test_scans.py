@@ -60,6 +60,19 @@ def test_ownership_separates_copied_from_live(secrets):
     assert got[13] == got[14] == []
 
 
+def test_a_value_of_many_documents_or_owners_is_not_live(spark):
+    hot, null, two, own, alone = [f"key zY8xW6vU4tS2rQ1pN9mL7kJ{c} end" for c in "56789"]
+    rows = [(i, hot, "s0") for i in range(40)] + [(100 + i, null, None) for i in range(40)]
+    rows += [(200, two, "s0"), (201, two, "s1"), (300, own, None), (301, own, "s0"), (400, alone, None), (None, alone, None)]
+    rows += [(500 + i, "token=aB3dE5gH7jK9mN1pQ2rS4tU6", "s0") for i in range(40)]
+    got = {r["doc_id"]: [(s["owners"], s["repositories"], s["live"]) for s in r["spans"]]
+           for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(got[i] == got[100 + i] == [] for i in range(40))   # copied within one source, or without a source
+    assert got[200] == got[201] == got[300] == got[301] == []     # two owners; the null owner is one
+    assert got[400] == got[None] == [(1, 2, True)]
+    assert all(got[500 + i] == [(1, 40, False)] for i in range(40))
+
+
 def test_secret_query_digest(spark, tables, documents):
     got = {r["doc_id"]: r for r in queries.op3_secret_ownership(spark, tables).collect()}
     rows = [(r["doc_id"], r["text"]) for r in documents.collect()]
