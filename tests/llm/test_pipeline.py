@@ -47,6 +47,14 @@ def test_one_of_each_group_stays(steps):
     assert {r["doc_id"] for r in steps[2].collect()} == want
 
 
+def test_near_copies_of_five_words_and_four_fifths_go(spark):
+    """100 words and the same with 20 more: 96 of 116 shingles of five words."""
+    base = " ".join(f"t{i}" for i in range(100))
+    rows = [(1, base), (2, base + " " + " ".join(f"more{i}" for i in range(20))), (3, " ".join(f"u{i}" for i in range(100)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.ngram_join_stage(spark, docs, SF).collect()) == [1, 3]
+
+
 def test_benchmark_passages_go(spark, steps):
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     rows = rows_of(steps[2])
