@@ -74,3 +74,14 @@ def labelled_sample(labels: DataFrame, label_col: str, id_col: str, modulus: int
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label"))
     share = min(1.0, rows / max(known.count(), 1))
     return known.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+
+
+def memo(function):
+    """Keep a function's results.  Unlike ``functools.cache`` it is shipped by value, so executors need no installed copy."""
+    seen: dict = {}
+
+    def run(*args):
+        if args not in seen:
+            seen[args] = function(*args)
+        return seen[args]
+    return run

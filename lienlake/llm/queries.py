@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontamination, license_scan, line_dedup, mixing, ngram_join, quality_ensemble, quality_rules, secret_scan,
-               suffix_dedup, toxicity)
+from . import (conversation_repair, decontamination, license_scan, line_dedup, mixing, ngram_join, packing, periodic_runs,
+               quality_ensemble, quality_rules, secret_scan, suffix_dedup, toxicity)
 from .common import read_table
 
 
@@ -70,6 +70,35 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
 
 
+def tokenizer_file() -> str:
+    """The vocabulary that op11 packs with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cols = ("doc_id", "piece", "start", "length", "ids_crc32")
+    found = packing.pieces(read_table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_file())
+    return packing.pack(found.withColumn("ids_crc32", F.crc32("ids")).drop("ids")).select(*cols, "sequence_id", "offset")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return conversation_repair.digest(rows, conversation_repair.repair(conversation_repair.damaged(rows)))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text").withColumn("text", periodic_runs.with_planted_runs())
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    listed = F.concat(F.array_join(F.transform("runs", line), "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return periodic_runs.periodic_runs(docs).withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.p")).alias("period"), F.floor(1000 * F.col("best.length") / -F.col("best.p")).cast("long").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -81,6 +110,9 @@ QUERIES = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_weighted_fair_mix": op9_weighted_fair_mix,
     "op10_license_scan": op10_license_scan,
+    "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 #: DuckDB SQL for the queries that SQL can express.

@@ -72,4 +72,4 @@ def test_run_is_the_stages_in_turn(spark, steps):
 def test_modules_are_registered():
     import __spark_entry__
     assert set(queries.QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
-    assert [int(k[2:].split("_")[0]) for k in queries.QUERIES] == list(range(1, 11))
+    assert [int(k[2:].split("_")[0]) for k in queries.QUERIES] == list(range(1, 14))
