@@ -19,7 +19,8 @@ its place off the plan by its number.
 
 Tokenising: the vocabulary drops white space and case, so the ids of a text are
 those of its words (split at ASCII white space) in turn, and the ids of up to
-``KNOWN`` words a task are kept; others are encoded each time, with equal ids.
+``KNOWN`` words a task are kept, without the stops and commas after them; others
+are encoded each time, with equal ids.
 
 Cases: a null or blank text is ``end_id`` alone; rows that repeat are packed
 each; rows with a null id are packed like others; an empty table gives an empty
@@ -42,7 +43,7 @@ from .common import cut, row_key, text_or_empty
 from .tokens import byte_texts
 
 #: Words whose ids a task keeps, and the longest such word.
-KNOWN, KNOWN_BYTES = 500_000, 48
+KNOWN, KNOWN_BYTES = 400_000, 48
 
 
 class Placement(NamedTuple):
@@ -112,10 +113,17 @@ def _tokenised(vocabulary: str, capacity: int, end_id: int):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(vocabulary)
+        model = tokenizer.model
 
         class Known(dict):
             def __missing__(self, word):
-                ids = array("I", tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+                bare = word.rstrip(b".,;:!?")
+                if bare[-1:].isalpha() and len(bare) < len(word):  # the vocabulary parts letters and these marks
+                    return self[bare] + self[word[len(bare):]]
+                if word.isalpha() and word.islower():  # of ASCII letters: one piece for the model, with nothing to normalise
+                    ids = array("I", [t.id for t in model.tokenize(word.decode())]).tobytes()
+                else:
+                    ids = array("I", tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
                 if len(self) < KNOWN and len(word) <= KNOWN_BYTES:
                     self[word] = ids
                 return ids
