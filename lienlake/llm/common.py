@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,3 +86,41 @@ def memo(function):
             seen[args] = function(*args)
         return seen[args]
     return run
+
+
+class Among:
+    """A bitmap of the longs in a column, to leave out rows before they are shuffled for a join.
+
+    It has ``BITS`` bits (8 MB) at most whatever it holds, fewer for few values: made by an aggregation of at most 2,048
+    rows, and sent with the plan.  Other values can pass it, more the more it holds, so the join must follow.  The longs
+    must be hashes."""
+
+    BITS, SPARSE = 1 << 26, 64
+
+    def __init__(self, wanted: DataFrame, column: str):
+        place = F.pmod(F.col(column), F.lit(self.BITS)) + 1
+        parts = wanted.groupBy(F.bitmap_bucket_number(place).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("m"))
+        self.bits = np.zeros(self.BITS // 8, np.uint8)
+        for r in parts.collect():
+            self.bits[(r["b"] - 1) * 4096 : r["b"] * 4096] = np.frombuffer(r["m"], np.uint8)
+        ones = int(np.bitwise_count(self.bits).sum())
+        while len(self.bits) > 4096 and self.SPARSE * ones < 8 * len(self.bits):
+            half = len(self.bits) // 2
+            self.bits = self.bits[:half] | self.bits[half:]
+
+    def of(self, batch, column: str):
+        """The rows of an Arrow batch whose long may be among the wanted ones."""
+        import pyarrow as pa
+
+        at = batch.column(column).to_numpy(zero_copy_only=False) & (8 * len(self.bits) - 1)
+        return batch.filter(pa.array((self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+
+
+def among(df: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose hash in ``column`` is among those of ``wanted`` (same name), and a few others."""
+    bitmap = Among(wanted, column)
+
+    def run(batches):
+        for batch in batches:
+            yield bitmap.of(batch, column)
+    return df.mapInArrow(run, df.schema)

@@ -42,3 +42,16 @@ def components(links: DataFrame) -> DataFrame:
         links = cut(_star(_star(links, large=True), large=False))
     return (links.select(F.col("a").alias("node"), F.col("b").alias("root"))
             .union(links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()))
+
+
+def joined_components(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (node, root) after further links: only these, between roots, are followed."""
+    def root_of(side):
+        own = roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
+        return own, F.coalesce(F.col(f"{side}_root"), F.col(side)).alias(side)
+    (of_a, a), (of_b, b) = root_of("a"), root_of("b")
+    top = components(links.join(of_a, "a", "left").join(of_b, "b", "left").select(a, b))
+    fresh = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
+    nodes = roots.union(fresh.join(roots, "node", "left_anti").select("node", F.col("node").alias("root")))
+    top = top.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    return nodes.join(top, "root", "left").select("node", F.coalesce("top", "root").alias("root"))

@@ -27,14 +27,15 @@ a larger group.)
 A larger group is gathered around a leader L, its member that stands in most
 such groups, so that groups of the same family share theirs.  Of a cluster, the
 members of all groups with the same leader, up to ``CLUSTER`` sets are held
-against each other by fingerprints in one task.  It returns each set's nearest
-pair first; once those are compared exactly, the pairs of different components
-that may still link follow.
+against each other by fingerprints in one task.  Most clusters are sets that
+share some common passage, with few near pairs, which are compared exactly.  Of
+a family of near copies it returns each set's nearest pair first; once those are
+compared, the pairs of different components that may still link follow.
 
 A larger cluster, such as thousands of near copies, is never expanded into its
 pairs.  Every member x is compared with L exactly.  For two members x and y that
-are still in different components, with a = shingles added to L and r =
-shingles of L that are missing,
+don't both link with L, with a = shingles added to L and r = shingles of L that
+are missing,
 
     |x ^ y| = a_x + a_y - 2 * common additions + |difference of what is missing|
 
@@ -56,14 +57,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
-from .common import cut, row_key, text_or_empty
-from .components import components
+from .common import Among, among, cut, row_key, text_or_empty
+from .components import components, joined_components
 from .tokens import Hasher, byte_texts, chunks, joined, mix, signed
 
 #: Ratio between the sizes at which bands end.
@@ -74,7 +75,10 @@ SHARED = 3
 
 #: The pairs of groups of up to SMALL sets are written out; larger groups are gathered around leaders, clusters of up
 #: to CLUSTER sets compared by fingerprints, and larger ones solved through what members add to their leader.
-SMALL, CLUSTER = 16, 1000
+SMALL, CLUSTER = 16, 4000
+
+#: Pairs a set in a cluster that are compared at once.
+FEW = 4
 
 
 def shingle_sets(hasher: Hasher, texts: list, k: int) -> list:
@@ -192,9 +196,14 @@ def _may_link(threshold: int):
     return run
 
 
+_NEAR = "sid long, leader long, cluster long, left boolean"
+
+
 def _near_in_cluster(threshold: int, all_pairs: bool):
-    """Pairs of a cluster (sid, n, print, part) that may link by their sizes and fingerprints: all of different
-    parts, or for each set only the nearest of those before it by size, and with itself if it is near a later one."""
+    """Pairs of a cluster (sid, n, print, part) of different parts that may link by their sizes and fingerprints.
+
+    If not ``all_pairs`` and there are more than ``FEW`` a set, such as in a family of near copies, only the nearest of
+    those before it by size for each set, and each set with itself that is near a later one; ``left`` tells that."""
     def run(members):
         import pandas as pd
 
@@ -203,7 +212,8 @@ def _near_in_cluster(threshold: int, all_pairs: bool):
         cells = members["print"].map(len).to_numpy()
         by = {c: np.stack([np.frombuffer(x, np.uint8) for x in members["print"][cells == c]]) for c in np.unique(cells)}
         first = {c: int(np.argmax(cells == c)) for c in by}  # sizes grow, so equal lengths stand together
-        found, least, nearest = [], np.full(len(sid), np.iinfo(np.int64).max), np.arange(len(sid))
+        x, y, found, room = [], [], 0, math.inf if all_pairs else FEW * len(sid)
+        least, nearest, met = np.full(len(sid), np.iinfo(np.int64).max), np.arange(len(sid)), np.zeros(len(sid), bool)
         for i in range(len(sid)):
             mine = by[cells[i]][i - first[cells[i]]]
             for c, prints in by.items():
@@ -217,15 +227,19 @@ def _near_in_cluster(threshold: int, all_pairs: bool):
                 apart = (theirs != mine).sum(1)
                 near = (apart <= (100 - threshold) * (n[i] + n[lo:hi]) // (100 + threshold)) & (part[lo:hi] != part[i])
                 at = np.flatnonzero(near)
-                if all_pairs:
-                    found += [(sid[i], sid[lo + j]) for j in at]
-                elif len(at):
+                if len(at):
                     closer = at[apart[at] < least[lo + at]]
-                    least[lo + closer], nearest[lo + closer] = apart[closer], i
-                    found.append((sid[i], sid[i]))
-        if not all_pairs:
-            found += [(sid[i], sid[j]) for j, i in enumerate(nearest) if i != j]
-        return pd.DataFrame([(max(p), min(p)) for p in found], columns=["sid", "leader"], dtype="int64")
+                    least[lo + closer], nearest[lo + closer], met[i] = apart[closer], i, True
+                    found += len(at)
+                    if found <= room:
+                        x.append(np.full(len(at), i))
+                        y.append(lo + at)
+        left = found > room
+        if left:
+            later = np.flatnonzero(nearest != np.arange(len(sid)))
+            x, y = [nearest[later], np.flatnonzero(met)], [later, np.flatnonzero(met)]
+        x, y = (sid[np.concatenate(z)] if z else np.zeros(0, np.int64) for z in (x, y))
+        return pd.DataFrame({"sid": np.maximum(x, y), "leader": np.minimum(x, y), "cluster": members["leader"].iloc[0], "left": left})
     return run
 
 
@@ -275,29 +289,36 @@ def _file(k: int, threshold: int):
     return run
 
 
-def _sets(k: int):
+def _sets(k: int, wanted):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         hasher = Hasher()
         for batch in batches:
+            batch = wanted.of(batch, "rk")
             texts = byte_texts(batch.column("text"))
             for lo, hi in chunks(texts):
                 sets = shingle_sets(hasher, texts[lo:hi], k)
                 sids = np.array([mix(mix(s, 3).sum(dtype=np.uint64), len(s)) for s in sets], np.uint64)
                 ends = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(sids)), pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(np.concatenate(sets))))],
-                    names=["sid", "shingles"])
+                    [batch.column("rk").slice(lo, hi - lo), pa.array(signed(sids)),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(np.concatenate(sets))))],
+                    names=["rk", "sid", "shingles"])
     return run
 
 
-def _groups(keyed: DataFrame, *key: str) -> DataFrame:
-    """Members (key, sid, part, turn) of keys that sets of two or more parts share, with the key's leader and size."""
-    w = W.partitionBy(*key)
-    return (keyed.select(*key, "sid", "part", "turn", F.min(F.struct("turn", "sid")).over(w)["sid"].alias("leader"),
-                         F.count("*").over(w).alias("size"), F.min("part").over(w).alias("p0"), F.max("part").over(w).alias("p1"))
-            .filter("p0 <> p1").drop("p0", "p1"))
+def _several(filed: DataFrame, *key: str, by: str) -> DataFrame:
+    """Keys under which rows of two or more values of ``by`` are filed, and their rows' number: counted before the
+    shuffle, so that a key of very many rows is a few rows of every task."""
+    counted = filed.groupBy(*key).agg(F.count("*").alias("size"), F.min(by).alias("p0"), F.max(by).alias("p1"))
+    return counted.filter("p0 <> p1").drop("p0", "p1")
+
+
+def _led(crowd: DataFrame, *key: str) -> DataFrame:
+    """Members (sid, turn, leader) of keys; the leader is the member with the least turn."""
+    first = crowd.groupBy(*key).agg(F.min(F.struct("turn", "sid"))["sid"].alias("leader"))
+    return crowd.join(first, [*key]).select("sid", "turn", "leader").distinct()
 
 
 def _pairs_of_small(groups: DataFrame, *key: str) -> DataFrame:
@@ -316,89 +337,105 @@ def _linked(n_x: Column, n_y: Column, both: Column, threshold: int) -> Column:
 
 
 def _compare(pairs: DataFrame, sets: DataFrame, threshold: int, *more: str) -> DataFrame:
-    """For pairs (sid, leader, more columns): how many shingles each adds and lacks against its leader, and whether they link."""
-    x = pairs.join(sets, "sid")
-    y = sets.select(F.col("sid").alias("leader"), F.col("shingles").alias("of_leader"))
+    """For pairs (sid, leader, more columns): sizes n and m, the shingles that both have, and whether they link; the set
+    itself and its leader's remain as ``shingles`` and ``of_leader``."""
+    x = pairs.join(among(sets, "sid", pairs.select("sid")), "sid")
+    y = among(sets, "sid", pairs.select(F.col("leader").alias("sid"))).select(F.col("sid").alias("leader"), F.col("shingles").alias("of_leader"))
     both = F.size(F.array_intersect("shingles", "of_leader")).cast("long")
     return (x.join(y, "leader")
             .select("sid", "leader", *more, F.size("shingles").cast("long").alias("n"), F.size("of_leader").cast("long").alias("m"),
-                    both.alias("both"), F.array_except("shingles", "of_leader").alias("added"))
+                    both.alias("both"), "shingles", "of_leader")
             .withColumn("linked", _linked(F.col("n"), F.col("m"), F.col("both"), threshold)))
 
 
 def similarity_links(keyed: DataFrame, prints: DataFrame, sets_of, threshold: int) -> DataFrame:
-    """All links that the components need, as rows (a, b) of set ids.  ``keyed``: (key, sid); ``prints``: (sid, n,
-    print), one per set; ``sets_of``: from a table of sids to their (sid, shingles)."""
+    """The components (node, root) of all links.  ``keyed``: (key, sid); ``prints``: (sid, n, print), one per set;
+    ``sets_of``: from a table of sids to their (sid, shingles)."""
     def likely(pairs: DataFrame) -> DataFrame:
-        of_leader = prints.select(F.col("sid").alias("leader"), F.col("n").alias("m"), F.col("print").alias("other"))
-        return pairs.join(prints, "sid").join(of_leader, "leader").mapInArrow(_may_link(threshold), "sid long, leader long")
+        x = among(prints, "sid", pairs.select("sid"))
+        y = among(prints, "sid", pairs.select(F.col("leader").alias("sid")))
+        y = y.select(F.col("sid").alias("leader"), F.col("n").alias("m"), F.col("print").alias("other"))
+        return pairs.join(x, "sid").join(y, "leader").mapInArrow(_may_link(threshold), "sid long, leader long")
 
-    def around_leaders(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def by_size(members: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Members (sid, turn, leader) of clusters of up to CLUSTER sets, and of larger ones."""
-        sized = cut(members.distinct().withColumn("of", F.count("*").over(W.partitionBy("leader"))))
+        members = cut(members)
+        sized = members.join(members.groupBy("leader").agg(F.count("*").alias("of")), "leader").select("sid", "turn", "leader", "of")
         return sized.filter(F.col("of") <= CLUSTER).drop("of"), sized.filter(F.col("of") > CLUSTER).drop("of")
 
-    def nearest(members: DataFrame) -> DataFrame:
-        own = members.select("sid", "leader", F.col("sid").alias("part")).join(prints, "sid")
-        return own.groupBy("leader").applyInPandas(_near_in_cluster(threshold, False), "sid long, leader long")
-
-    def across_parts(members: DataFrame, links: DataFrame) -> DataFrame:
-        """What the nearest pairs left apart: all pairs of different components that may link."""
-        part = F.coalesce("root", "sid").alias("part")
-        own = members.join(components(links).withColumnRenamed("node", "sid"), "sid", "left").select("sid", "leader", part)
-        w = W.partitionBy("leader")
-        own = own.select("sid", "leader", "part", F.min("part").over(w).alias("p0"), F.max("part").over(w).alias("p1"))
-        own = own.filter("p0 <> p1").drop("p0", "p1").join(prints, "sid")
-        return own.groupBy("leader").applyInPandas(_near_in_cluster(threshold, True), "sid long, leader long").distinct()
-
-    w = W.partitionBy("key")
-    groups = cut(keyed.select("key", "sid", F.count("*").over(w).alias("size"), F.min("sid").over(w).alias("s0"),
-                              F.max("sid").over(w).alias("s1")).filter("s0 <> s1").drop("s0", "s1"))
+    def near(members: DataFrame, all_pairs: bool) -> DataFrame:
+        own = members.join(among(prints, "sid", members.select("sid")), "sid")
+        return own.groupBy("leader").applyInPandas(_near_in_cluster(threshold, all_pairs), _NEAR)
+
+    def found(pairs: DataFrame) -> DataFrame:
+        return _compare(pairs, sets, threshold).filter("linked").select(F.col("sid").alias("a"), F.col("leader").alias("b"))
+
+    keyed = cut(keyed)
+    shared = cut(_several(keyed, "key", by="sid"))
+    groups = cut(among(keyed, "key", shared.select("key")).join(shared, "key").select("key", "sid", "size", F.col("sid").alias("part")))
     # Sets that stand in most large groups, such as the text that others were copied from, lead them.
-    crowd = groups.filter(F.col("size") > SMALL).select("key", "sid")
+    crowd = groups.filter(F.col("size") > SMALL).select("key", "sid").distinct()
     turn = crowd.groupBy("sid").agg((-F.count("*")).alias("turn"))
-    first = F.min(F.struct("turn", "sid")).over(W.partitionBy("key"))["sid"]
-    middle, large = around_leaders(crowd.join(turn, "sid").select("sid", "turn", first.alias("leader")))
-    pairs = cut(likely(_pairs_of_small(groups.withColumn("part", F.col("sid")), "key")).union(nearest(middle)).distinct())
-    sets = cut(sets_of(pairs.select("sid").union(pairs.select("leader")).union(large.select("sid")).distinct()))
-    as_link = (F.col("sid").alias("a"), F.col("leader").alias("b"))
-    found = lambda pairs: _compare(pairs.filter("sid <> leader"), sets, threshold).filter("linked").select(*as_link)
-    links = cut(found(pairs))
-    links = cut(links.union(found(across_parts(middle, links))))
+    middle, large = by_size(_led(crowd.join(turn, "sid"), "key"))
+    itself, pair = F.col("sid").alias("part"), ("sid", "leader")
+    clusters, close = [middle.select(*pair)], [cut(near(middle.select(*pair, itself), False))]
+    pairs = cut(likely(cut(_pairs_of_small(groups, "key"))).union(close[0].select(*pair)).distinct())
+    sets = sets_of(pairs.select("sid").union(pairs.select("leader")).union(large.select("sid")).distinct())
+    links, more = [], [pairs]
     while not large.isEmpty():
-        seen = cut(_compare(large.filter("sid <> leader"), sets, threshold, "turn"))
-        links = cut(links.union(seen.filter("linked").select(*as_link)))
-        # Members of clusters that aren't one component yet, with the numbers that the algebra above needs.
-        part = F.coalesce("root", "sid").alias("part")
-        at = seen.join(components(links).withColumnRenamed("node", "sid"), "sid", "left").select(
-            *seen.columns, part, F.size("added").cast("long").alias("a"), (F.col("m") - F.col("both")).alias("r"))
-        span = at.groupBy("leader").agg(F.min("part").alias("p0"), F.max("part").alias("p1"))
-        open_ = cut(at.join(span.filter("p0 <> p1").select("leader"), "leader"))
-        # Members that share an added shingle meet again in the next round.
-        enough = F.floor(F.lit(100 - threshold) * F.col("n") / 100).cast("int") + 1
-        added = open_.select(F.col("leader").alias("from"), "sid", "part", "turn", F.explode(F.slice("added", F.lit(1), enough)).alias("shingle"))
-        groups = cut(_groups(added, "from", "shingle"))
-        middle, large = around_leaders(groups.filter(F.col("size") > SMALL).select("sid", "turn", "leader"))
-        pairs = likely(_pairs_of_small(groups, "from", "shingle")).union(_few_additions(open_, threshold))
-        links = cut(links.union(found(pairs.union(nearest(middle)).distinct())))
-        if not middle.isEmpty():
-            links = cut(links.union(found(across_parts(middle, links))))
-    return links
+        seen = cut(_against_leader(_compare(large.filter("sid <> leader"), sets, threshold, "turn"), threshold))
+        links.append(seen.filter("linked").select(F.col("sid").alias("a"), F.col("leader").alias("b")))
+        # Of a cluster with members that don't link with the leader: those that share an added shingle meet again.
+        open_ = seen.join(seen.filter("not linked").select("leader").distinct(), "leader")
+        added = open_.select(F.col("leader").alias("from"), "sid", "part", "turn", F.explode("added").alias("shingle"))
+        shared = cut(_several(added, "from", "shingle", by="part"))
+        groups = cut(among(added, "shingle", shared.select("shingle")).join(shared, ["from", "shingle"]))
+        middle, large = by_size(_led(groups.filter(F.col("size") > SMALL).select("from", "shingle", "sid", "turn"), "from", "shingle"))
+        clusters.append(middle.select(*pair))
+        close.append(cut(near(middle.select(*pair, itself), False)))
+        again = likely(cut(_pairs_of_small(groups, "from", "shingle").union(_few_additions(open_, threshold)).distinct()))
+        more.append(cut(again.union(close[-1].select(*pair)).distinct()))
+    pairs = cut(_all(more).distinct()) if len(more) > 1 else pairs
+    roots = components(_all([*links, found(pairs.filter("sid <> leader"))]))
+    # What the nearest pairs left apart: all pairs of different components of a cluster that may link.
+    dense = cut(_all(close).filter("left").select(F.col("cluster").alias("leader")).distinct())
+    if dense.isEmpty():
+        return roots
+    own = _all(clusters).distinct().join(dense, "leader").join(roots.withColumnRenamed("node", "sid"), "sid", "left")
+    own = cut(own.select(*pair, F.coalesce("root", "sid").alias("part")))
+    rest = cut(near(own.join(_several(own, "leader", by="part").select("leader"), "leader").select(*pair, "part"), True).select(*pair).distinct())
+    return joined_components(roots, cut(found(rest))) if not rest.isEmpty() else roots
+
+
+def _all(frames: list) -> DataFrame:
+    return reduce(DataFrame.union, frames)
+
+
+def _against_leader(seen: DataFrame, threshold: int) -> DataFrame:
+    """What the algebra above needs of members: a, r, the first additions in hash order, a hash of what is missing, and
+    their part: the leader if they link with it, else themselves."""
+    enough = F.floor(F.lit(100 - threshold) * F.col("n") / 100).cast("int") + 1
+    return seen.select("sid", "leader", "turn", "n", "m", "linked", F.when(F.col("linked"), F.col("leader")).otherwise(F.col("sid")).alias("part"),
+                       (F.col("n") - F.col("both")).alias("a"), (F.col("m") - F.col("both")).alias("r"),
+                       F.slice(F.array_except("shingles", "of_leader"), F.lit(1), enough).alias("added"),
+                       F.xxhash64(F.array_except("of_leader", "shingles")).alias("gap"))
 
 
 def _few_additions(open_: DataFrame, threshold: int) -> DataFrame:
     """Pairs of a cluster that may link without a common addition: a_x + a_y + |r_x - r_y| <= H.
 
-    x, not linked with the leader, needs ``excess`` = 100(a + r) (100 + t) ... over its own bound; y must lack
-    more than it adds by at least that much.  Both are filed by the power of two of the amount and meet there."""
+    x, not linked with the leader, is over its bound by ``excess``; y must lack more than it adds by at least that
+    much (``room``).  Both are filed by the power of two of the amount and meet there.  Without common additions
+    members of a part that add as many shingles and lack the same ones are alike to x, so one of them stands for all."""
     t = threshold
     # |x ^ y| <= (100-t)(|x|+|y|)/(100+t); scaled by (100+t): everything in whole numbers.
     excess = (100 + t) * (F.col("a") + F.col("r")) - (100 - t) * (F.col("n") + F.col("m"))
     room = 2 * t * (F.col("r") - F.col("a"))
     step = lambda c: F.floor(F.log2(c.cast("double"))).cast("int")
-    base = open_.select("leader", "sid", "part", "a", "r", "n", excess.alias("excess"), room.alias("room"), "linked")
+    base = open_.select("leader", "sid", "part", "a", "r", "n", "gap", excess.alias("excess"), room.alias("room"), "linked")
     x = base.filter("not linked and excess > 0").withColumn("bin", step(F.col("excess")))
-    y = (base.filter("room > 0").withColumn("bin", F.explode(F.sequence(F.lit(0), step(F.col("room")))))
+    alike = base.filter("room > 0").groupBy("leader", "part", "a", "r", "n", "gap", "room").agg(F.min("sid").alias("sid"))
+    y = (alike.withColumn("bin", F.explode(F.sequence(F.lit(0), step(F.col("room")))))
          .select("leader", "bin", *[F.col(c).alias(c + "_y") for c in ("sid", "part", "a", "r", "n", "room")]))
     fits = (F.col("excess") <= F.col("room_y")) & (F.col("part") != F.col("part_y")) & (
         (100 + t) * (F.col("a") + F.col("a_y") + F.abs(F.col("r") - F.col("r_y"))) <= (100 - t) * (F.col("n") + F.col("n_y")))
@@ -415,13 +452,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     keyed = base.select("text").mapInArrow(_file(k, threshold), "key long, sid long")
 
     def sets_of(sids: DataFrame) -> DataFrame:
-        one = rows.groupBy("sid").agg(F.min("rk").alias("rk")).join(sids, "sid", "left_semi").select("rk")
-        texts = base.select("rk", "text").join(one, "rk", "left_semi").dropDuplicates(["rk"]).select("text")
-        return texts.mapInArrow(_sets(k), "sid long, shingles array<long>")
+        one = cut(rows.groupBy("sid").agg(F.min("rk").alias("rk")).join(sids, "sid", "left_semi").select("rk"))
+        found = base.select("rk", "text").mapInArrow(_sets(k, Among(one, "rk")), "rk long, sid long, shingles array<long>")
+        found = cut(found.drop("rk").withColumn("number", F.xxhash64(F.monotonically_increasing_id())))
+        # of rows that repeat, one; the sets themselves aren't shuffled for that
+        return among(found, "number", found.groupBy("sid").agg(F.min("number").alias("number")).select("number")).drop("number")
 
     full = rows.filter("n_shingles > 0")
     prints = cut(full.groupBy("sid").agg(F.min("n_shingles").alias("n"), F.min("print").alias("print")))
-    root = components(similarity_links(keyed, prints, sets_of, threshold))
+    root = similarity_links(keyed, prints, sets_of, threshold)
     least = full.groupBy("sid").agg(F.min("doc_id").alias("least"))
     least = least.join(root.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     whole = least.groupBy("root").agg(F.min("least").alias("component_id"))
