@@ -14,8 +14,9 @@ broadcast only after a count shows that it is small (``broadcast_rows``); a
 larger one is joined by a shuffle.
 
 Cases: null and blank texts match nothing; equal words of any position count,
-so ties do not matter; rows with the same id and text are judged alike; an
-empty table of documents or of items leaves everything clean.
+so ties do not matter; rows with the same id and text are judged alike; an item
+is told by its id and its text, so a null id or one with several texts is no
+exception; an empty table of documents or of items leaves everything clean.
 """
 
 from __future__ import annotations
@@ -57,13 +58,14 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     """A row for each document and item whose passage it holds: doc_id, rk (row key), item_id, first_word (where the
     item begins in the document, maybe before its start) and agreeing (the item's words that stand there)."""
     rows = docs.select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("rk"), _lower_words(text_col).alias("w"))
-    asked = cut(items.select(F.col(item_col).alias("item_id"), _lower_words(item_text_col).alias("w")).filter(F.size("w") >= least_words))
-    seeds = _placed(asked, "item_id").withColumnRenamed("place", "item_place")
+    asked = items.select(F.col(item_col).alias("item_id"), row_key(item_col, item_text_col).alias("item"), _lower_words(item_text_col).alias("w"))
+    asked = cut(asked.filter(F.size("w") >= least_words).dropDuplicates(["item"]))
+    seeds = _placed(asked, "item").withColumnRenamed("place", "item_place")
     n = asked.agg(F.coalesce(F.sum(len(MASKS) * F.size("w")), F.lit(0))).first()[0]
     seeds = F.broadcast(seeds) if n <= broadcast_rows else seeds
     hits = _placed(rows.select("rk", "w"), "rk").join(seeds, "seed")
-    hits = hits.select("rk", "item_id", (F.col("place") - F.col("item_place")).alias("shift")).distinct()
-    hits = cut(hits.groupBy("rk").agg(F.collect_list(F.struct("item_id", "shift")).alias("hits")))
+    hits = hits.select("rk", "item", (F.col("place") - F.col("item_place")).alias("shift")).distinct()
+    hits = cut(hits.groupBy("rk").agg(F.collect_list(F.struct("item", "shift")).alias("hits")))
     return _verified(rows.join(hits, "rk").select("doc_id", "rk", "w", "hits"), asked, n <= broadcast_rows)
 
 
@@ -71,20 +73,20 @@ def _verified(found: DataFrame, asked: DataFrame, small: bool) -> DataFrame:
     """The hits whose stretch of the document, as long as the longest item, holds the item's passage."""
     longest = asked.agg(F.coalesce(F.max(F.size("w")), F.lit(0))).scalar()
     local = F.transform("hits", lambda h: F.struct(
-        h["item_id"].alias("item_id"), h["shift"].alias("shift"),
+        h["item"].alias("item"), h["shift"].alias("shift"),
         F.slice("w", F.greatest(h["shift"], F.lit(0)) + 1, F.col("longest")).alias("near"), F.least(h["shift"], F.lit(0)).alias("from")))
     each = found.withColumn("longest", longest).select("doc_id", "rk", F.inline(local))
-    item = asked.select("item_id", F.col("w").alias("item"))
-    each = each.join(F.broadcast(item) if small else item, "item_id")
-    n = F.size("item")
-    each = each.withColumn("same", _agreeing(F.col("near"), F.col("item"), F.col("from")))
+    passage = asked.select("item", "item_id", F.col("w").alias("passage"))
+    each = each.join(F.broadcast(passage) if small else passage, "item")
+    n = F.size("passage")
+    each = each.withColumn("same", _agreeing(F.col("near"), F.col("passage"), F.col("from")))
     add = lambda s: F.aggregate(s, F.lit(0), lambda a, x: a + x)
     total = add(F.col("same"))
     window = F.exists(F.sequence(F.lit(0), F.greatest(n - WINDOW, F.lit(0))),
                       lambda i: add(F.slice("same", i + 1, WINDOW)) >= WINDOW - SUBSTITUTIONS)
     each = each.withColumn("agreeing", total).filter(F.when(n >= WINDOW, window).otherwise(total == n))
     best = F.max(F.struct("agreeing", -F.col("shift")))
-    return (each.groupBy("doc_id", "rk", "item_id").agg(best.alias("b"))
+    return (each.groupBy("doc_id", "rk", "item", "item_id").agg(best.alias("b"))
             .select("doc_id", "rk", "item_id", (-F.col("b")["col2"]).cast("int").alias("first_word"), F.col("b.agreeing").alias("agreeing")))
 
 

@@ -268,6 +268,7 @@ def leaks(spark):
     rng = np.random.default_rng(2)
     word = lambda: f"w{rng.integers(0, 30)}"
     items = [(i, " ".join(word() for _ in range(int(n)))) for i, n in enumerate([3, 8, 10, 13, 14, 15, 20, 40])] + [(90, None), (91, "")]
+    items += [(None, " ".join(f"null{i}" for i in range(16))), (5, " ".join(f"other{i}" for i in range(15)))]
     rows = []
     for i in range(60):
         text = [word() for _ in range(30)]
@@ -276,7 +277,7 @@ def leaks(spark):
             part[int(rng.integers(0, len(part)))] = "OTHER"
         at = int(rng.integers(0, 30))
         rows.append((i, " ".join(text[:at] + part[int(rng.integers(0, 3)):] + text[at:]).upper()))
-    rows += [(60, None), (61, ""), (None, items[6][1]), (3, items[7][1])]
+    rows += [(60, None), (61, ""), (None, items[6][1]), (3, items[7][1]), (62, "x " + items[-2][1]), (63, items[-1][1] + " y")]
     return spark.createDataFrame(rows, "doc_id long, text string"), rows, spark.createDataFrame(items, "item_id long, text string"), items
 
 
@@ -285,6 +286,7 @@ def test_decontamination_matches_brute_force(leaks, broadcast_rows):
     docs, rows, asked, items = leaks
     got = decontamination.contaminated(docs, asked, broadcast_rows=broadcast_rows).collect()
     assert {(r["doc_id"], r["item_id"]) for r in got} == brute_leaks(rows, items)
+    assert {(62, None), (63, 5)} <= {(r["doc_id"], r["item_id"]) for r in got}
 
 
 def test_decontamination_stage(leaks, nothing):
