@@ -22,7 +22,7 @@ def all_oracle_sql():
 def _extra_modules():
     import importlib
     mods = []
-    for name in ("lienlake.plans.quality_queries", "lienlake.plans.lake_queries",
+    for name in ("lienlake.plans.quality_queries", "lienlake.plans.lake_queries", "lienlake.plans.seed_queries",
                  "lienlake.streaming.stream_queries"):
         try:
             mods.append(importlib.import_module(name))

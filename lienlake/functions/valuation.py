@@ -121,9 +121,3 @@ def money_total(units_sum) -> Column:
 
 def money_sum(col) -> Column:
     return money_total(F.sum(money_units(col)))
-
-
-def money_sql(expr: str) -> str:
-    """The same exact-sum rule as SQL text (for views and oracle queries)."""
-    return (f"CAST(CAST(ROUND(SUM(CAST({expr} AS DECIMAL(38,{SUM_SCALE}))), {MONEY_SCALE}) "
-            f"AS DECIMAL(38,{MONEY_SCALE})) AS DOUBLE)")

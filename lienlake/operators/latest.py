@@ -34,12 +34,3 @@ def latest(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str] | str,
     best = F.max(F.struct(*[F.col(c) for c in ranked])).alias("_best")
     out = df.groupBy(*keys).agg(best)
     return out.select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns])
-
-
-def latest_sql(source: str, columns: Sequence[str], keys: Sequence[str], order_cols: Sequence[str]) -> str:
-    """Equivalent SQL (ROW_NUMBER form) used by views and oracle queries."""
-    ranked = list(order_cols) + [c for c in columns if c not in keys and c not in order_cols]
-    order = ", ".join(f"{c} DESC NULLS LAST" for c in ranked)
-    cols = ", ".join(columns)
-    return (f"SELECT {cols} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {', '.join(keys)} "
-            f"ORDER BY {order}) AS _rn FROM {source}) WHERE _rn = 1")

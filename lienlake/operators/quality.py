@@ -64,6 +64,17 @@ class DataQualityError(RuntimeError):
     pass
 
 
+def check_metrics(checks: Sequence[Check]) -> list:
+    """The aggregates of a table's checks: rows, and violations of each check as v0, v1, ..."""
+    return [F.count(F.lit(1)).alias("rows"), *(F.count_if(F.expr(f"NOT ({pred})")).alias(f"v{i}") for i, (_, pred, _) in enumerate(checks))]
+
+
+def report_rows(metrics: Mapping[str, int], layer: str, table: str, checks: Sequence[Check]) -> list[dict]:
+    """Report rows (the columns of REPORT_SCHEMA) from a table's observed metrics."""
+    return [{"layer": layer, "table_name": table, "expectation": name, "hard": hard, "total_rows": int(metrics["rows"]),
+             "violations": int(metrics[f"v{i}"]), "passed": not metrics[f"v{i}"]} for i, (name, _, hard) in enumerate(checks)]
+
+
 def check_table(df: DataFrame, layer: str, table: str, checks: Sequence[Check]) -> DataFrame:
     """All checks of one table in one scan -> one report row per check."""
     aggs = [F.count(F.lit(1)).alias("_n")]
@@ -93,18 +104,27 @@ def run_suite(tables: Mapping[str, DataFrame], layer: str,
 
 def score(report: DataFrame) -> DataFrame:
     """Per layer: score = round(100 * passed / max(1, checks), 1)."""
-    return report.groupBy("layer").agg(
-        F.round(100.0 * F.sum(F.col("passed").cast("int")) / F.greatest(F.count(F.lit(1)), F.lit(1)), 1)
-         .alias("dq_score"),
-        F.count_if(F.col("hard") & ~F.col("passed")).cast("bigint").alias("hard_failures"),
-        F.count(F.lit(1)).alias("checks"))
+    return report.groupBy("layer").agg(*_score(), F.count(F.lit(1)).alias("checks"))
+
+
+def _score() -> list:
+    return [F.round(100.0 * F.sum(F.col("passed").cast("int")) / F.greatest(F.count(F.lit(1)), F.lit(1)), 1).alias("dq_score"),
+            F.count_if(F.col("hard") & ~F.col("passed")).cast("bigint").alias("hard_failures")]
+
+
+def summary(report: DataFrame) -> DataFrame:
+    """One JSON document per layer with its score, hard failures and results (sorted by table and expectation)."""
+    result = F.struct(F.col("table_name").alias("table"), "expectation", "passed", "hard")
+    results = F.sort_array(F.collect_list(result))
+    one = report.groupBy("layer").agg(*_score(), results.alias("results"))
+    return one.select("layer", F.to_json(F.struct("layer", "dq_score", "hard_failures", "results")).alias("summary"))
 
 
-def enforce(report: DataFrame) -> list[dict]:
+def enforce(report: DataFrame | Sequence[dict]) -> list[dict]:
     """Raise DataQualityError if any hard check failed; return the report rows.
 
     The report has one row per configured check, so collecting it is bounded."""
-    rows = [r.asDict() for r in report.collect()]
+    rows = [r.asDict() for r in report.collect()] if isinstance(report, DataFrame) else list(report)
     failed = [r for r in rows if r["hard"] and not r["passed"]]
     if failed:
         names = ", ".join(f"{r['table_name']}.{r['expectation']}" for r in failed)

@@ -9,11 +9,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import valuation as V
-from ..operators import scd2, stress
+from ..operators import quality, scd2, stress
 from ..session import scratch_path
 from ..sinks.publish import Lake, table_counts
-from ..sources import files
+from ..sources import adapter, files
 from . import eod, gold
 from .lending import LendingModel
 
@@ -22,7 +21,7 @@ ORACLE_SQL = {}
 
 # Fixed values of the fixture contract for the SCD2 runs.
 SCD2_FIRST_RUN = "2024-01-01"
-SCD2_SECOND_RUN = "2024-01-05"
+SCD2_SECOND_RUN, SCD2_THIRD_RUN = "2024-01-05", "2024-01-09"
 STRESS_SCENARIOS = {
     "nav_down_12": {"*": 0.88},
     "equity_crash": {"EQUITY": 0.70, "HYBRID": 0.85, "*": 0.97},
@@ -72,13 +71,13 @@ UNION ALL SELECT 'scheme', count(*) FROM x_scheme
 UNION ALL SELECT 'nav', count(*) FROM x_nav_raw
 UNION ALL SELECT 'mf_holding', count(*) FROM x_holding_raw
 UNION ALL SELECT 'loan', count(*) FROM x_loan
+UNION ALL SELECT 'disbursement', count(*) FROM x_disbursement
 UNION ALL SELECT 'repayment', count(*) FROM x_repayment""")
 def _q(m):
     """S3: land all sources with lineage; row counts of what was landed."""
     lake = _lake(m)
     eod.land_bronze(m.spark, m.sf_dir, lake)
-    return table_counts({name: lake.read("bronze", name) for name in
-                         ["customer", "scheme", "nav", "mf_holding", "loan", "repayment"]})
+    return table_counts({name: lake.read("bronze", name) for name in adapter.SOURCES})
 
 
 # ---- sinks ---------------------------------------------------------------
@@ -174,6 +173,28 @@ def _q(m):
     return scd2.scd2_apply(dim1, v2, SCD2_SECOND_RUN)
 
 
+def _merged(dim: str, stage: str, day: str) -> str:
+    return f"""
+SELECT t.customer_id, t.pan_token, t.kyc_status, t.risk_category, t.city, t.state, t._hash, t.scd_valid_from,
+  CASE WHEN s._hash <> t._hash THEN DATE '{day}' ELSE t.scd_valid_to END AS scd_valid_to, coalesce(s._hash = t._hash, true) AND t.is_current AS is_current
+FROM {dim} t LEFT JOIN {stage} s ON t.customer_id = s.customer_id AND t.is_current
+UNION ALL
+SELECT s.customer_id, s.pan_token, s.kyc_status, s.risk_category, s.city, s.state, s._hash, DATE '{day}', CAST(NULL AS DATE), true
+FROM {stage} s LEFT JOIN {dim} t ON t.customer_id = s.customer_id AND t.is_current WHERE t.customer_id IS NULL OR t._hash <> s._hash"""
+
+
+@_reg("scd2_runs", "SELECT * FROM scd_dim3")
+def _q(m):
+    """Three runs into one table, the last of them twice; only changed buckets and the day's closed versions are written."""
+    v1, v2 = scd2_stages(m)
+    third = m.silver["customer"].withColumn("risk_category", F.when(F.col("customer_id") % 7 == 0, "HIGH").otherwise(F.col("risk_category")))
+    v3 = gold.dim_customer_stage(third)
+    table = _lake(m).scd2("gold", "dim_customer")
+    for stage, day in ((v1, SCD2_FIRST_RUN), (v2, SCD2_SECOND_RUN), (v3, SCD2_THIRD_RUN), (v3, SCD2_THIRD_RUN)):
+        table.apply(stage, day)
+    return table.read()
+
+
 # ---- stress --------------------------------------------------------------
 @_reg("stress_revalue", f"""
 SELECT scenario, loan_id, customer_id, outstanding, base_drawing_power, stressed_drawing_power,
@@ -208,12 +229,44 @@ def _q(m):
     return eod.gold_counts(lake, res.as_of)
 
 
+@_reg("eod_quality", "eod_quality")
+def _q(m):
+    """The summary documents of a run whose gates are counted while its tables are written."""
+    res = eod.run_eod(m.spark, m.sf_dir, _lake(m), run_date="2024-01-05")
+    return quality.summary(res.report(m.spark))
+
+
+def _next_day(m):
+    """Fixture: the NAVs of one more day, on which prices fall by 30 %."""
+    nav = m.src["nav"]
+    last = nav.filter((F.col("nav_date") == "2024-01-05") & (F.col("published_at") == "23:30"))
+    return nav.unionByName(last.withColumns({"nav_date": F.date_add("nav_date", 1), "nav": F.col("nav") * 0.7}))
+
+
+@_reg("eod_two_days", f"SELECT {', '.join(gold.FLD_COLUMNS)} FROM g_fld UNION ALL SELECT {', '.join(gold.FLD_COLUMNS)} FROM g_fld_next")
+def _q(m):
+    """Two days' runs into one lake, the second with a price drop; both days' loan facts are there."""
+    lake = _lake(m)
+    eod.run_eod(m.spark, m.sf_dir, lake, run_date="2024-01-05")
+    eod.run_eod(m.spark, m.sf_dir, lake, run_date="2024-01-06", sources={"nav": _next_day(m)})
+    return lake.read_snapshot("gold", "fact_loan_daily").select(*gold.FLD_COLUMNS)
+
+
 def _finish():
-    from .oracle import CTES, sql_for
+    from .oracle import CTES, M as _money, sql_for, with_suffix
+    from .quality_queries import ORACLE_SQL as QUALITY_SQL
     CTES.update(_SCD_CTES)
+    CTES["scd_v3"] = """
+SELECT *, sha256(concat_ws('|', kyc_status, risk_category, city, state)) AS _hash FROM (
+  SELECT customer_id, pan_token, kyc_status, CASE WHEN customer_id % 7 = 0 THEN 'HIGH' ELSE risk_category END AS risk_category, city, state FROM s_customer)"""
+    CTES["scd_dim2"], CTES["scd_dim3"] = _merged("scd_dim1", "scd_v2", SCD2_SECOND_RUN), _merged("scd_dim2", "scd_v3", SCD2_THIRD_RUN)
+    CTES.update(with_suffix("_next", {"x_nav_raw": """
+SELECT * FROM x_nav_raw UNION ALL
+SELECT scheme_code, CAST(nav_date + INTERVAL '1' DAY AS DATE), nav * 0.7e0, published_at FROM x_nav_raw
+WHERE nav_date = DATE '2024-01-05' AND published_at = '23:30'"""}))
     CTES["stress_dp"] = f"""
-SELECT f.customer_id, {V.money_sql('f.dp_contrib * 0.88e0')} AS dp0,
-  {V.money_sql("f.dp_contrib * CASE WHEN s.category = 'EQUITY' THEN 0.7e0 WHEN s.category = 'HYBRID' THEN 0.85e0 ELSE 0.97e0 END")} AS dp1
+SELECT f.customer_id, {_money('f.dp_contrib * 0.88e0')} AS dp0,
+  {_money("f.dp_contrib * CASE WHEN s.category = 'EQUITY' THEN 0.7e0 WHEN s.category = 'HYBRID' THEN 0.85e0 ELSE 0.97e0 END")} AS dp1
 FROM g_fhd f JOIN x_scheme s ON f.scheme_code = s.scheme_code GROUP BY f.customer_id"""
     CTES["stress_loans"] = """
 SELECT l.loan_id, l.customer_id, l.outstanding, l.drawing_power AS base_drawing_power,
@@ -221,6 +274,7 @@ SELECT l.loan_id, l.customer_id, l.outstanding, l.drawing_power AS base_drawing_
 FROM g_fld l LEFT JOIN stress_dp d ON l.customer_id = d.customer_id"""
     for k, body in list(ORACLE_SQL.items()):
         ORACLE_SQL[k] = sql_for(body)
+    ORACLE_SQL["eod_quality"] = QUALITY_SQL["dq_json"]
 
 
 _finish()

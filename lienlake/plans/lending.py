@@ -7,6 +7,7 @@ tables and its work grows with them.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,18 @@ from ..sources import adapter
 from . import gold, silver
 
 
+class _OnDemand(dict):
+    """Frames by name, each built when it is first asked for."""
+
+    def __init__(self, build: Callable[[str], DataFrame]):
+        super().__init__()
+        self.build = build
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self.build(name)
+        return self[name]
+
+
 class LendingModel:
     """Lazy frames for one input directory; every query builds its own."""
 
@@ -23,12 +36,12 @@ class LendingModel:
         self.sf_dir = sf_dir
 
     @cached_property
-    def src(self) -> dict[str, DataFrame]:
-        return adapter.load_sources(self.spark, self.sf_dir)
+    def src(self) -> Mapping[str, DataFrame]:
+        return _OnDemand(lambda name: adapter.SOURCES[name](self.spark, self.sf_dir))
 
     @cached_property
-    def silver(self) -> dict[str, DataFrame]:
-        return silver.build_silver(self.src)
+    def silver(self) -> Mapping[str, DataFrame]:
+        return _OnDemand(lambda name: silver.TABLES[name](self.src))
 
     @cached_property
     def as_of(self):

@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import re
 
-from ..functions.valuation import money_sql as M
-from ..operators.latest import latest_sql
-from .silver import HOLDING_ORDER
+
+def M(expr: str) -> str:
+    """An exact money total: decimals of 1e-8, rounded to 6 places."""
+    return f"CAST(CAST(ROUND(SUM(CAST({expr} AS DECIMAL(38,8))), 6) AS DECIMAL(38,6)) AS DOUBLE)"
+
 
 # --- fixture adapter (the fixture contract's mapping, verbatim semantics) ---
 CTES: dict[str, str] = {
@@ -37,38 +39,47 @@ SELECT p_partkey AS scheme_code, CAST(DATE '2024-01-01' + INTERVAL '1' DAY * k A
 FROM part CROSS JOIN (VALUES (0),(1),(2),(3),(4)) AS d(k) CROSS JOIN (VALUES (1),(2)) AS r(v)
 WHERE (v = 2 OR p_partkey % 10 = 0) AND NOT (v = 1 AND p_partkey % 97 = 0)""",
     "x_holding_raw": """
-SELECT l_orderkey * 8 + l_linenumber AS holding_id, o_custkey AS customer_id, l_partkey AS scheme_code,
-  l_quantity AS units_pledged,
-  CASE l_returnflag WHEN 'N' THEN 'REQUESTED' WHEN 'A' THEN 'MARKED' ELSE 'RELEASED' END AS lien_status,
+SELECT l_orderkey * 8 + l_linenumber AS holding_id, o_custkey AS customer_id, 
+  CASE WHEN (l_orderkey * 8 + l_linenumber) % 211 = 0 THEN -l_partkey ELSE l_partkey END AS scheme_code,
+  CASE WHEN (l_orderkey * 8 + l_linenumber) % 223 = 0 THEN -l_quantity WHEN (l_orderkey * 8 + l_linenumber) % 227 = 0 THEN NULL
+    ELSE l_quantity END AS units_pledged,
+  CASE WHEN (l_orderkey * 8 + l_linenumber) % 229 = 0 THEN 'UNKNOWN' WHEN l_returnflag = 'N' THEN 'REQUESTED'
+    WHEN l_returnflag = 'A' THEN 'MARKED' ELSE 'RELEASED' END AS lien_status,
   CAST(l_shipdate AS DATE) AS as_of_date, l_suppkey, l_extendedprice, l_orderkey
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 WHERE o_custkey % 20 <> 0""",
     "x_loan": """
-SELECT o_orderkey AS loan_id, o_custkey AS customer_id, 'OD' AS product_type, o_totalprice AS outstanding,
+SELECT o_orderkey AS loan_id, o_custkey AS customer_id, 'OD' AS product_type,
+  CASE WHEN o_orderkey % 331 = 0 THEN -o_totalprice WHEN o_orderkey % 337 = 0 THEN NULL ELSE o_totalprice END AS outstanding,
   9.5e0 + (o_orderkey % 9) * 0.5e0 AS annual_rate
+FROM orders""",
+    "x_disbursement": """
+SELECT o_orderkey * 10 + 1 AS disbursement_id, CASE WHEN o_orderkey % 347 = 0 THEN -o_orderkey ELSE o_orderkey END AS loan_id,
+  o_custkey AS customer_id, o_totalprice AS amount, CAST(o_orderdate AS DATE) AS disbursed_at,
+  CASE WHEN o_orderstatus = 'F' THEN 'SUCCESS' ELSE 'PENDING' END AS status
 FROM orders""",
     "x_repayment": """
-SELECT l_orderkey AS loan_id, l_extendedprice * l_discount AS amount,
+SELECT l_orderkey * 8 + l_linenumber AS repayment_id, l_orderkey AS loan_id, l_extendedprice * l_discount AS amount,
   CAST(DATE '2024-01-05' - INTERVAL '1' DAY * CAST((year(l_shipdate) * 372 + month(l_shipdate) * 31 + day(l_shipdate)) % 160 - 60 AS INT) AS DATE) AS paid_at,
   CASE WHEN l_returnflag = 'R' THEN 'FAILED' ELSE 'SUCCESS' END AS status
 FROM lineitem""",
 }
 
-HOLDING_COLS = ["holding_id", "customer_id", "scheme_code", "units_pledged", "lien_status",
-                "as_of_date", "l_suppkey", "l_extendedprice", "l_orderkey"]
-
 # --- silver ---
 CTES.update({
     "s_customer": """
 SELECT customer_id, full_name, kyc_status, risk_category, city, state, sha256(upper(pan)) AS pan_token
 FROM x_customer""",
     "s_nav_clean": "SELECT scheme_code, nav_date, nav, published_at FROM x_nav_raw WHERE nav > 0",
-    "s_nav": latest_sql("s_nav_clean", ["scheme_code", "nav_date", "nav", "published_at"],
-                        ["scheme_code", "nav_date"], ["published_at"]),
+    "s_nav": """
+SELECT scheme_code, nav_date, nav, published_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY scheme_code, nav_date ORDER BY published_at DESC, nav DESC) AS rn FROM s_nav_clean) WHERE rn = 1""",
     "s_hold_valid": """
-SELECT * FROM x_holding_raw WHERE units_pledged >= 0
-  AND scheme_code IN (SELECT scheme_code FROM x_scheme)""",
-    "s_holding": latest_sql("s_hold_valid", HOLDING_COLS, ["holding_id"], HOLDING_ORDER),
+SELECT h.* FROM x_holding_raw h WHERE units_pledged >= 0 AND EXISTS (SELECT 1 FROM x_scheme s WHERE s.scheme_code = h.scheme_code)""",
+    "s_holding": """
+SELECT holding_id, customer_id, scheme_code, units_pledged, lien_status, as_of_date, l_suppkey, l_extendedprice, l_orderkey FROM (
+  SELECT *, row_number() OVER (PARTITION BY holding_id ORDER BY as_of_date DESC, scheme_code DESC, l_suppkey DESC, l_extendedprice DESC,
+    customer_id DESC, units_pledged DESC, lien_status DESC) AS rn FROM s_hold_valid) WHERE rn = 1""",
     "s_loan": "SELECT * FROM x_loan WHERE outstanding >= 0",
 })
 
@@ -243,5 +254,17 @@ def sql_for(body: str) -> str:
     return f"WITH {with_clause}\n{body.strip()}"
 
 
+def with_suffix(suffix: str, given: dict[str, str]) -> dict[str, str]:
+    """Copies of the steps that depend on those given, named with a suffix, over the given bodies (which read the originals)."""
+    moved = set(given)
+    while True:
+        more = {n for n, body in CTES.items() if n not in moved and not n.endswith(suffix) and set(_deps(body)) & moved and n.startswith(("s_", "g_"))}
+        if not more:
+            break
+        moved |= more
+    name = re.compile(r"\b(" + "|".join(sorted(moved)) + r")\b")
+    return {n + suffix: given.get(n) or name.sub(lambda m: m[1] + suffix, CTES[n]) for n in moved}
+
+
 def oracle_queries() -> dict[str, str]:
     return {k: sql_for(v) for k, v in QUERIES.items()}

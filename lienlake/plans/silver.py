@@ -8,6 +8,8 @@ under ANSI mode.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,13 +72,17 @@ def clean_loan(loan: DataFrame) -> DataFrame:
     return out.filter(F.col("outstanding") >= 0)
 
 
-def build_silver(src: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    scheme = clean_scheme(src["scheme"])
-    return {
-        "customer": tokenize_pii(src["customer"]),
-        "scheme": scheme,
-        "nav": latest_nav(clean_nav(src["nav"])),
-        "mf_holding": latest_holding(valid_holdings(src["mf_holding"], scheme)),
-        "loan": clean_loan(src["loan"]),
-        "repayment": src["repayment"],
-    }
+#: How each silver table comes from the sources (and a cleaned scheme from its source).
+TABLES = {
+    "customer": lambda src: tokenize_pii(src["customer"]),
+    "scheme": lambda src: clean_scheme(src["scheme"]),
+    "nav": lambda src: latest_nav(clean_nav(src["nav"])),
+    "mf_holding": lambda src: latest_holding(valid_holdings(src["mf_holding"], clean_scheme(src["scheme"]))),
+    "loan": lambda src: clean_loan(src["loan"]),
+    "disbursement": lambda src: src["disbursement"],
+    "repayment": lambda src: src["repayment"],
+}
+
+
+def build_silver(src: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    return {name: build(src) for name, build in TABLES.items()}

@@ -109,6 +109,17 @@ def remove_dir(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+def move_dir(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a directory of this package's own tables; what stands at the target is replaced."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    old, new = path(source), path(target)
+    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(new.getParent())
+    fs.delete(new, True)
+    if not fs.rename(old, new):
+        raise OSError(f"{source} can't be moved to {target}")
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -119,4 +130,4 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 
 
 __all__ = ["build_session", "ensure_checkpoint_dir", "lake_root", "scratch_path",
-           "path_exists", "list_dirs", "remove_dir", "local_path"]
+           "path_exists", "list_dirs", "move_dir", "remove_dir", "local_path"]

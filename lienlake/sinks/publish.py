@@ -12,7 +12,9 @@ current.  The newest version with a ``_SUCCESS`` marker is current, so a
 failed or half-written job leaves the previous version in place; optionally
 a catalog table is repointed (``ALTER TABLE .. SET LOCATION``, a metadata
 change).  Row counts for the audit come from an ``Observation`` on the write
-itself (no second scan).
+itself (no second scan), and so do the violation counts of quality checks: a
+table with checks is written to a staging directory first and published by a
+rename, and only if no hard check failed.
 """
 
 from __future__ import annotations
@@ -20,11 +22,14 @@ from __future__ import annotations
 import datetime as dt
 import threading
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import lake_root, list_dirs, path_exists
+from ..operators import quality
+from ..session import lake_root, list_dirs, move_dir, path_exists
+from .scd2_table import Scd2Table
 
 AUDIT_SCHEMA = ("layer string, table_name string, version string, as_of_date date, "
                 "row_count bigint, committed_at timestamp, path string")
@@ -105,12 +110,40 @@ class Lake:
             self._audit(layer, name, version, obs.get["rows"], path)
         return path
 
+    def publish_checked(self, df: DataFrame, layer: str, name: str, checks: Sequence[quality.Check], snapshot: bool = False,
+                        partition_col: str = "as_of_date") -> list[dict]:
+        """K1/K3 behind a gate (D1): the checks are counted while the table is written, and it is published unless a hard one
+        failed (it then stays in staging).  Returns the report's rows; the caller raises on them."""
+        version = new_version()
+        staged = f"{self.root}/staging/{layer}/{name}/{version}"
+        obs = Observation(f"checked_{layer}_{name}_{version}")
+        metrics = quality.check_metrics(checks) + ([F.max(partition_col).alias("as_of")] if snapshot else [])
+        writer = df.observe(obs, *metrics).write.mode("errorifexists")
+        (writer.partitionBy(partition_col) if snapshot else writer).parquet(staged)
+        report = quality.report_rows(obs.get, layer, name, checks)
+        if any(r["hard"] and not r["passed"] for r in report):
+            return report
+        path = self.snapshot_dir(layer, name) if snapshot else f"{self.table_dir(layer, name)}/v={version}"
+        if snapshot:
+            for part in list_dirs(self.spark, staged):
+                move_dir(self.spark, f"{staged}/{part}", f"{path}/{part}")
+        else:
+            move_dir(self.spark, staged, path)
+            if self.use_catalog:
+                self._point_catalog(layer, name, path)
+        self._audit(layer, name, version, obs.get["rows"], path, obs.get.get("as_of") if snapshot else None)
+        return report
+
     def publish_create(self, df: DataFrame, layer: str, name: str) -> str:
         """K2: first load; refuses to replace an existing table."""
         if self.exists(layer, name):
             raise FileExistsError(f"{layer}.{name}")
         return self.publish_replace(df, layer, name)
 
+    def scd2(self, layer: str, name: str, key: str = "customer_id") -> Scd2Table:
+        """A dimension with history, changed in place."""
+        return Scd2Table(self.spark, f"{self.root}/scd2/{layer}/{name}", key)
+
     def publish_snapshot(self, df: DataFrame, layer: str, name: str,
                          partition_col: str = "as_of_date") -> str:
         """K3: replace only the partitions present in ``df`` (rerun-safe history)."""

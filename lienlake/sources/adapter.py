@@ -98,7 +98,8 @@ def holdings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     holding_id is not unique (the latest-row rule has real work to do).
     Every 20th customer holds nothing, so that loans without collateral occur
-    (the left side of the loan join).  ``l_orderkey`` is kept: it is
+    (the left side of the loan join).  Some rows are faulty: an unknown scheme,
+    negative or missing units, an unknown lien status.  ``l_orderkey`` is kept: it is
     determined by holding_id (line numbers are 1..7), and the dedup reuses the
     join's partitioning on it.
     """
@@ -107,39 +108,54 @@ def holdings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey").filter(F.col("o_custkey") % 20 != 0)
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     flag = F.col("l_returnflag")
+    holding = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     return j.select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("holding_id"),
+        holding.alias("holding_id"),
         F.col("o_custkey").alias("customer_id"),
-        F.col("l_partkey").alias("scheme_code"),
-        F.col("l_quantity").alias("units_pledged"),
-        F.when(flag == "N", "REQUESTED").when(flag == "A", "MARKED").otherwise("RELEASED").alias("lien_status"),
+        F.when(holding % 211 == 0, -F.col("l_partkey")).otherwise(F.col("l_partkey")).alias("scheme_code"),
+        F.when(holding % 223 == 0, -F.col("l_quantity")).when(holding % 227 != 0, F.col("l_quantity")).alias("units_pledged"),
+        F.when(holding % 229 == 0, "UNKNOWN").when(flag == "N", "REQUESTED").when(flag == "A", "MARKED").otherwise("RELEASED").alias("lien_status"),
         F.col("l_shipdate").cast("date").alias("as_of_date"),
         "l_suppkey", "l_extendedprice", "l_orderkey",
     )
 
 
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """x_loan: every order is a loan; customers can have several."""
+    """x_loan: every order is a loan; customers can have several.  Some have a negative or no outstanding."""
     o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice")
     return o.select(
         F.col("o_orderkey").alias("loan_id"),
         F.col("o_custkey").alias("customer_id"),
         F.lit("OD").alias("product_type"),
-        F.col("o_totalprice").alias("outstanding"),
+        F.when(F.col("o_orderkey") % 331 == 0, -F.col("o_totalprice")).when(F.col("o_orderkey") % 337 != 0, F.col("o_totalprice")).alias("outstanding"),
         (F.lit(9.5) + (F.col("o_orderkey") % 9) * 0.5).alias("annual_rate"),
     )
 
 
+def disbursements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """x_disbursement: one per loan; some name a loan that isn't there."""
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderdate")
+    return o.select(
+        (F.col("o_orderkey") * 10 + 1).alias("disbursement_id"),
+        F.when(F.col("o_orderkey") % 347 == 0, -F.col("o_orderkey")).otherwise(F.col("o_orderkey")).alias("loan_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_totalprice").alias("amount"),
+        F.col("o_orderdate").cast("date").alias("disbursed_at"),
+        F.when(F.col("o_orderstatus") == "F", "SUCCESS").otherwise("PENDING").alias("status"),
+    )
+
+
 def repayments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """x_repayment: one repayment per lineitem; returned lines are FAILED payments.
 
     Payment dates spread from 99 days before to 60 days after the as-of date.
     """
-    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_extendedprice", "l_discount",
-                    "l_shipdate", "l_returnflag")
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_extendedprice",
+                    "l_discount", "l_shipdate", "l_returnflag")
     d = F.col("l_shipdate")
     offset = ((F.year(d) * 372 + F.month(d) * 31 + F.dayofmonth(d)) % 160 - 60).cast("int")
     return li.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("repayment_id"),
         F.col("l_orderkey").alias("loan_id"),
         (F.col("l_extendedprice") * F.col("l_discount")).alias("amount"),
         F.date_sub(F.lit(REPAY_ANCHOR_DATE).cast("date"), offset).alias("paid_at"),
@@ -153,6 +169,7 @@ SOURCES = {
     "nav": nav_raw,
     "mf_holding": holdings_raw,
     "loan": loans,
+    "disbursement": disbursements,
     "repayment": repayments,
 }
 

@@ -3,22 +3,26 @@
 A change record is ``(op, seq, key, row)`` with op in r (snapshot read),
 c (create), u (update), d (delete); ``seq`` orders the changes of a key.
 
-``apply_changes`` keeps, per key, the record with the highest ``seq`` seen so
-far, *including* deletes (kept as tombstones), so an older update arriving
-after a delete cannot resurrect the row.  The serving view drops tombstones.
-Each micro-batch is reduced to one record per key (partial aggregation,
-skew-safe) and appended under its batch id; reading takes the newest seq of a
-key, and a replayed batch replaces its own rows only.  Records that can't be
-decoded are kept apart, in ``<name>_rejected``, and can be counted there.
+The table is keyed state: per key the record with the highest ``(seq, op)`` seen
+so far, *including* deletes (kept as tombstones), so an older update arriving
+after a delete cannot resurrect the row.  A micro-batch writes the keys that it
+changes and nothing else; a replayed one leaves the same state.  The serving
+view reads the last committed state through Spark's state data source and drops
+tombstones.  The query's output is the log of the changes that took effect.
+Records that can't be decoded go to a dead-letter table by a query of their own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import sys
+from collections.abc import Iterator
+
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.latest import latest
-from ..sinks.upsert import append_batch, read_latest
+from .margin import run_to_files, use_state_store
 
 OPS = ["r", "c", "u", "d"]
 
@@ -38,32 +42,47 @@ def decode_changes(raw: DataFrame, schema: str) -> DataFrame:
     return p.select("c.*", F.when(~ok, F.coalesce("value", F.lit(""))).alias("bad"))
 
 
-def newest(rows: DataFrame) -> DataFrame:
-    """Newest record per key (ties: later op letter); tombstones kept."""
-    return latest(rows, ["key"], ["seq", "op"])
+class ChangeProcessor(StatefulProcessor):
+    """The newest record of a key; rows are compared as they come and none is kept but the newest."""
+
+    def __init__(self, row_type: str):
+        self.row_type = row_type
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.newest = handle.getValueState("newest", f"seq bigint, op string, row {self.row_type}")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        before = best = self.newest.get()
+        for r in rows:
+            if best is None or (r.seq, r.op) > (best[0], best[1]):
+                best = (r.seq, r.op, r.row)
+        if best is not before:
+            self.newest.update(best)
+            yield Row(key=key[0], seq=best[0], op=best[1])
+
+    def close(self) -> None:
+        pass
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def changes_writer(root: str, name: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            append_batch(batch.filter("bad is not null").select("bad"), f"{root}/{name}_rejected", batch_id)
-            append_batch(newest(batch.filter("bad is null").select("key", "seq", "op", "row")), f"{root}/{name}", batch_id)
-        finally:
-            batch.unpersist()
-    return write
+def apply_changes(changes: DataFrame) -> DataFrame:
+    """The changes that took effect (key, seq, op), one per key and micro-batch; the rows are state."""
+    good = changes.filter("bad is null").select("key", "seq", "op", "row")
+    row_type, key_type = (changes.schema[c].dataType.simpleString() for c in ("row", "key"))
+    return good.groupBy("key").transformWithState(ChangeProcessor(row_type), f"key {key_type}, seq bigint, op string", "Append", "None")
 
 
 def run_apply_changes(changes: DataFrame, root: str, name: str, checkpoint: str):
-    q = (changes.writeStream.foreachBatch(changes_writer(root, name))
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    return q
+    """Drain a change stream: state in ``checkpoint``, the log of effective changes and the undecodable records as tables."""
+    use_state_store(changes.sparkSession)
+    run_to_files(changes.filter("bad is not null").select("bad"), f"{root}/{name}_rejected", f"{checkpoint}_rejected")
+    return run_to_files(apply_changes(changes), f"{root}/{name}_applied", checkpoint)
 
 
-def current_rows(spark: SparkSession, root: str, name: str) -> DataFrame:
+def current_rows(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Serving view: live rows only, flattened."""
-    t = read_latest(spark, f"{root}/{name}", ["key"], ["seq", "op"])
-    return t.filter(F.col("op") != "d").select("key", "seq", "row.*")
+    state = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "newest").load()
+    live = state.select("key.key", "value.seq", "value.op", "value.row").filter(F.col("op") != "d")
+    return live.select("key", "seq", "row.*")

@@ -1,14 +1,20 @@
 """Behaviour frames: latest-row, SCD2, quality gates, stress, chart query."""
 
 import datetime as dt
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from lienlake.operators import quality as Q
 from lienlake.operators import scd2
+from lienlake.operators.constraints import check_constraints
 from lienlake.operators.latest import latest
 from lienlake.operators.stress import stress_revalue
 from lienlake.plans import serving
+from lienlake.session import local_path
+from lienlake.sinks.publish import Lake
+from lienlake.sources import seeds
 
 D = dt.date
 
@@ -136,3 +142,96 @@ def test_chart_query_modes(spark):
     assert g == {"A": 2, "B": 1}
     one = serving.chart_query(df, metrics=[("total", "SUM(v)")]).first()
     assert one["total"] == 8.0
+
+
+# ---- SCD2 table, constraints, seeds -----------------------------------------
+
+def versions(table):
+    rows = table.read().select("customer_id", "_hash", F.col("scd_valid_from").cast("string"), F.col("scd_valid_to").cast("string"), "is_current").collect()
+    return sorted(tuple(r) for r in rows)
+
+
+def files_of(table, part):
+    found = {}
+    for d, _, names in os.walk(os.path.join(local_path(table.path), part)):
+        found |= {os.path.join(d, n): os.stat(os.path.join(d, n)).st_mtime_ns for n in names if n.startswith("part-")}
+    return found
+
+
+def test_scd2_table_touches_only_what_changes(spark, scratch):
+    table = Lake(spark, scratch).scd2("gold", "dim")
+    keys = range(300)
+    table.apply(stage(spark, [(k, "V", "A", "h0") for k in keys]), "2024-01-01")
+    table.apply(stage(spark, [(k, "V", "A", "h1" if k < 5 else "h0") for k in keys]), "2024-01-02")
+    closed, current = files_of(table, "closed"), files_of(table, "current")
+    third = stage(spark, [(7, "V", "B", "h2"), (3, "V", "A", "h0"), (1000, "V", "A", "h0")])     # the others are absent
+    table.apply(third, "2024-01-03")
+    now = files_of(table, "current")
+    assert closed.items() <= files_of(table, "closed").items()                                  # closed versions stay as written
+    dirs = lambda files: {os.path.dirname(f) for f in files}
+    changed = {os.path.dirname(f) for f in set(now.items()) ^ set(current.items()) for f in f[:1]}
+    assert 1 <= len(changed) <= 3 and len(dirs(now)) >= 50
+    got = versions(table)
+    assert [v for v in got if v[0] in (3, 7, 1000)] == [
+        (3, "h0", "2024-01-01", "2024-01-02", False), (3, "h0", "2024-01-03", None, True), (3, "h1", "2024-01-02", "2024-01-03", False),
+        (7, "h0", "2024-01-01", "2024-01-03", False), (7, "h2", "2024-01-03", None, True), (1000, "h0", "2024-01-03", None, True)]
+    table.apply(third, "2024-01-03")                                                            # a rerun changes nothing
+    assert versions(table) == got and files_of(table, "current") == now
+
+
+def test_scd2_run_reads_no_closed_history_and_can_be_repeated(spark, scratch):
+    table = Lake(spark, scratch).scd2("gold", "dim")
+    table.apply(stage(spark, [(k, "V", "A", "h0") for k in range(20)]), "2024-01-01")
+    table.apply(stage(spark, [(k, "V", "A", "h1") for k in range(20)]), "2024-01-02")
+    second = stage(spark, [(k, "V", "A", "h2") for k in range(10)])
+    assert "closed" not in "".join(table.changes(second, "2024-01-03").inputFiles())
+    # a run that broke off after it had closed the old versions: the same run again ends as it should
+    before = {f: open(f, "rb").read() for f in files_of(table, "current")}
+    table.apply(second, "2024-01-03")
+    want = versions(table)
+    for f in files_of(table, "current"):
+        os.remove(f)
+    for f, data in before.items():
+        os.makedirs(os.path.dirname(f), exist_ok=True)
+        with open(f, "wb") as out:
+            out.write(data)
+        crc = os.path.join(os.path.dirname(f), f".{os.path.basename(f)}.crc")
+        if os.path.exists(crc):
+            os.remove(crc)
+    spark.catalog.clearCache()
+    table.apply(second, "2024-01-03")
+    assert versions(table) == want
+
+
+def test_constraints_find_each_kind_of_fault(spark):
+    parent = spark.createDataFrame([(1,), (2,), (2,), (None,), (None,)], "p long")
+    child = spark.createDataFrame([(1, 1), (2, 9), (3, 9), (4, None), (5, 2)], "c long, p long")
+    got = check_constraints({"parent": parent, "child": child}, {"parent": "p", "child": "c"}, [("child", "p", "parent")]).collect()
+    rows = {(r["kind"], r["table_name"]): (r["parent_table"], r["rows_checked"], r["bad_keys"], r["bad_rows"], r["passed"]) for r in got}
+    assert rows == {("primary", "parent"): (None, 5, 2, 3, False), ("primary", "child"): (None, 5, 0, 0, True),
+                    ("foreign", "child"): ("parent", 5, 1, 2, False)}
+
+
+def test_constraints_scan_each_table_once(spark):
+    from lienlake.plans.quality_queries import QUERIES
+    plan = QUERIES["dq_constraints"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate inline") <= 6 and "Join" not in plan.replace("Join Inner", "")      # the adapter's own joins only
+
+
+def write_seed(folder, name, *lines):
+    os.makedirs(local_path(folder), exist_ok=True)
+    with open(os.path.join(local_path(folder), f"{name}.csv"), "w") as f:
+        f.write("\n".join(lines) + "\n")
+
+
+def test_seed_load_is_strict(spark, scratch):
+    head = "scheme_code,isin,scheme_name,amc,category,eligible_ltv_pct"
+    write_seed(scratch, "schemes", head, "000100,I1,A,X,EQUITY,50", "000200,I2,B,X,DEBT,high", "000300,I3", "000400,I4,D,X,DEBT,75,extra")
+    rows = seeds.read_seed(spark, scratch, "schemes").collect()
+    bad = "_corrupt_record"
+    assert [(r["scheme_code"], r["eligible_ltv_pct"]) for r in rows if r[bad] is None] == [("000100", 50.0)]
+    assert [r[bad] for r in rows if r[bad]] == ["000200,I2,B,X,DEBT,high", "000300,I3", "000400,I4,D,X,DEBT,75,extra"]
+    assert all(r["_source"] == "seed/schemes.csv" and r["_ingested_at"] and r["_file"].endswith("schemes.csv") for r in rows)
+    write_seed(scratch, "loans", "loan_id,product_type,customer_id,sanctioned_limit,outstanding,applied_ltv_pct,status,annual_rate,disbursed_at", "1,2,3,4,5,6,7,8,")
+    with pytest.raises(Exception, match="header"):
+        seeds.read_seed(spark, scratch, "loans").collect()
