@@ -78,7 +78,7 @@ SHARED = 3
 SMALL, CLUSTER = 16, 4000
 
 #: Pairs a set in a cluster that are compared at once.
-FEW = 4
+FEW = 1
 
 
 def shingle_sets(hasher: Hasher, texts: list, k: int) -> list:
@@ -166,16 +166,26 @@ def keys_of(shingles, b: int, plan: tuple[int, int, int]):
 
 
 def fingerprint(shingles) -> bytes:
-    """A byte for each of 2^i cells, n/4 to n/2 of them: the sum of the codes of the shingles there."""
-    cells = 1 << max((len(shingles) - 1).bit_length() - 2, 0)
+    """Half a byte for each of 2^i cells, n/4 to n/2 of them (2 at least): the sum of the codes of the shingles there."""
+    cells = 1 << max((len(shingles) - 1).bit_length() - 2, 1)
     at = (mix(shingles, 41) % np.uint64(cells)).astype(np.int64)
-    return np.bincount(at, mix(shingles, 43) % np.uint64(256), cells).astype(np.int64).astype(np.uint8).tobytes()
+    sums = np.bincount(at, mix(shingles, 43) % np.uint64(16), cells).astype(np.int64) & 15
+    return (sums[0::2] | sums[1::2] << 4).astype(np.uint8).tobytes()
 
 
 def _folded(prints):
     """Fingerprints of twice as many cells, folded onto half as many."""
     half = prints.shape[-1] // 2
-    return prints[..., :half] + prints[..., half:]
+    x, y = prints[..., :half], prints[..., half:]
+    return ((x & 15) + (y & 15) & 15) | ((x & 240) + (y & 240) & 240)
+
+
+#: In how many of their two cells bytes with this exclusive or differ.
+_APART = np.array([(b % 16 > 0) + (b > 15) for b in range(256)], np.uint8)
+
+
+def _cells_apart(prints, other):
+    return _APART[prints ^ other].sum(-1, dtype=np.int64)
 
 
 def _may_link(threshold: int):
@@ -190,7 +200,7 @@ def _may_link(threshold: int):
                 x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
                 while len(x) != len(y):
                     x, y = (_folded(x), y) if len(x) > len(y) else (x, _folded(y))
-                if np.count_nonzero(x != y) <= most_different(n, m, threshold):
+                if _cells_apart(x, y) <= most_different(n, m, threshold):
                     kept.append(i)
             yield batch.select(["sid", "leader"]).take(pa.array(kept, pa.int64()))
     return run
@@ -224,7 +234,7 @@ def _near_in_cluster(threshold: int, all_pairs: bool):
                 theirs = prints[lo - first[c] : hi - first[c]]
                 while theirs.shape[1] > len(mine):
                     theirs = _folded(theirs)
-                apart = (theirs != mine).sum(1)
+                apart = _cells_apart(theirs, mine)
                 near = (apart <= (100 - threshold) * (n[i] + n[lo:hi]) // (100 + threshold)) & (part[lo:hi] != part[i])
                 at = np.flatnonzero(near)
                 if len(at):
@@ -321,10 +331,14 @@ def _led(crowd: DataFrame, *key: str) -> DataFrame:
     return crowd.join(first, [*key]).select("sid", "turn", "leader").distinct()
 
 
+def _worth() -> Column:
+    return F.when(F.col("key").bitwiseAND(F.lit(1)) == 1, SHARED).otherwise(1)
+
+
 def _pairs_of_small(groups: DataFrame, *key: str) -> DataFrame:
     """The pairs (sid, leader), leader the smaller, of different parts in groups of up to SMALL rows."""
     members = groups.filter(F.col("size") <= SMALL).groupBy(*key).agg(F.sort_array(F.collect_set(F.struct("sid", "part"))).alias("of"))
-    worth = F.when(F.col("key").bitwiseAND(F.lit(1)) == 1, SHARED).otherwise(1) if key == ("key",) else F.lit(SHARED)
+    worth = _worth() if key == ("key",) else F.lit(SHARED)
     pairs = F.flatten(F.transform("of", lambda x, i: F.transform(
         F.filter(F.slice("of", i + 2, SMALL), lambda y: y["part"] != x["part"]),
         lambda y: F.struct(y["sid"].alias("sid"), x["sid"].alias("leader")))))
@@ -373,6 +387,9 @@ def similarity_links(keyed: DataFrame, prints: DataFrame, sets_of, threshold: in
     keyed = cut(keyed)
     shared = cut(_several(keyed, "key", by="sid"))
     groups = cut(among(keyed, "key", shared.select("key")).join(shared, "key").select("key", "sid", "size", F.col("sid").alias("part")))
+    # Linked sets share keys worth SHARED, so a set whose own shared keys are worth less has no link.
+    worth = groups.groupBy("sid").agg(F.sum(_worth()).alias("worth")).filter(F.col("worth") >= SHARED)
+    groups = cut(among(groups, "sid", worth.select("sid")))
     # Sets that stand in most large groups, such as the text that others were copied from, lead them.
     crowd = groups.filter(F.col("size") > SMALL).select("key", "sid").distinct()
     turn = crowd.groupBy("sid").agg((-F.count("*")).alias("turn"))
