@@ -1,26 +1,31 @@
 """Near-duplicate lines by a deletion-neighbourhood join (operator 5).
 
-The unit of an edit is a word: two lines are near duplicates when one word
-inserted, deleted or replaced turns one into the other.  Lines of at least
-``fuzzy_words`` words may differ by one edit, shorter ones must be equal
-(ignoring white space), and lines under ``min_words`` words are left alone.
-Of the lines that stand for each other the earliest is kept: a line goes if an
-equal or near line comes before it, by document id, then line number.
-
-Each line files itself under the hash of its words and under the hashes of all
-sequences with one word deleted.  An insertion or deletion makes one line's
+Two lines are near duplicates when one unit inserted, deleted or replaced turns
+one into the other.  The units of a line of at least ``fuzzy_words`` words are
+its words; those of a shorter one are its characters (with one space between
+words), if it has at least ``fuzzy_chars`` of them.  Lines shorter than that must
+be equal, as an edit would be most of them; lines with different units must be
+too.  White space besides doesn't matter.  ``edits`` 0 asks for equal lines only.
+(More than one edit can't be done this way: the earliest line of a key could
+fail where a later one holds.)  Every line with a word takes part.  Of the lines
+that stand for each other the earliest is kept: a line goes if an equal or near
+line comes before it, by document id, then line number.
+
+Each line files itself under the hash of its units and under the hashes of all
+sequences with one unit deleted.  An insertion or deletion makes one line's
 whole hash equal a deletion of the other; a replacement makes both delete the
 same place.  So within a key only the earliest whole line and the earliest
 deletion (overall and per place) matter: groups are reduced to those and never
-expanded into pairs.  What is found is verified on the words.
+expanded into pairs.  What is found is verified on the units.
 
 Before that, lines that can't have a near duplicate are set aside without
-loss: one edit leaves the first or the last half of the words as it was, so
+loss: one edit leaves the first or the last half of the units as it was, so
 only lines that share a half with a different line emit their deletions.
 
-Cases: a null or empty text has one empty line, which is left alone; rows with
-the same id and text are one document; null ids come after all others; an
-empty table gives an empty result.
+Cases: a null or empty text has one empty line, which is left alone, as are all
+lines without a word; rows with the same id and text are one document; ids are
+whole numbers (others raise an error), null ids come after all others; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +35,6 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from .common import cut, row_key, text_or_empty
 from .tokens import Hasher, byte_texts, chunks, joined, mix, signed
@@ -39,8 +43,39 @@ _PLACE = "no_id boolean, doc_id long, rk long, line_no int"
 _ORDER = ("no_id", "doc_id", "rk", "line_no")
 
 
-def _line_keys(min_words: int, fuzzy_words: int):
-    """(place, n_words, whole, halves) of every line that has min_words words."""
+def _char_units(lines: list, hasher: Hasher):
+    """Hashes of the characters of short lines (one space between words), and where each line's begin and how many they are."""
+    plain = [b" ".join(x.split()).decode() for x in lines]
+    n = np.array([len(x) for x in plain], np.int64)
+    points = np.frombuffer("".join(plain).encode("utf-32-le"), "<u4").astype(np.uint64)
+    return mix(points, 77), np.cumsum(n) - n, n
+
+
+def _halves(hasher: Hasher, h, first, n, salt: int):
+    """Four hashes of each line: of its first and last half, as the shorter (or equal) line and as the longer one."""
+    run, cols = hasher.running(h), []
+    part = lambda a, b, place: mix(mix(hasher.stretch(run, a, b)) ^ (b - a).astype(np.uint64), salt + place)
+    for tag in (n, n - 1):
+        c = tag // 2
+        of = mix(tag.astype(np.uint64), 5)
+        cols += [part(first, first + c, 2) ^ of, part(first + n - (tag - c), first + n, 3) ^ of]
+    return np.stack(cols, 1)
+
+
+def _variants(hasher: Hasher, h, first, n, salt: int):
+    """Keys of each line's whole and of its deletions, the deleted place (-1: none) and the line's number."""
+    run, down = hasher.running(h), hasher.words.down
+    # the units before the deleted one, and those after it moved one place to the front
+    of = np.repeat(np.arange(len(n)), n)
+    j = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(len(of))
+    rest = (run[j] - run[first[of]]) + (run[(first + n)[of]] - run[j + 1]) * down[1]
+    rest = rest * down[first[of]]
+    key = np.concatenate((mix(hasher.stretch(run, first, first + n), salt) ^ n.astype(np.uint64), mix(rest, salt) ^ (n[of] - 1).astype(np.uint64)))
+    return key, np.concatenate((np.full(len(n), -1), j - first[of])).astype(np.int32), np.concatenate((np.arange(len(n)), of))
+
+
+def _line_keys(fuzzy_words: int, fuzzy_chars: int, edits: int):
+    """(place, whole, halves) of every line that has a word."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -49,77 +84,78 @@ def _line_keys(min_words: int, fuzzy_words: int):
             texts = byte_texts(batch.column("text"))
             for lo, hi in chunks(texts):
                 buf, begin = joined(texts[lo:hi])
-                h, at, _ = hasher.tokens(buf)
+                h, at, end = hasher.tokens(buf)
                 feed = np.flatnonzero(np.frombuffer(buf, np.uint8) == 10)  # the last byte is one
                 edge = np.concatenate(([0], np.searchsorted(at, feed)))
                 n = np.diff(edge)
                 doc = np.searchsorted(begin, feed, "right") - 1
                 line = np.arange(len(feed)) - np.searchsorted(feed, begin)[doc]
-                kept = np.flatnonzero(n >= min_words)
+                kept = np.flatnonzero(n)
                 first, n, doc, line = edge[kept], n[kept], doc[kept], line[kept]
-                run = hasher.running(h)
-                part = lambda a, b, salt: mix(mix(hasher.stretch(run, a, b)) ^ (b - a).astype(np.uint64), salt)
-                whole = part(first, first + n, 1)
-                cols = []
-                for tag in (n, n - 1):  # as the shorter (or equal) line, and as the longer one
-                    c = tag // 2
-                    of = mix(tag.astype(np.uint64), 5)
-                    cols += [part(first, first + c, 2) ^ of, part(first + n - (tag - c), first + n, 3) ^ of]
-                halves = signed(np.stack(cols, 1).reshape(-1))
-                fuzzy = n >= fuzzy_words
-                ends = np.concatenate(([0], np.cumsum(4 * fuzzy))).astype(np.int32)
-                halves = halves[np.repeat(fuzzy, 4)]
+                whole = mix(mix(hasher.stretch(hasher.running(h), first, first + n)) ^ n.astype(np.uint64), 1)
+                halves, has = np.zeros((len(n), 4), np.uint64), np.zeros(len(n), bool)
+                if edits:
+                    by_words = n >= fuzzy_words
+                    short = np.flatnonzero(~by_words)
+                    units, place, count = _char_units([buf[at[first[i]] : end[first[i] + n[i] - 1]] for i in short], hasher)
+                    halves[by_words] = _halves(hasher, h, first[by_words], n[by_words], 0)
+                    halves[short] = _halves(hasher, units, place, count, 50)
+                    has = by_words
+                    has[short] = count >= fuzzy_chars
+                ends = np.concatenate(([0], np.cumsum(4 * has))).astype(np.int32)
                 take = pa.array(lo + doc)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c).take(take) for c in ("no_id", "doc_id", "rk")]
-                    + [pa.array(line.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(signed(whole)),
-                       pa.ListArray.from_arrays(pa.array(ends), pa.array(halves))],
-                    names=["no_id", "doc_id", "rk", "line_no", "n_words", "whole", "halves"])
+                    + [pa.array(line.astype(np.int32)), pa.array(signed(whole)), pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(halves[has].reshape(-1))))],
+                    names=["no_id", "doc_id", "rk", "line_no", "whole", "halves"])
     return run
 
 
-def _deletions(batches: Iterator) -> Iterator:
-    """(key, place of the deletion or -1 for the whole line, whole, number) of each line."""
-    import pyarrow as pa
+def _deletions(fuzzy_words: int):
+    """(key, place of the deletion or -1 for the whole line, whole, at) of each line."""
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-    hasher = Hasher(lower=False)
-    for batch in batches:
-        texts = byte_texts(batch.column("line"))
-        for lo, hi in chunks(texts, 1 << 18):
-            buf, begin = joined(texts[lo:hi])
-            h, at, _ = hasher.tokens(buf)
-            edge = np.append(np.searchsorted(at, begin), len(h))
-            first, n = edge[:-1], np.diff(edge)
-            up, down = hasher.words.upto(len(h) + 1)
-            run = hasher.running(h)
-            # the words before the deleted one, and those after it moved one place to the front
-            of = np.repeat(np.arange(len(n)), n)
-            j = np.arange(len(h))
-            rest = (run[j] - run[first[of]]) + (run[(first + n)[of]] - run[j + 1]) * hasher.words.down[1]
-            rest = rest * down[first[of]]
-            key = np.concatenate((mix(hasher.stretch(run, first, first + n)) ^ n.astype(np.uint64),
-                                  mix(rest) ^ (n[of] - 1).astype(np.uint64)))
-            place = np.concatenate((np.full(len(n), -1), j - first[of])).astype(np.int32)
-            take = pa.array(lo + np.concatenate((np.arange(len(n)), of)))
-            yield pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(place), batch.column("whole").take(take),
-                                              batch.column("at").take(take)], names=["key", "place", "whole", "at"])
-
-
-def _within_one_edit(batches: Iterator) -> Iterator:
-    import pyarrow as pa
+        hasher = Hasher(lower=False)
+        for batch in batches:
+            texts = byte_texts(batch.column("line"))
+            for lo, hi in chunks(texts, 1 << 18):
+                buf, begin = joined(texts[lo:hi])
+                h, at, _ = hasher.tokens(buf)
+                edge = np.append(np.searchsorted(at, begin), len(h))
+                first, n = edge[:-1], np.diff(edge)
+                long, short = np.flatnonzero(n >= fuzzy_words), np.flatnonzero(n < fuzzy_words)
+                by_words = _variants(hasher, h, first[long], n[long], 0)
+                by_chars = _variants(hasher, *_char_units([texts[lo + i] for i in short], hasher), 50)
+                for (key, place, of), lines in ((by_words, long), (by_chars, short)):
+                    if len(key):
+                        take = pa.array(lo + lines[of])
+                        yield pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(place), batch.column("whole").take(take),
+                                                          batch.column("at").take(take)], names=["key", "place", "whole", "at"])
+    return run
+
+
+def _within_one_edit(fuzzy_words: int):
+    def units(line: bytes):
+        w = line.split()
+        return w if len(w) >= fuzzy_words else b" ".join(w).decode()
 
     def near(a, b):
         if len(a) > len(b):
             a, b = b, a
-        if len(b) - len(a) > 1:
+        if type(a) is not type(b) or len(b) - len(a) > 1:
             return False
         i = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
         return a[i + (len(a) == len(b)) :] == b[i + 1 :]
 
-    for batch in batches:
-        a, b = (byte_texts(batch.column(c)) for c in ("line", "other"))
-        kept = [i for i, (x, y) in enumerate(zip(a, b)) if near(x.split(), y.split())]
-        yield batch.select(["whole", "keeper"]).take(pa.array(kept, pa.int64()))
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            a, b = (byte_texts(batch.column(c)) for c in ("line", "other"))
+            kept = [i for i, (x, y) in enumerate(zip(a, b)) if near(units(x), units(y))]
+            yield batch.select(["whole", "keeper"]).take(pa.array(kept, pa.int64()))
+    return run
 
 
 def _picked_lines(batches: Iterator) -> Iterator:
@@ -138,18 +174,19 @@ def _picked_lines(batches: Iterator) -> Iterator:
                                           pa.array(lines, pa.binary()).cast(pa.string())], names=["whole", "at", "line"])
 
 
-def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 3,
-                    fuzzy_words: int = 8) -> DataFrame:
+def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fuzzy_words: int = 8,
+                    fuzzy_chars: int = 8, edits: int = 1) -> DataFrame:
     """A row for each line that goes: doc_id, rk (row key), line_no (from 0), keep_doc_id, keep_line_no and edits
     (0 or 1) of the earliest line that it repeats."""
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     base = base.select(F.col("doc_id").isNull().alias("no_id"), "doc_id", row_key("doc_id", "text").alias("rk"), "text")
-    lines = cut(base.mapInArrow(_line_keys(min_words, fuzzy_words),
-                                _PLACE + ", n_words int, whole long, halves array<long>"))
+    if edits not in (0, 1):
+        raise ValueError("edits must be 0 or 1")
+    lines = cut(base.mapInArrow(_line_keys(fuzzy_words, fuzzy_chars, edits), _PLACE + ", whole long, halves array<long>"))
     # a row key may stand for several equal rows, which have the same lines
     lines = lines.withColumn("at", F.struct(*_ORDER))
     least = cut(lines.groupBy("whole").agg(F.min("at").alias("at"), F.max("at").alias("last"), F.max("halves").alias("halves")))
-    near = _near_keepers(base, least)
+    near = _near_keepers(base, least, fuzzy_words)
     gone = least.join(near, "whole", "left").filter("keeper is not null or at <> last")
     gone = cut(gone.select("whole", F.col("at").alias("first"), "keeper"))  # the join's own shuffles, which Spark can split
     found = lines.select("whole", "at").join(gone, "whole").filter("keeper is not null or at <> first")
@@ -160,28 +197,28 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         keep["line_no"].alias("keep_line_no"), edits.alias("edits")).distinct()
 
 
-def _near_keepers(base: DataFrame, least: DataFrame) -> DataFrame:
-    """(whole, keeper): for lines with an earlier line at one edit, where the earliest such line stands."""
-    w = W.partitionBy("half")
+def _near_keepers(base: DataFrame, least: DataFrame, fuzzy_words: int) -> DataFrame:
+    """(whole, keeper): for lines with an earlier line at one edit, where the earliest such line stands.  What lines share
+    is told by an aggregation, which counts before it shuffles, and a join, whose hot keys Spark can split."""
     halves = least.filter("size(halves) > 0").select("whole", F.explode("halves").alias("half"))
-    met = (halves.select("whole", F.min("whole").over(w).alias("w0"), F.max("whole").over(w).alias("w1"))
-           .filter("w0 <> w1").select("whole").distinct())
+    shared = halves.groupBy("half").agg(F.min("whole").alias("w0"), F.max("whole").alias("w1")).filter("w0 <> w1").select("half")
+    met = halves.join(shared, "half", "left_semi").select("whole").distinct()
     want = cut(least.join(met, "whole").groupBy("at.rk").agg(F.collect_list(F.struct("whole", "at")).alias("want")))
     picked = base.select("rk", "text").join(want, "rk").dropDuplicates(["rk"]).select("text", "want")
     at_type = "struct<no_id boolean, doc_id long, rk long, line_no int>"
     lines = cut(picked.mapInArrow(_picked_lines, f"whole long, at {at_type}, line string"))
-    filed = lines.mapInArrow(_deletions, f"key long, place int, whole long, at {at_type}")
-    by_key, by_place = W.partitionBy("key"), W.partitionBy("key", "place")
-    whole_line = F.min(F.when(F.col("place") < 0, F.col("at"))).over(by_key)
-    deletion = F.min(F.when(F.col("place") >= 0, F.col("at"))).over(by_key)
-    reduced = filed.repartition("key").select("whole", "at", "place", whole_line.alias("f"), deletion.alias("d"),
-                                              F.min("at").over(by_place).alias("p"))
-    other = F.when(F.col("place") < 0, F.array("d")).otherwise(F.array("f", "p"))
-    pairs = (reduced.select("whole", "at", F.explode(other).alias("keeper")).filter("keeper < at")
-             .select("whole", "keeper").distinct())
+    filed = cut(lines.mapInArrow(_deletions(fuzzy_words), f"key long, place int, whole long, at {at_type}"))
+    whole_line = F.min(F.when(F.col("place") < 0, F.col("at"))).alias("f")
+    deletion = F.min(F.when(F.col("place") >= 0, F.col("at"))).alias("d")
+    several = F.min("whole") != F.max("whole")
+    by_key = filed.groupBy("key").agg(whole_line, deletion, several.alias("several")).filter("several").drop("several")
+    by_place = filed.groupBy("key", "place").agg(F.min("at").alias("p"), several.alias("several")).filter("several and place >= 0").drop("several")
+    first = filed.join(by_key, "key").select("whole", "at", F.when(F.col("place") < 0, F.col("d")).otherwise(F.col("f")).alias("keeper"))
+    same = filed.join(by_place, ["key", "place"]).select("whole", "at", F.col("p").alias("keeper"))
+    pairs = first.union(same).filter("keeper < at").select("whole", "keeper").distinct()
     texts = lines.select("whole", "line")
     pairs = pairs.join(texts, "whole").join(lines.select(F.col("at").alias("keeper"), F.col("line").alias("other")), "keeper")
-    ok = pairs.select("whole", "keeper", "line", "other").mapInArrow(_within_one_edit, f"whole long, keeper {at_type}")
+    ok = pairs.select("whole", "keeper", "line", "other").mapInArrow(_within_one_edit(fuzzy_words), f"whole long, keeper {at_type}")
     return ok.groupBy("whole").agg(F.min("keeper").alias("keeper"))
 
 

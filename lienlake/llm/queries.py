@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import (conversation_repair, decontamination, license_scan, line_dedup, mixing, ngram_join, packing, periodic_runs,
                quality_ensemble, quality_rules, secret_scan, suffix_dedup, toxicity)
 from .common import read_table
+from .query_sql import QUERY_SQL  # noqa: F401
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,6 +115,3 @@ QUERIES = {
     "op12_conversation_repair": op12_conversation_repair,
     "op13_periodic_runs": op13_periodic_runs,
 }
-
-#: DuckDB SQL for the queries that SQL can express.
-QUERY_SQL: dict[str, str] = {}

@@ -155,21 +155,27 @@ def near(a, b):
     return a[i + (len(a) == len(b)):] == b[i + 1:]
 
 
-def brute_lines(rows, min_words=3, fuzzy_words=8):
+def units_of(words, fuzzy_words=8):
+    return words if len(words) >= fuzzy_words else b" ".join(words).decode()
+
+
+def brute_lines(rows, fuzzy_words=8, fuzzy_chars=8, edits=1):
     lines = [(i, j, tuple(x.encode().split())) for i, t in sorted(rows) for j, x in enumerate((t or "").split("\n"))]
-    lines = [x for x in lines if len(x[2]) >= min_words]
+    lines = [x for x in lines if x[2]]
     first, by_key, out = {}, defaultdict(list), {}
     for i, j, w in lines:
         found = [(*first[w], 0)] if w in first else []
-        keys = {w} | {w[:p] + w[p + 1:] for p in range(len(w))} if len(w) >= fuzzy_words else ()
+        u = units_of(w, fuzzy_words)
+        fuzzy = edits and (not isinstance(u, str) or len(u) >= fuzzy_chars)
+        keys = {u} | {u[:p] + u[p + 1:] for p in range(len(u))} if fuzzy else ()
         for k in keys:
-            found += [(a, b, 1) for a, b, x in by_key[k] if x != w and near(x, w)]
+            found += [(a, b, 1) for a, b, x in by_key[k] if x != u and type(x) is type(u) and near(x, u)]
         if found:
             out[i, j] = min(found)
         if w not in first:
             first[w] = (i, j)
             for k in keys:
-                by_key[k].append((i, j, w))
+                by_key[k].append((i, j, u))
     return out
 
 
@@ -188,6 +194,21 @@ def test_line_dedup_finds_each_kind_of_edit(spark):
     assert got == {(1, 0): (0, 1), (2, 0): (0, 1), (3, 0): (0, 1), (4, 0): (0, 1), (8, 0): (7, 0), (20, 0): (0, 0), (None, 0): (0, 0)}
 
 
+@pytest.mark.parametrize("edits", [0, 1])
+def test_short_lines_take_part(spark, edits):
+    """Lines under 8 words by characters, under 8 characters if they are equal."""
+    texts = ["subscribe to our newsletter today please now", "subscribe to our newsletter today please Now", "subscribe to our newsletter today please no",
+             "subscribe to our newsletters todaX please now", "Menu", "Menu", "menu", "Home page", "Home page", "Home pages", "Home  \tpagé", "Home page x y",
+             "a b c d e f g h", "a b c d e f g", "déjà vue", "déja vue", " ", "-", "-"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(99, "\n".join(texts))]
+    found = line_dedup.duplicate_lines(spark.createDataFrame(rows, "doc_id long, text string"), edits=edits).collect()
+    got = {(r["doc_id"], r["line_no"]): (r["keep_doc_id"], r["keep_line_no"], r["edits"]) for r in found}
+    assert got == brute_lines(rows, edits=edits)
+    near_ones = {(1, 0), (2, 0), (9, 0), (10, 0), (15, 0)}
+    assert (near_ones <= set(got)) if edits else not near_ones & set(got)
+    assert {(5, 0), (8, 0), (18, 0)} <= set(got) and (6, 0) not in got and (13, 0) not in got
+
+
 def test_dropping_lines(edges, nothing):
     out = line_dedup.drop_duplicate_lines(edges)
     assert out.columns == edges.columns
