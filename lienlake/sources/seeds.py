@@ -18,6 +18,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import remove_dir, scratch_path
 from ..sinks.publish import Lake
 from .files import CORRUPT_COL
 
@@ -48,18 +49,21 @@ def read_seed(spark: SparkSession, folder: str, name: str, ingested_at: dt.datet
     """A seed file's lines, typed, with lineage; ``_corrupt_record`` holds a line that doesn't fit."""
     at = F.lit(ingested_at).cast("timestamp") if ingested_at else F.current_timestamp()
     lines = (spark.read.schema(f"{SEEDS[name]}, {CORRUPT_COL} string").option("header", True).option("enforceSchema", False)
-             .option("columnPruning", False)  # else only the columns asked for are checked
              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL).csv(f"{folder}/{name}.csv"))
     return lines.withColumns({"_source": F.lit(f"seed/{name}.csv"), "_ingested_at": at, "_file": F.col("_metadata.file_path")})
 
 
 def land_seeds(spark: SparkSession, folder: str, lake: Lake, ingested_at: dt.datetime | None = None) -> None:
-    """Publish every seed file's rows, and the lines that don't fit, to bronze."""
+    """Publish every seed file's rows, and the lines that don't fit, to bronze.  The lines are parsed once, with all their
+    columns (Spark checks no column that a query leaves out)."""
     for name in SEEDS:
-        lines = read_seed(spark, folder, name, ingested_at)
+        staged = scratch_path(spark, "lines", name)
+        read_seed(spark, folder, name, ingested_at).write.parquet(staged)
+        lines = spark.read.parquet(staged)
         bad = F.col(CORRUPT_COL).isNotNull()
         lake.publish_replace(lines.filter(~bad).drop(CORRUPT_COL), "bronze", name)
         lake.publish_replace(lines.filter(bad).select(columns_of(name)[0], F.col(CORRUPT_COL).alias("line"), *LINEAGE), "bronze", f"{name}_rejected")
+        remove_dir(spark, staged)
 
 
 def sources(lake: Lake) -> dict[str, DataFrame]:
