@@ -165,9 +165,10 @@ def keys_of(shingles, b: int, plan: tuple[int, int, int]):
     return np.unique(np.concatenate(found) & ~np.uint64(1) | np.uint64(deep > 0))
 
 
-def fingerprint(shingles) -> bytes:
-    """Half a byte for each of 2^i cells, n/4 to n/2 of them (2 at least): the sum of the codes of the shingles there."""
-    cells = 1 << max((len(shingles) - 1).bit_length() - 2, 1)
+def fingerprint(shingles, threshold: int) -> bytes:
+    """Half a byte for each of 2^i cells (2 at least): the sum of the codes of the shingles there.  There are more than
+    1.5 to 3 cells for each shingle that linked sets may differ in: n/4 to n/2 at 85 per cent and over, twice as many below."""
+    cells = 1 << max((len(shingles) - 1).bit_length() - 2 + max((100 - threshold) // 16, 0), 1)
     at = (mix(shingles, 41) % np.uint64(cells)).astype(np.int64)
     sums = np.bincount(at, mix(shingles, 43) % np.uint64(16), cells).astype(np.int64) & 15
     return (sums[0::2] | sums[1::2] << 4).astype(np.uint8).tobytes()
@@ -253,7 +254,7 @@ def _near_in_cluster(threshold: int, all_pairs: bool):
     return run
 
 
-def _describe(k: int):
+def _describe(k: int, threshold: int):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -264,7 +265,7 @@ def _describe(k: int):
             for lo, hi in chunks(texts):
                 for i, s in enumerate(shingle_sets(hasher, texts[lo:hi], k), lo):
                     size[i], sid[i] = len(s), mix(mix(s, 3).sum(dtype=np.uint64), len(s))
-                    prints.append(fingerprint(s) if len(s) else b"")
+                    prints.append(fingerprint(s, threshold) if len(s) else b"")
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("rk"), pa.array(size), pa.array(signed(sid)),
                                               pa.array(prints, pa.binary())], names=["doc_id", "rk", "n_shingles", "sid", "print"])
     return run
@@ -465,7 +466,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per row of ``docs``: doc_id, rk (row key), n_shingles, component_id."""
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     base = base.withColumn("rk", row_key("doc_id", "text"))
-    rows = cut(base.mapInArrow(_describe(k), "doc_id long, rk long, n_shingles long, sid long, print binary"))
+    rows = cut(base.mapInArrow(_describe(k, threshold), "doc_id long, rk long, n_shingles long, sid long, print binary"))
     keyed = base.select("text").mapInArrow(_file(k, threshold), "key long, sid long")
 
     def sets_of(sids: DataFrame) -> DataFrame:

@@ -5,9 +5,11 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lienlake.llm import decontamination, line_dedup, ngram_join, suffix_dedup
-from lienlake.llm.components import components
+from lienlake.llm.common import among
+from lienlake.llm.components import components, joined_components
 from lienlake.llm.tokens import Hasher
 
 from .conftest import split_words
@@ -31,9 +33,9 @@ def linked(x, y, t=85):
     return bool(x) and bool(y) and 100 * both >= t * (len(x) + len(y) - both)
 
 
-def brute_components(rows):
+def brute_components(rows, k=4, t=85):
     """component of each row, by all pairs of different sets."""
-    sets = [shingles(t) for _, t in rows]
+    sets = [shingles(text, k) for _, text in rows]
     parent = list(range(len(rows)))
 
     def root(i):
@@ -41,7 +43,7 @@ def brute_components(rows):
             i = parent[i]
         return i
     for i, j in itertools.combinations(range(len(rows)), 2):
-        if len(sets[i]) <= len(sets[j]) * 1.2 and len(sets[j]) <= len(sets[i]) * 1.2 and linked(sets[i], sets[j]):
+        if 100 * min(len(sets[i]), len(sets[j])) >= t * max(len(sets[i]), len(sets[j])) and linked(sets[i], sets[j], t):
             parent[root(j)] = root(i)
     least = {}
     for i, (doc, _) in enumerate(rows):
@@ -62,11 +64,12 @@ def test_ngram_join_matches_brute_force(mixed):
     assert got == brute_components(rows_of(mixed))
 
 
-@pytest.mark.parametrize("small, cluster", [(2, 2), (2, 1000), (1000, 1000)])
-def test_ngram_join_through_leaders(spark, monkeypatch, small, cluster):
-    """A large group of near copies: by pairs, by fingerprints in clusters, and through leaders."""
+@pytest.mark.parametrize("small, cluster, few, k, threshold", [(2, 4000, 0, 5, 80), (2, 4000, 100, 4, 85), (1000, 4000, 1, 4, 85), (2, 30, 1, 4, 85)])
+def test_ngram_join_through_leaders(spark, monkeypatch, small, cluster, few, k, threshold):
+    """A large group of near copies: by pairs, by fingerprints in clusters at once or nearest first, and through leaders."""
     monkeypatch.setattr(ngram_join, "SMALL", small)
     monkeypatch.setattr(ngram_join, "CLUSTER", cluster)
+    monkeypatch.setattr(ngram_join, "FEW", few)
     rng = np.random.default_rng(3)
     base = [f"w{x}" for x in rng.integers(0, 5000, 90)]
     rows = []
@@ -78,28 +81,29 @@ def test_ngram_join_through_leaders(spark, monkeypatch, small, cluster):
             w = w[: 90 - int(rng.integers(0, 14))]
         rows.append((i, " ".join(w)))
     got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"])
-                  for r in ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
-    assert got == brute_components(rows)
+                  for r in ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), k=k, threshold=threshold).collect()), key=str)
+    assert got == brute_components(rows, k, threshold)
     assert 1 < len({c for _, _, c in got}) < 60
 
 
+@pytest.mark.parametrize("threshold", [85, 80])
 @pytest.mark.parametrize("size", [1, 6, 7, 12, 13, 25, 40, 90, 300])
-def test_linked_sets_share_enough_keys(size):
+def test_linked_sets_share_enough_keys(size, threshold):
     """Any two sets of a linked pair's sizes share a deep band's key or SHARED plain ones in the larger set's band."""
     rng = np.random.default_rng(size)
     for _ in range(60):
         x = rng.integers(0, 2**63, size, np.uint64)
         y = x.copy()
-        change = int(rng.integers(0, size // 6 + 1))
+        change = int(rng.integers(0, size * (100 - threshold) // 100 + 1))
         y[:change] = rng.integers(0, 2**63, change, np.uint64)
-        y = np.append(y, rng.integers(0, 2**63, int(rng.integers(0, size // 8 + 1)), np.uint64))
+        y = np.append(y, rng.integers(0, 2**63, int(rng.integers(0, size * (100 - threshold) // 120 + 1)), np.uint64))
         x, y = np.unique(x), np.unique(y)
         if len(x) > len(y):
             x, y = y, x
-        if not linked(set(x.tolist()), set(y.tolist())) or set(x.tolist()) == set(y.tolist()):
+        if not linked(set(x.tolist()), set(y.tolist()), threshold) or set(x.tolist()) == set(y.tolist()):
             continue
         b = ngram_join.band_of(len(y))
-        plan = ngram_join.allocate(b, 85)
+        plan = ngram_join.allocate(b, threshold)
         common = np.intersect1d(ngram_join.keys_of(x, b, plan), ngram_join.keys_of(y, b, plan))
         assert len(common) >= (1 if plan[1] else ngram_join.SHARED)
         assert b - ngram_join.band_of(len(x)) in (0, 1)
@@ -135,6 +139,36 @@ def test_a_key_tells_whether_it_is_enough(b):
     assert set((keys & np.uint64(1)).tolist()) == {int(plan[1] > 0)}
 
 
+@pytest.mark.parametrize("threshold", [85, 80])
+@pytest.mark.parametrize("size", [1, 2, 3, 8, 9, 17, 100, 1000])
+def test_fingerprints_are_a_lower_bound(size, threshold):
+    """Fingerprints, folded onto equal lengths, differ in no more cells than the sets in shingles."""
+    rng = np.random.default_rng(size)
+    for _ in range(40):
+        x = rng.integers(0, 2**63, size, np.uint64)
+        y = np.append(x[int(rng.integers(0, size + 1)):], rng.integers(0, 2**63, int(rng.integers(0, 2 * size + 2)), np.uint64))
+        if not len(y):
+            continue
+        a, b = (np.frombuffer(ngram_join.fingerprint(z, threshold), np.uint8) for z in (x, y))
+        while len(a) != len(b):
+            a, b = (ngram_join._folded(a), b) if len(a) > len(b) else (a, ngram_join._folded(b))
+        assert ngram_join._cells_apart(a, b) <= len(np.setxor1d(x, y))
+
+
+def test_bitmap_lets_all_wanted_pass(spark):
+    values = spark.range(20_000).select(F.xxhash64("id").alias("h"))
+    wanted = values.limit(3000).cache()
+    passed = {r["h"] for r in among(values, "h", wanted).collect()}
+    assert {r["h"] for r in wanted.collect()} <= passed and len(passed) < 3400
+    assert among(values, "h", wanted.limit(0)).count() == 0
+
+
+def test_further_links_join_components(spark):
+    roots = components(spark.createDataFrame([(1, 2), (3, 4), (5, 6)], "a long, b long"))
+    got = dict(map(tuple, joined_components(roots, spark.createDataFrame([(2, 4), (8, 9), (6, 9), (1, 2)], "a long, b long")).collect()))
+    assert got == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5, 6: 5, 8: 5, 9: 5}
+
+
 def test_ngram_join_of_nothing_and_stage(nothing, edges):
     assert ngram_join.jaccard_components(nothing).count() == 0
     kept = ngram_join.keep_one_of_each(edges)
