@@ -151,10 +151,17 @@ class Model:
 
 def logistic(texts, features, ratio, labels, l2: float = 1.0, rounds: int = 15):
     """Weights and intercept of a logistic regression on present features scaled by ``ratio``; ``texts`` and
-    ``features`` are the places of the ones.  Newton's method, its steps found by conjugate gradients."""
-    n, m, value = len(labels), len(ratio), ratio[features]
-    forward = lambda v: np.bincount(texts, value * v[:m][features], n) + v[m]
-    back = lambda e: np.append(np.bincount(features, value * e[texts], m), e.sum())
+    ``features`` are the places of the ones.  Newton's method, its steps found by conjugate gradients; products run over
+    a million places at a time, so that they need little memory besides the places themselves."""
+    n, m = len(labels), len(ratio)
+    blocks = [slice(lo, lo + (1 << 20)) for lo in range(0, len(features), 1 << 20)]
+
+    def forward(v):
+        scaled = ratio * v[:m]
+        return sum((np.bincount(texts[b], scaled[features[b]], n) for b in blocks), np.zeros(n)) + v[m]
+
+    def back(e):
+        return np.append(ratio * sum((np.bincount(features[b], e[texts[b]], m) for b in blocks), np.zeros(m)), e.sum())
     penalty = np.append(np.full(m, l2), 1e-6)
     v = np.zeros(m + 1)
 
@@ -211,7 +218,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     held.unpersist()
     present = got.column("present").combine_chunks()
     counts = present.value_lengths().to_numpy()
-    w, b = logistic(np.repeat(np.arange(len(counts)), counts), present.flatten().to_numpy(), ratio, got.column("label").to_numpy().astype(float))
+    w, b = logistic(np.repeat(np.arange(len(counts), dtype=np.int32), counts), present.flatten().to_numpy(), ratio, got.column("label").to_numpy().astype(float))
     return Model(buckets, w * ratio, float(b))
 
 
