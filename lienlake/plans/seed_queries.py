@@ -13,6 +13,7 @@ from ..session import scratch_path
 from ..sinks.publish import Lake
 from ..sources import seeds
 from . import gold, silver
+from .eod import run_parallel
 from .lending import LendingModel
 
 QUERIES = {}
@@ -74,8 +75,7 @@ def seed_frames(m: LendingModel) -> dict[str, DataFrame]:
 
 def _landed(m: LendingModel) -> Lake:
     folder, lake = scratch_path(m.spark, "seeds"), Lake(m.spark, scratch_path(m.spark, "lake"), autoflush=False)
-    for name, df in seed_frames(m).items():
-        df.write.option("header", True).csv(f"{folder}/{name}.csv")
+    run_parallel({name: lambda name=name, df=df: df.write.option("header", True).csv(f"{folder}/{name}.csv") for name, df in seed_frames(m).items()})
     seeds.land_seeds(m.spark, folder, lake)
     return lake
 

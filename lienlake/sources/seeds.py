@@ -18,6 +18,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.eod import run_parallel
 from ..session import remove_dir, scratch_path
 from ..sinks.publish import Lake
 from .files import CORRUPT_COL
@@ -55,8 +56,8 @@ def read_seed(spark: SparkSession, folder: str, name: str, ingested_at: dt.datet
 
 def land_seeds(spark: SparkSession, folder: str, lake: Lake, ingested_at: dt.datetime | None = None) -> None:
     """Publish every seed file's rows, and the lines that don't fit, to bronze.  The lines are parsed once, with all their
-    columns (Spark checks no column that a query leaves out)."""
-    for name in SEEDS:
+    columns (Spark checks no column that a query leaves out).  The files are independent and land as concurrent jobs."""
+    def land(name: str) -> None:
         staged = scratch_path(spark, "lines", name)
         read_seed(spark, folder, name, ingested_at).write.parquet(staged)
         lines = spark.read.parquet(staged)
@@ -65,6 +66,8 @@ def land_seeds(spark: SparkSession, folder: str, lake: Lake, ingested_at: dt.dat
         lake.publish_replace(lines.filter(bad).select(columns_of(name)[0], F.col(CORRUPT_COL).alias("line"), *LINEAGE), "bronze", f"{name}_rejected")
         remove_dir(spark, staged)
 
+    run_parallel({name: lambda name=name: land(name) for name in SEEDS})
+
 
 def sources(lake: Lake) -> dict[str, DataFrame]:
     """The landed seed tables under the names of the source tables."""

@@ -68,3 +68,23 @@ def test_catalog_table_is_repointed(spark, scratch):
     lake.publish_replace(spark.createDataFrame([(2,), (3,)], "x int"), "gold", name)
     assert lake.exists("gold", name)
     assert sorted(r["x"] for r in spark.table(f"gold.{name}").collect()) == [2, 3]
+
+
+def test_seed_files_land_as_concurrent_jobs(spark, local_dir, scratch):
+    import threading
+
+    from lienlake.sources import seeds
+    for name in seeds.SEEDS:
+        with open(f"{local_dir}/{name}.csv", "w") as f:
+            f.write(",".join(seeds.columns_of(name)) + "\n" + "x" * 3 + "," * (len(seeds.columns_of(name)) - 1) + "\n")
+    threads = set()
+
+    class Watched(Lake):
+        def publish_replace(self, *args, **kwargs):
+            threads.add(threading.get_ident())
+            return super().publish_replace(*args, **kwargs)
+
+    lake = Watched(spark, scratch, autoflush=False)
+    seeds.land_seeds(spark, local_dir, lake)
+    assert len(threads) > 1
+    assert {name: lake.read("bronze", name).count() for name in seeds.SEEDS} == dict.fromkeys(seeds.SEEDS, 1)
