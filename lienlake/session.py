@@ -103,6 +103,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or folder, from the file system's own listing."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(hpath).getLength()
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Remove a directory of this package's own tables."""
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -130,4 +136,4 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 
 
 __all__ = ["build_session", "ensure_checkpoint_dir", "lake_root", "scratch_path",
-           "path_exists", "list_dirs", "move_dir", "remove_dir", "local_path"]
+           "path_exists", "list_dirs", "move_dir", "remove_dir", "stored_bytes", "local_path"]

@@ -15,11 +15,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import read_table
+from ..session import stored_bytes
+from .tables import read_table, table_path
 
 # Fixed values of the fixture contract.
 NAV_START_DATE = "2024-01-01"          # day k = 0 of the published NAV series
 NAV_DAYS = 5                           # k = 0..4, so the as-of date is 2024-01-05
+NAV_PART_BYTES = 1 << 20              # bytes of the part table whose NAVs one task makes
 REPAY_ANCHOR_DATE = "2024-01-05"
 EQUITY_TYPES = ["SMALL", "MEDIUM"]     # eligible LTV 50
 HYBRID_TYPES = ["LARGE", "STANDARD"]   # eligible LTV 60, everything else DEBT at 75
@@ -74,9 +76,15 @@ def nav_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     Each scheme publishes one NAV per day for NAV_DAYS days; every tenth scheme
     also has an earlier (23:00) publication to deduplicate; every 97th scheme
     publishes a zero NAV on the last day and has no earlier publication.  The
-    day/version fan-out is a generator over a literal array (no join).
+    day/version fan-out is a generator over a literal array (no join).  A scheme
+    is a few bytes of its file and many NAVs, so a task that gets a whole scan
+    split would hold millions of them when they are grouped: above NAV_PART_BYTES
+    the schemes are dealt out by key first, which the grouping then makes use of.
     """
     p = read_table(spark, sf_dir, "part", "p_partkey", "p_retailprice")
+    pieces = -(-stored_bytes(spark, table_path(sf_dir, "part")) // NAV_PART_BYTES)
+    if pieces > 1:
+        p = p.repartition(max(pieces, int(spark.conf.get("spark.sql.shuffle.partitions"))), "p_partkey")
     grid = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v"))
                      for k in range(NAV_DAYS) for v in (1, 2)])
     x = p.select("p_partkey", "p_retailprice", F.inline(grid))

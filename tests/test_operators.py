@@ -235,3 +235,21 @@ def test_seed_load_is_strict(spark, scratch):
     write_seed(scratch, "loans", "loan_id,product_type,customer_id,sanctioned_limit,outstanding,applied_ltv_pct,status,annual_rate,disbursed_at", "1,2,3,4,5,6,7,8,")
     with pytest.raises(Exception, match="header"):
         seeds.read_seed(spark, scratch, "loans").collect()
+
+
+def test_nav_of_a_large_scheme_table_is_dealt_by_key(spark, tmp_path, monkeypatch):
+    """A scan split of schemes makes many NAVs, so one task must not group a whole split's."""
+    from lienlake.plans import silver
+    from lienlake.sources import adapter
+
+    part = spark.range(3000).selectExpr("id % 2900 AS p_partkey", "'n' AS p_name", "'b' AS p_brand", "'SMALL' AS p_type", "1 AS p_size", "id * 1.5D AS p_retailprice")
+    part.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    whole = adapter.nav_raw(spark, str(tmp_path))
+    before = rows(whole)
+    monkeypatch.setattr(adapter, "NAV_PART_BYTES", 1 << 10)
+    dealt = adapter.nav_raw(spark, str(tmp_path))
+    assert whole.rdd.getNumPartitions() == 1 and dealt.rdd.getNumPartitions() >= 8
+    assert rows(dealt) == before
+    plan = silver.latest_nav(silver.clean_nav(dealt))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
