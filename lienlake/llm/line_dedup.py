@@ -33,10 +33,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, row_key, text_or_empty
+from .common import among, cut, let, row_key, text_or_empty
 from .tokens import Hasher, byte_texts, chunks, joined, mix, signed
 
 _PLACE = "no_id boolean, doc_id long, rk long, line_no int"
@@ -112,13 +112,13 @@ def _line_keys(fuzzy_words: int, fuzzy_chars: int, edits: int):
 
 
 def _deletions(fuzzy_words: int):
-    """(key, place of the deletion or -1 for the whole line, whole, at) of each line."""
+    """(key, place of the deletion or -1 for the whole line, no) of each line."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         hasher = Hasher(lower=False)
         for batch in batches:
-            texts = byte_texts(batch.column("line"))
+            texts, no = byte_texts(batch.column("line")), batch.column("no")
             for lo, hi in chunks(texts, 1 << 18):
                 buf, begin = joined(texts[lo:hi])
                 h, at, _ = hasher.tokens(buf)
@@ -129,9 +129,7 @@ def _deletions(fuzzy_words: int):
                 by_chars = _variants(hasher, *_char_units([texts[lo + i] for i in short], hasher), 50)
                 for (key, place, of), lines in ((by_words, long), (by_chars, short)):
                     if len(key):
-                        take = pa.array(lo + lines[of])
-                        yield pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(place), batch.column("whole").take(take),
-                                                          batch.column("at").take(take)], names=["key", "place", "whole", "at"])
+                        yield pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(place), no.take(pa.array(lo + lines[of]))], names=["key", "place", "no"])
     return run
 
 
@@ -154,24 +152,22 @@ def _within_one_edit(fuzzy_words: int):
         for batch in batches:
             a, b = (byte_texts(batch.column(c)) for c in ("line", "other"))
             kept = [i for i, (x, y) in enumerate(zip(a, b)) if near(units(x), units(y))]
-            yield batch.select(["whole", "keeper"]).take(pa.array(kept, pa.int64()))
+            yield batch.select(["no", "keeper"]).take(pa.array(kept, pa.int64()))
     return run
 
 
 def _picked_lines(batches: Iterator) -> Iterator:
-    """The lines asked for of each document: (whole, at, line)."""
+    """The lines asked for of each document: (no, line)."""
     import pyarrow as pa
 
     for batch in batches:
-        whole, at, lines = [], [], []
+        no, lines = [], []
         for text, want in zip(byte_texts(batch.column("text")), batch.column("want").to_pylist()):
             split = text.split(b"\n")
             for w in want:
-                whole.append(w["whole"])
-                at.append(w["at"])
-                lines.append(split[w["at"]["line_no"]])
-        yield pa.RecordBatch.from_arrays([pa.array(whole, pa.int64()), pa.array(at, batch.schema.field("want").type.value_type.field("at").type),
-                                          pa.array(lines, pa.binary()).cast(pa.string())], names=["whole", "at", "line"])
+                no.append(w["no"])
+                lines.append(split[w["line_no"]])
+        yield pa.RecordBatch.from_arrays([pa.array(no, pa.int64()), pa.array(lines, pa.binary()).cast(pa.string())], names=["no", "line"])
 
 
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fuzzy_words: int = 8,
@@ -203,45 +199,45 @@ def _near_keepers(base: DataFrame, least: DataFrame, fuzzy_words: int) -> DataFr
     halves = least.filter("size(halves) > 0").select("whole", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.min("whole").alias("w0"), F.max("whole").alias("w1")).filter("w0 <> w1").select("half")
     met = halves.join(shared, "half", "left_semi").select("whole").distinct()
-    want = cut(least.join(met, "whole").groupBy("at.rk").agg(F.collect_list(F.struct("whole", "at")).alias("want")))
+    # Lines are told by numbers that grow with their place: a key costs 20 bytes, and the earliest line is the least number.
+    placed = cut(least.join(met, "whole").select("whole", "at").orderBy("at").withColumn("no", F.monotonically_increasing_id()))
+    want = cut(placed.groupBy("at.rk").agg(F.collect_list(F.struct("no", "at.line_no")).alias("want")))
     picked = base.select("rk", "text").join(want, "rk").dropDuplicates(["rk"]).select("text", "want")
-    at_type = "struct<no_id boolean, doc_id long, rk long, line_no int>"
-    lines = cut(picked.mapInArrow(_picked_lines, f"whole long, at {at_type}, line string"))
-    filed = cut(lines.mapInArrow(_deletions(fuzzy_words), f"key long, place int, whole long, at {at_type}"))
-    whole_line = F.min(F.when(F.col("place") < 0, F.col("at"))).alias("f")
-    deletion = F.min(F.when(F.col("place") >= 0, F.col("at"))).alias("d")
-    several = F.min("whole") != F.max("whole")
-    by_key = filed.groupBy("key").agg(whole_line, deletion, several.alias("several")).filter("several").drop("several")
-    by_place = filed.groupBy("key", "place").agg(F.min("at").alias("p"), several.alias("several")).filter("several and place >= 0").drop("several")
-    first = filed.join(by_key, "key").select("whole", "at", F.when(F.col("place") < 0, F.col("d")).otherwise(F.col("f")).alias("keeper"))
-    same = filed.join(by_place, ["key", "place"]).select("whole", "at", F.col("p").alias("keeper"))
-    pairs = first.union(same).filter("keeper < at").select("whole", "keeper").distinct()
-    texts = lines.select("whole", "line")
-    pairs = pairs.join(texts, "whole").join(lines.select(F.col("at").alias("keeper"), F.col("line").alias("other")), "keeper")
-    ok = pairs.select("whole", "keeper", "line", "other").mapInArrow(_within_one_edit(fuzzy_words), f"whole long, keeper {at_type}")
-    return ok.groupBy("whole").agg(F.min("keeper").alias("keeper"))
-
-
-def _without(batches: Iterator) -> Iterator:
-    import pyarrow as pa
-
-    for batch in batches:
-        out = []
-        for text, gone in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist()):
-            drop = set(gone)
-            out.append("\n".join(x for i, x in enumerate(text.split("\n")) if i not in drop))
-        yield pa.RecordBatch.from_arrays([batch.column("rk"), pa.array(out, pa.string())], names=["__rk", "__text"])
+    lines = cut(picked.mapInArrow(_picked_lines, "no long, line string"))
+    filed = cut(lines.mapInArrow(_deletions(fuzzy_words), "key long, place int, no long"))
+    whole_line = F.min(F.when(F.col("place") < 0, F.col("no"))).alias("f")
+    deletion = F.min(F.when(F.col("place") >= 0, F.col("no"))).alias("d")
+    by_key = filed.groupBy("key").agg(whole_line, deletion, F.max("no").alias("last")).filter("least(f, d) <> last").drop("last")
+    by_key = cut(by_key)
+    met = cut(among(filed, "key", by_key.select("key")).join(by_key, "key"))
+    deleted = met.filter("place >= 0")
+    by_place = deleted.groupBy("key", "place").agg(F.min("no").alias("p"), F.max("no").alias("last")).filter("p <> last").drop("last")
+    first = met.select("no", F.when(F.col("place") < 0, F.col("d")).otherwise(F.col("f")).alias("keeper"))
+    same = deleted.join(by_place, ["key", "place"]).select("no", F.col("p").alias("keeper"))
+    pairs = first.union(same).filter("keeper < no").distinct()
+    pairs = pairs.join(lines, "no").join(lines.select(F.col("no").alias("keeper"), F.col("line").alias("other")), "keeper")
+    ok = pairs.select("no", "keeper", "line", "other").mapInArrow(_within_one_edit(fuzzy_words), "no long, keeper long")
+    found = ok.groupBy("no").agg(F.min("keeper").alias("keeper")).join(placed.select("no", "whole"), "no")
+    return found.select("whole", "keeper").join(placed.select(F.col("no").alias("keeper"), "at"), "keeper").select("whole", F.col("at").alias("keeper"))
+
+
+def _without(text: Column, gone: Column) -> Column:
+    """A text without the lines of these numbers."""
+    def rest(lines: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+        return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+    return let(F.split(text, "\n", -1), rest)
 
 
 def drop_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars",
                          **options) -> DataFrame:
     """``docs`` with the lines that repeat an earlier line cut out, and without the documents of which no line with
     a word is left; their n_chars is counted anew.  Other documents are returned as they were."""
-    gone = (duplicate_lines(docs, id_col, text_col, **options).groupBy("rk").agg(F.collect_set("line_no").alias("gone")))
+    gone = duplicate_lines(docs, id_col, text_col, **options).groupBy(F.col("rk").alias("__rk")).agg(F.collect_set("line_no").alias("__gone"))
     key = F.xxhash64(F.col(id_col).cast("long"), text_or_empty(text_col))
-    cutting = (docs.select(key.alias("rk"), text_or_empty(text_col).alias("text")).join(gone, "rk").dropDuplicates(["rk"])
-               .mapInArrow(_without, "__rk long, __text string"))
-    out = docs.join(cutting, key == F.col("__rk"), "left").filter(r"__text is null or __text rlike '[^\\x20\\x09-\\x0D]'")
+    out = docs.join(gone, key == F.col("__rk"), "left")
+    out = out.withColumn("__text", F.when(F.col("__gone").isNotNull(), _without(F.col(text_col), F.col("__gone"))))
+    out = out.filter(r"__text is null or __text rlike '[^\\x20\\x09-\\x0D]'")
     new = {text_col: F.coalesce(F.col("__text"), F.col(text_col))}
     if chars_col in docs.columns:
         kind = docs.schema[chars_col].dataType
