@@ -104,7 +104,7 @@ class Among:
         for r in parts.collect():
             self.bits[(r["b"] - 1) * 4096 : r["b"] * 4096] = np.frombuffer(r["m"], np.uint8)
         ones = int(np.bitwise_count(self.bits).sum())
-        while len(self.bits) > 4096 and self.SPARSE * ones < 8 * len(self.bits):
+        while len(self.bits) > 4096 and self.SPARSE * ones <= 4 * len(self.bits):
             half = len(self.bits) // 2
             self.bits = self.bits[:half] | self.bits[half:]
 

@@ -271,12 +271,13 @@ def _describe(k: int, threshold: int):
     return run
 
 
-def _file(k: int, threshold: int):
+def _file(k: int, threshold: int, filing):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         hasher, plans, seen = Hasher(), {}, set()
         for batch in batches:
+            batch = filing.of(batch, "rk")
             texts = byte_texts(batch.column("text"))
             for lo, hi in chunks(texts):
                 keys, sids = [], []
@@ -386,8 +387,11 @@ def similarity_links(keyed: DataFrame, prints: DataFrame, sets_of, threshold: in
         return _compare(pairs, sets, threshold).filter("linked").select(F.col("sid").alias("a"), F.col("leader").alias("b"))
 
     keyed = cut(keyed)
+    # Most keys are filed once: those go by their number alone, a third of the bytes of what tells sets apart.
+    often = cut(keyed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1").select("key"))
+    keyed = cut(among(keyed, "key", often))
     shared = cut(_several(keyed, "key", by="sid"))
-    groups = cut(among(keyed, "key", shared.select("key")).join(shared, "key").select("key", "sid", "size", F.col("sid").alias("part")))
+    groups = cut(keyed.join(shared, "key").select("key", "sid", "size", F.col("sid").alias("part")))
     # Linked sets share keys worth SHARED, so a set whose own shared keys are worth less has no link.
     worth = groups.groupBy("sid").agg(F.sum(_worth()).alias("worth")).filter(F.col("worth") >= SHARED)
     groups = cut(among(groups, "sid", worth.select("sid")))
@@ -467,18 +471,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     base = base.withColumn("rk", row_key("doc_id", "text"))
     rows = cut(base.mapInArrow(_describe(k, threshold), "doc_id long, rk long, n_shingles long, sid long, print binary"))
-    keyed = base.select("text").mapInArrow(_file(k, threshold), "key long, sid long")
+    full = rows.filter("n_shingles > 0")
+    prints = cut(full.groupBy("sid").agg(F.min("rk").alias("rk"), F.min("n_shingles").alias("n"), F.min("print").alias("print")))
+    # of rows with equal sets one is filed, and the few others that pass the bitmap
+    keyed = base.select("rk", "text").mapInArrow(_file(k, threshold, Among(prints, "rk")), "key long, sid long")
 
     def sets_of(sids: DataFrame) -> DataFrame:
-        one = cut(rows.groupBy("sid").agg(F.min("rk").alias("rk")).join(sids, "sid", "left_semi").select("rk"))
+        one = cut(prints.select("sid", "rk").join(sids, "sid", "left_semi").select("rk"))
         found = base.select("rk", "text").mapInArrow(_sets(k, Among(one, "rk")), "rk long, sid long, shingles array<long>")
         found = cut(found.drop("rk").withColumn("number", F.xxhash64(F.monotonically_increasing_id())))
         # of rows that repeat, one; the sets themselves aren't shuffled for that
         return among(found, "number", found.groupBy("sid").agg(F.min("number").alias("number")).select("number")).drop("number")
 
-    full = rows.filter("n_shingles > 0")
-    prints = cut(full.groupBy("sid").agg(F.min("n_shingles").alias("n"), F.min("print").alias("print")))
-    root = similarity_links(keyed, prints, sets_of, threshold)
+    root = similarity_links(keyed, prints.select("sid", "n", "print"), sets_of, threshold)
     least = full.groupBy("sid").agg(F.min("doc_id").alias("least"))
     least = least.join(root.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     whole = least.groupBy("root").agg(F.min("least").alias("component_id"))

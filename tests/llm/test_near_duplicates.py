@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lienlake.llm import decontamination, line_dedup, ngram_join, suffix_dedup
-from lienlake.llm.common import among
+from lienlake.llm.common import Among, among
 from lienlake.llm.components import components, joined_components
 from lienlake.llm.tokens import Hasher
 
@@ -369,3 +369,42 @@ def test_word_hashes_do_not_depend_on_place():
     first = np.arange(len(h) - 1)
     pair = hasher.stretch(run, first, first + 2)
     assert pair[0] == pair[6] and len(set(pair.tolist())) == len(pair) - 1
+
+
+def test_a_deletion_key_is_filed_with_a_number_only(spark):
+    import pyarrow as pa
+
+    lines = pa.RecordBatch.from_pydict({"no": [7, 9], "line": ["a b c d e f g h", "short line"]})
+    filed = pa.Table.from_batches(line_dedup._deletions(8)([lines]))
+    assert filed.schema.names == ["key", "place", "no"] and filed.nbytes <= 20 * len(filed)
+    assert sorted(filed["no"].to_pylist()) == [7] * 9 + [9] * 11
+
+
+def test_line_dedup_keeps_the_earliest_by_place(spark):
+    """Numbers grow with the place: null ids come last, ids are compared as numbers."""
+    line = "one two three four five six seven eight"
+    docs = spark.createDataFrame([(None, line + " x"), (10, line + " y"), (9, "blank\n" + line + " z"), (-3, "other words")], "doc_id long, text string")
+    found = {(r["doc_id"], r["line_no"]): (r["keep_doc_id"], r["keep_line_no"], r["edits"]) for r in line_dedup.duplicate_lines(docs).collect()}
+    assert found == {(10, 0): (9, 1, 1), (None, 0): (9, 1, 1)}
+
+
+def test_dropped_lines_leave_the_rest_as_it_was(spark):
+    line = "one two three four five six seven eight"
+    docs = spark.createDataFrame([(1, line, 39), (2, f"\n{line}\n\nlast\n", 0), (2, f"\n{line}\n\nlast\n", 0), (3, line + " nine", 0), (4, None, 0)],
+                                 "doc_id long, text string, n_chars int")
+    out = sorted((tuple(r) for r in line_dedup.drop_duplicate_lines(docs).collect()))
+    assert out == [(1, line, 39), (2, "\n\nlast\n", 7), (2, "\n\nlast\n", 7), (4, None, 0)]
+
+
+@pytest.mark.parametrize("n", [3000, 5000, 40_000])
+def test_bitmap_is_filled_to_a_part_only(spark, n):
+    bits = Among(spark.range(n).select(F.xxhash64("id").alias("h")), "h").bits
+    assert Among.SPARSE * np.bitwise_count(bits).sum() <= 8 * len(bits)
+
+
+def test_equal_sets_are_filed_once(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, text if i else text + " x") for i in range(12)], "rk long, text string").repartition(12)
+    filing = Among(docs.filter("rk in (0, 5)"), "rk")
+    keyed = docs.mapInArrow(ngram_join._file(4, 85, filing), "key long, sid long")
+    assert keyed.groupBy("sid", "key").count().filter("count > 1").isEmpty() and keyed.select("sid").distinct().count() == 2
