@@ -35,6 +35,10 @@ AUDIT_SCHEMA = ("layer string, table_name string, version string, as_of_date dat
                 "row_count bigint, committed_at timestamp, path string")
 
 
+#: Compression of published tables.
+CODEC = "zstd"
+
+
 def new_version() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
 
@@ -103,7 +107,7 @@ class Lake:
         version = new_version()
         path = f"{self.table_dir(layer, name)}/v={version}"
         obs = Observation(f"publish_{layer}_{name}_{version}")
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").option("compression", CODEC).parquet(path)
         if self.use_catalog:
             self._point_catalog(layer, name, path)
         if audit:
@@ -118,7 +122,7 @@ class Lake:
         staged = f"{self.root}/staging/{layer}/{name}/{version}"
         obs = Observation(f"checked_{layer}_{name}_{version}")
         metrics = quality.check_metrics(checks) + ([F.max(partition_col).alias("as_of")] if snapshot else [])
-        writer = df.observe(obs, *metrics).write.mode("errorifexists")
+        writer = df.observe(obs, *metrics).write.mode("errorifexists").option("compression", CODEC)
         (writer.partitionBy(partition_col) if snapshot else writer).parquet(staged)
         report = quality.report_rows(obs.get, layer, name, checks)
         if any(r["hard"] and not r["passed"] for r in report):
@@ -150,7 +154,7 @@ class Lake:
         path = self.snapshot_dir(layer, name)
         obs = Observation(f"snapshot_{layer}_{name}_{uuid.uuid4().hex[:8]}")
         (df.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(partition_col).alias("as_of"))
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
            .partitionBy(partition_col).parquet(path))
         m = obs.get
         self._audit(layer, name, new_version(), m["rows"], path, m.get("as_of"))

@@ -88,3 +88,13 @@ def test_seed_files_land_as_concurrent_jobs(spark, local_dir, scratch):
     seeds.land_seeds(spark, local_dir, lake)
     assert len(threads) > 1
     assert {name: lake.read("bronze", name).count() for name in seeds.SEEDS} == dict.fromkeys(seeds.SEEDS, 1)
+
+
+def test_published_tables_are_zstd_files(spark, scratch):
+    from lienlake.session import local_path
+    import glob
+    import pyarrow.parquet as pq
+
+    path = Lake(spark, scratch).publish_replace(spark.range(1000), "silver", "t")
+    files = glob.glob(f"{local_path(path)}/*.parquet")
+    assert files and all(pq.ParquetFile(f).metadata.row_group(0).column(0).compression == "ZSTD" for f in files if pq.ParquetFile(f).metadata.num_rows)
