@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import among, cut, let, row_key, text_or_empty
+from .common import Among, among, cut, let, row_key, text_or_empty
 from .tokens import Hasher, byte_texts, chunks, joined, mix, signed
 
 _PLACE = "no_id boolean, doc_id long, rk long, line_no int"
@@ -156,18 +156,31 @@ def _within_one_edit(fuzzy_words: int):
     return run
 
 
-def _picked_lines(batches: Iterator) -> Iterator:
-    """The lines asked for of each document: (no, line)."""
-    import pyarrow as pa
+_STEP = 0x5851F42D  # odd, so that the lines of a document differ in their spots' low bits
 
-    for batch in batches:
-        no, lines = [], []
-        for text, want in zip(byte_texts(batch.column("text")), batch.column("want").to_pylist()):
-            split = text.split(b"\n")
-            for w in want:
-                no.append(w["no"])
-                lines.append(split[w["line_no"]])
-        yield pa.RecordBatch.from_arrays([pa.array(no, pa.int64()), pa.array(lines, pa.binary()).cast(pa.string())], names=["no", "line"])
+
+def _picked_lines(wanted: Among):
+    """(rk, line_no, line) of the lines whose spot, their row key and number in one hash, is among the wanted ones."""
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            texts = byte_texts(batch.column("text"))
+            for lo, hi in chunks(texts):
+                count = np.array([t.count(b"\n") + 1 for t in texts[lo:hi]], np.int64)
+                doc = np.repeat(np.arange(lo, hi), count)
+                line = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+                spots = batch.column("rk").to_numpy()[doc] ^ (line * _STEP)
+                at = pa.RecordBatch.from_arrays([pa.array(spots), pa.array(doc), pa.array(line.astype(np.int32))], names=["spot", "doc", "line_no"])
+                at = wanted.of(at, "spot")
+                lines, last, split = [], -1, []
+                for d, i in zip(at.column("doc").to_pylist(), at.column("line_no").to_pylist()):
+                    if d != last:
+                        last, split = d, texts[d].split(b"\n")
+                    lines.append(split[i])
+                yield pa.RecordBatch.from_arrays([batch.column("rk").take(at.column("doc")), at.column("line_no"), pa.array(lines, pa.binary()).cast(pa.string())],
+                                                 names=["rk", "line_no", "line"])
+    return run
 
 
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fuzzy_words: int = 8,
@@ -201,9 +214,11 @@ def _near_keepers(base: DataFrame, least: DataFrame, fuzzy_words: int) -> DataFr
     met = halves.join(shared, "half", "left_semi").select("whole").distinct()
     # Lines are told by numbers that grow with their place: a key costs 20 bytes, and the earliest line is the least number.
     placed = cut(least.join(met, "whole").select("whole", "at").orderBy("at").withColumn("no", F.monotonically_increasing_id()))
-    want = cut(placed.groupBy("at.rk").agg(F.collect_list(F.struct("no", "at.line_no")).alias("want")))
-    picked = base.select("rk", "text").join(want, "rk").dropDuplicates(["rk"]).select("text", "want")
-    lines = cut(picked.mapInArrow(_picked_lines, "no long, line string"))
+    # The lines are picked from the texts where these are read; rows that share a row key give a line several times.
+    spots = placed.select("no", "at.rk", "at.line_no", F.col("at.rk").bitwiseXOR(F.col("at.line_no").cast("long") * _STEP).alias("spot"))
+    picked = base.select("rk", "text").mapInArrow(_picked_lines(Among(spots, "spot")), "rk long, line_no int, line string")
+    picked = picked.groupBy("rk", "line_no").agg(F.min("line").alias("line"))
+    lines = cut(picked.join(spots, ["rk", "line_no"]).select("no", "line"))
     filed = cut(lines.mapInArrow(_deletions(fuzzy_words), "key long, place int, no long"))
     whole_line = F.min(F.when(F.col("place") < 0, F.col("no"))).alias("f")
     deletion = F.min(F.when(F.col("place") >= 0, F.col("no"))).alias("d")

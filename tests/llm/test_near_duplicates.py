@@ -1,6 +1,7 @@
 """Operators on repeated text against brute force: suffix dedup, line dedup, n-gram join, decontamination."""
 
 import itertools
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lienlake.llm import decontamination, line_dedup, ngram_join, suffix_dedup
-from lienlake.llm.common import Among, among
+from lienlake.llm.common import Among, among, cut
 from lienlake.llm.components import components, joined_components
 from lienlake.llm.tokens import Hasher
 
@@ -251,6 +252,39 @@ def test_dropping_lines(edges, nothing):
     assert [i for i, _ in rows].count(2) == 0 and line_dedup.drop_duplicate_lines(nothing).count() == 0
 
 
+def shuffled(df):
+    """What each exchange of the plan of ``df`` is given."""
+    parts = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted").split("\n(")
+    return [x for p in parts if re.match(r"\d+\) (Broadcast)?Exchange", p) for x in re.findall(r"Input.*", p)]
+
+
+def test_line_dedup_shuffles_no_text(spark, monkeypatch, edges):
+    """Lines are picked where the texts are read, however many are wanted: the texts were shuffled to meet the numbers."""
+    seen = []
+
+    def spy(df):
+        seen.extend(shuffled(df))
+        return cut(df)
+    monkeypatch.setattr(line_dedup, "cut", spy)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        seen.extend(shuffled(line_dedup.duplicate_lines(edges)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert any("rk#" in x and "line_no#" in x for x in seen) and not any("text#" in x for x in seen)
+
+
+def test_lines_are_picked_from_rows_that_share_id_and_text(spark):
+    """Each wanted line comes once, from texts of several chunks too."""
+    line = "one two three four five six seven eight nine"
+    long = "\n".join([line, *(f"w{i} is on no other line at all but here" * 3 for i in range(20_000)), line.replace("five", "5")])
+    rows = [(1, long), (1, long), (2, "x\n" + line + " ten"), (2, "x\n" + line + " ten"), (None, line.replace("one", "1")), (None, line.replace("one", "1"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["line_no"], r["keep_doc_id"], r["keep_line_no"], r["edits"]) for r in line_dedup.duplicate_lines(docs).collect()), key=str)
+    assert got == [(1, 20_001, 1, 0, 1), (2, 1, 1, 0, 1), (None, 0, 1, 0, 1)]
+
+
 # ---- passages ------------------------------------------------------------------
 
 def brute_passages(rows, width=50):
