@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import crc_bucket, cut, labelled_sample, row_key, text_or_empty
-from .tokens import chunks, mix
+from .tokens import mix
 
 SHORTEST, LONGEST, BITS = 3, 6, 21
 
@@ -62,13 +62,17 @@ class Grams:
                     yield (g >> np.uint64(64 - self.bits)).astype(np.int64), number[whole]
 
 
-def _texts(column) -> list:
-    return [t or "" for t in column.to_pylist()]
+def _parts(column):
+    """The texts of an Arrow column by runs of about a quarter of a million bytes, so that a batch is never whole in Python:
+    (first row, row after the last, texts)."""
+    import pyarrow.compute as pc
 
-
-def _parts(texts: list):
-    """Runs of texts of about a quarter of a million characters."""
-    yield from chunks(texts, 1 << 18)
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    lo = 0
+    while lo < len(sizes):
+        hi = lo + max(1, int(np.searchsorted(np.cumsum(sizes[lo : lo + (1 << 14)] + 1), 1 << 18, "right")))
+        yield lo, hi, [t or "" for t in column.slice(lo, hi - lo).to_pylist()]
+        lo = hi
 
 
 def _counts(batches: Iterator) -> Iterator:
@@ -77,11 +81,13 @@ def _counts(batches: Iterator) -> Iterator:
 
     grams, table = Grams(), np.zeros((2, 1 << BITS), np.int32)
     for batch in batches:
-        texts, labels = _texts(batch.column("text")), batch.column("label").to_numpy()
-        for lo, hi in _parts(texts):
-            for bucket, number in grams(texts[lo:hi]):
+        labels = batch.column("label").to_numpy()
+        for lo, hi, texts in _parts(batch.column("text")):
+            for bucket, number in grams(texts):
                 seen = np.unique((number.astype(np.int64) << BITS) | bucket)
-                table += _by_label(seen, labels[lo:hi])
+                kind = labels[lo:hi][seen >> BITS]
+                for k in (0, 1):
+                    np.add.at(table[k], seen[kind == k] & ((1 << BITS) - 1), np.int32(1))
     found = np.flatnonzero(table.any(0))
     for at in range(0, len(found), 50_000):
         b = found[at : at + 50_000]
@@ -89,11 +95,6 @@ def _counts(batches: Iterator) -> Iterator:
                                          names=["bucket", "toxic", "other"])
 
 
-def _by_label(seen, labels):
-    kind = labels[seen >> BITS]
-    return np.stack([np.bincount((seen & ((1 << BITS) - 1))[kind == k], minlength=1 << BITS) for k in (0, 1)]).astype(np.int32)
-
-
 def _present(slot):
     """Of each text the numbers of the selected features that it has; ``slot``: broadcast table bucket -> number or -1."""
     def run(batches: Iterator) -> Iterator:
@@ -101,10 +102,9 @@ def _present(slot):
 
         grams, table = Grams(), slot.value
         for batch in batches:
-            texts = _texts(batch.column("text"))
-            for lo, hi in _parts(texts):
+            for lo, hi, texts in _parts(batch.column("text")):
                 pairs = [((number[k := np.flatnonzero(table[bucket] >= 0)]).astype(np.int64) << 32) | table[bucket[k]]
-                         for bucket, number in grams(texts[lo:hi])]
+                         for bucket, number in grams(texts)]
                 pairs = np.unique(np.concatenate(pairs))
                 ends = np.searchsorted(pairs >> 32, np.arange(hi - lo + 1))
                 yield pa.RecordBatch.from_arrays(
@@ -114,28 +114,40 @@ def _present(slot):
     return run
 
 
+def _score(table, intercept: float, column):
+    """Score of each text of an Arrow column; ``table``: the buckets' weights, 0 where not selected."""
+    grams, out = Grams(), np.zeros(len(column))
+    for lo, hi, texts in _parts(column):
+        pairs = []
+        for bucket, number in grams(texts):
+            k = np.flatnonzero(table[bucket])
+            pairs.append((number[k].astype(np.int64) << BITS) | bucket[k])
+        pairs = np.unique(np.concatenate(pairs))
+        out[lo:hi] = np.bincount(pairs >> BITS, table[pairs & ((1 << BITS) - 1)], hi - lo)
+    return 1 / (1 + np.exp(-np.clip(out + intercept, -30, 30)))
+
+
 def _scores(weights, intercept: float):
-    """Score of each text; ``weights``: broadcast table of the buckets' weights, 0 where not selected."""
+    """The rows with the score of their text in its place; ``weights``: broadcast table of the buckets' weights."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        grams, table = Grams(), weights.value
         for batch in batches:
-            texts = _texts(batch.column("text"))
-            out = np.zeros(len(texts))
-            for lo, hi in _parts(texts):
-                pairs = []
-                for bucket, number in grams(texts[lo:hi]):
-                    k = np.flatnonzero(table[bucket])
-                    pairs.append((number[k].astype(np.int64) << BITS) | bucket[k])
-                pairs = np.unique(np.concatenate(pairs))
-                out[lo:hi] = np.bincount(pairs >> BITS, table[pairs & ((1 << BITS) - 1)], hi - lo)
-            score = 1 / (1 + np.exp(-np.clip(out + intercept, -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in batch.schema.names if c != "text"] + [pa.array(score)],
-                                             names=[c for c in batch.schema.names if c != "text"] + ["score"])
+            score, others = _score(weights.value, intercept, batch.column("text")), [c for c in batch.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in others] + [pa.array(score)], names=[*others, "score"])
     return run
 
 
+def _score_of(weights, intercept: float):
+    """The score as a function of a text column, which leaves the other columns in Spark."""
+    import pyarrow as pa
+
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array(_score(weights.value, intercept, texts))
+    run.__annotations__ = {"texts": pa.Array, "return": pa.Array}  # the module's annotations are strings
+    return F.arrow_udf(run, "double")
+
+
 @dataclass
 class Model:
     """Weights of the selected buckets and the intercept."""
@@ -234,7 +246,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
-    """``docs`` without the rows whose text is predicted to be toxic."""
+    """``docs`` without the rows whose text is predicted to be toxic.  A score is of the text alone, so each row is judged
+    where it is read: no text is shuffled."""
     model = fit(docs, labels, id_col, text_col)
-    gone = score(docs, model, id_col, text_col, threshold=threshold).filter("predicted = 1").select(F.col("rk").alias("__gone")).distinct()
-    return docs.join(gone, row_key(id_col, text_col) == F.col("__gone"), "left_anti")
+    score_of = _score_of(docs.sparkSession.sparkContext.broadcast(model.table()), model.intercept)
+    return docs.filter(score_of(text_or_empty(text_col)) < threshold)
