@@ -15,7 +15,16 @@ chooses the number of deep segments and spare shares of a band by cost: keys
 written against sets that are expected to meet by accident.  In bands without
 deep segments T is larger by SHARED - 1, so that linked sets share at least
 SHARED keys there; in the others they are sure of one key only.  A key's lowest
-bit tells which: it is 1 if the key alone makes its sets candidates.
+bit tells which: it is 1 if the key alone makes its sets candidates; its highest
+six bits are the band.
+
+A segment of one or two shingles that many texts have brings strangers together,
+more the larger the table.  So in bands without deep segments T grows by
+``left_out`` more, and each set leaves out so many of its keys, those filed most
+often.  The order is the same for all sets: the i-th of the keys that two sets
+share stands i-th or later in either's own order, so the pair loses the first
+``left_out`` of them at most and still shares SHARED.  (The same holds for empty
+segments, in the order of their numbers.)
 
 Sets that share a key are candidates.  The pairs of a group of up to ``SMALL``
 sets are written out and counted; those that share enough keys are held against
@@ -60,7 +69,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Among, among, cut, row_key, text_or_empty
@@ -73,6 +82,9 @@ BAND = 1.6
 #: Linked sets share so many plain segments at least.
 SHARED = 3
 
+#: Bands in which linked sets differ in so many shingles at most may have deep segments.
+DEEP = 32
+
 #: The pairs of groups of up to SMALL sets are written out; larger groups are gathered around leaders, clusters of up
 #: to CLUSTER sets compared by fingerprints, and larger ones solved through what members add to their leader.
 SMALL, CLUSTER = 16, 4000
@@ -117,16 +129,23 @@ def band_start(b: int) -> int:
     return math.ceil(BAND**b)
 
 
+def left_out(b: int, threshold: int) -> int:
+    """How many of its keys a set leaves out in a band without deep segments."""
+    hi = band_start(b + 1) - 1
+    return 3 * (most_different(hi, hi, threshold) + 1) // 20
+
+
 def allocate(b: int, threshold: int) -> tuple[int, int, int]:
     """(plain segments, deep segments, spare shares) of a band, by least cost.
 
     Keys cost 1 each, a deep segment one more for every shingle in it; an empty plain segment beyond the spare
-    ones, or a segment of one shingle, costs ``meet`` keys for the strangers that it brings together."""
+    ones, or a segment of one shingle, costs ``meet`` keys for the strangers that it brings together.  Sets that may
+    differ in ``DEEP`` shingles or more have no deep segments; without any there are ``left_out`` more plain ones."""
     meet = 40.0
     lo, hi = band_start(b), band_start(b + 1) - 1
     size, need, best = (lo + hi) / 2, most_different(hi, hi, threshold) + 1, None
     for spare in range(0, 13):
-        for deep in range(0, min((need + spare) // 2, 4) + 1):
+        for deep in range(0, min((need + spare) // 2, 4 * (need <= DEEP)) + 1):
             total = need + spare + (0 if deep else SHARED - 1)
             share = size / total
             empty = math.exp(-share)
@@ -137,11 +156,13 @@ def allocate(b: int, threshold: int) -> tuple[int, int, int]:
             cost = plain + deep * (1 + 2 * share) + meet * (over + alone)
             if best is None or cost < best[0] - 1e-9:
                 best = (cost, plain, deep, spare)
-    return best[1:]
+    _, plain, deep, spare = best
+    return (plain, deep, spare) if deep else (plain + left_out(b, threshold), deep, spare)
 
 
 def keys_of(shingles, b: int, plan: tuple[int, int, int]):
-    """The keys under which a set is filed in band b; their lowest bit is 1 if the band has deep segments."""
+    """The keys under which a set is filed in band b, which their highest six bits tell; their lowest bit is 1 if the band
+    has deep segments."""
     plain, deep, spare = plan
     share = mix(shingles, 11 + b) % np.uint64(plain + 2 * deep)
     code = mix(shingles, 23)
@@ -162,7 +183,7 @@ def keys_of(shingles, b: int, plan: tuple[int, int, int]):
         inside = segment < deep
         at = segment[inside]
         found.append(mix((total[at] - code[inside]) ^ place[at]))
-    return np.unique(np.concatenate(found) & ~np.uint64(1) | np.uint64(deep > 0))
+    return np.unique(np.concatenate(found) >> np.uint64(6) & ~np.uint64(1) | np.uint64(deep > 0) | np.uint64(b << 58))
 
 
 def fingerprint(shingles, threshold: int) -> bytes:
@@ -327,6 +348,16 @@ def _several(filed: DataFrame, *key: str, by: str) -> DataFrame:
     return counted.filter("p0 <> p1").drop("p0", "p1")
 
 
+def _rarer(keyed: DataFrame, sized: DataFrame, threshold: int) -> DataFrame:
+    """(key, sid) without the keys that are left out: of each set and band, those of the largest size."""
+    plans = {b: allocate(b, threshold) for b in range(40)}
+    number = F.array(*[F.lit(0 if plans[b][1] else left_out(b, threshold)) for b in plans])
+    band = F.shiftrightunsigned("key", 58).cast("int")
+    place = F.row_number().over(Window.partitionBy("sid", band).orderBy(F.desc("size"), "key"))
+    met = keyed.join(sized, "key").withColumn("place", place)
+    return met.filter(F.col("place") > F.coalesce(F.get(number, band), F.lit(0))).select("key", "sid")
+
+
 def _led(crowd: DataFrame, *key: str) -> DataFrame:
     """Members (sid, turn, leader) of keys; the leader is the member with the least turn."""
     first = crowd.groupBy(*key).agg(F.min(F.struct("turn", "sid"))["sid"].alias("leader"))
@@ -390,6 +421,7 @@ def similarity_links(keyed: DataFrame, prints: DataFrame, sets_of, threshold: in
     # Most keys are filed once: those go by their number alone, a third of the bytes of what tells sets apart.
     often = cut(keyed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1").select("key"))
     keyed = cut(among(keyed, "key", often))
+    keyed = cut(_rarer(keyed, cut(_several(keyed, "key", by="sid")), threshold))
     shared = cut(_several(keyed, "key", by="sid"))
     groups = cut(keyed.join(shared, "key").select("key", "sid", "size", F.col("sid").alias("part")))
     # Linked sets share keys worth SHARED, so a set whose own shared keys are worth less has no link.

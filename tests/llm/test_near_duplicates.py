@@ -442,3 +442,46 @@ def test_equal_sets_are_filed_once(spark):
     filing = Among(docs.filter("rk in (0, 5)"), "rk")
     keyed = docs.mapInArrow(ngram_join._file(4, 85, filing), "key long, sid long")
     assert keyed.groupBy("sid", "key").count().filter("count > 1").isEmpty() and keyed.select("sid").distinct().count() == 2
+
+
+def test_strangers_with_common_passages_leave_no_large_groups(spark):
+    """Texts of their own that share a third of their shingles, one or two of a segment: those keys are left out, and a
+    near copy of each is still found."""
+    rng = np.random.default_rng(5)
+    common = rng.integers(0, 2**63, 150, np.uint64)
+    b, rows, pairs = ngram_join.band_of(330), [], []
+    plan = ngram_join.allocate(b, 80)
+    for i in range(60):
+        x = np.append(rng.integers(0, 2**63, 270, np.uint64), rng.choice(common, 60, replace=False))
+        y = np.append(rng.integers(0, 2**63, 33, np.uint64), x[33:])
+        pairs.append((2 * i, 2 * i + 1))
+        for sid, z in zip(pairs[-1], (x, y)):
+            rows += [(int(key), sid) for key in ngram_join.keys_of(np.unique(z), b, plan).view(np.int64)]
+    keyed = spark.createDataFrame(rows, "key long, sid long")
+    sized = ngram_join._several(keyed, "key", by="sid")
+    assert sized.filter(F.col("size") > ngram_join.SMALL).count() > 10
+    kept = ngram_join._rarer(keyed, sized, 80)
+    assert ngram_join._several(kept, "key", by="sid").filter(F.col("size") > ngram_join.SMALL).isEmpty()
+    of = {}
+    for r in kept.collect():
+        of.setdefault(r["sid"], set()).add(r["key"])
+    assert all(len(of[x] & of[y]) >= ngram_join.SHARED for x, y in pairs)
+
+
+@pytest.mark.parametrize("threshold", [85, 80])
+def test_linked_sets_share_enough_keys_that_are_not_left_out(threshold):
+    """Whatever order all sets leave out their first keys in, SHARED of those that linked sets share remain."""
+    rng = np.random.default_rng(threshold)
+    for size in (90, 300, 1500, 3000):
+        b = ngram_join.band_of(size)
+        plan, gone = ngram_join.allocate(b, threshold), ngram_join.left_out(b, threshold)
+        assert plan[1] == 0 and gone > 0
+        for i in range(40):
+            x = rng.integers(0, 2**63, size, np.uint64)
+            most = ngram_join.most_different(size, size, threshold) // 2
+            y = np.append(rng.integers(0, 2**63, most, np.uint64), x[most:])
+            k, m = (np.sort(ngram_join.keys_of(np.unique(z), b, plan) >> np.uint64(i % 3)) for z in (x, y))
+            if i % 2:  # what they share goes first
+                both = np.intersect1d(k, m)
+                k, m = (np.append(both, np.setdiff1d(z, both)) for z in (k, m))
+            assert len(np.intersect1d(k[gone:], m[gone:])) >= ngram_join.SHARED
