@@ -73,9 +73,21 @@ def seed_frames(m: LendingModel) -> dict[str, DataFrame]:
     return {name: df.select(*seeds.columns_of(name)) for name, df in frames.items()}
 
 
+#: Lines of a seed file's part: a compressed part is read by one task.
+PART_LINES = 1_000_000
+
+
+def write_seeds(frames: dict[str, DataFrame], folder: str) -> None:
+    """The seed files as concurrent jobs, in compressed parts: their text is several times as large as the tables."""
+    def write(name: str) -> None:
+        frames[name].write.options(header=True, compression="gzip", maxRecordsPerFile=PART_LINES, **{"zlib.compress.level": "BEST_SPEED"}).csv(f"{folder}/{name}.csv")
+
+    run_parallel({name: lambda name=name: write(name) for name in frames})
+
+
 def _landed(m: LendingModel) -> Lake:
     folder, lake = scratch_path(m.spark, "seeds"), Lake(m.spark, scratch_path(m.spark, "lake"), autoflush=False)
-    run_parallel({name: lambda name=name, df=df: df.write.option("header", True).csv(f"{folder}/{name}.csv") for name, df in seed_frames(m).items()})
+    write_seeds(seed_frames(m), folder)
     seeds.land_seeds(m.spark, folder, lake)
     return lake
 

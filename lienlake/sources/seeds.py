@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..plans.eod import run_parallel
 from ..session import remove_dir, scratch_path
-from ..sinks.publish import Lake
+from ..sinks.publish import CODEC, Lake
 from .files import CORRUPT_COL
 
 # The seed files' columns, and the source table that each file is.
@@ -59,7 +59,7 @@ def land_seeds(spark: SparkSession, folder: str, lake: Lake, ingested_at: dt.dat
     columns (Spark checks no column that a query leaves out).  The files are independent and land as concurrent jobs."""
     def land(name: str) -> None:
         staged = scratch_path(spark, "lines", name)
-        read_seed(spark, folder, name, ingested_at).write.parquet(staged)
+        read_seed(spark, folder, name, ingested_at).write.option("compression", CODEC).parquet(staged)
         lines = spark.read.parquet(staged)
         bad = F.col(CORRUPT_COL).isNotNull()
         lake.publish_replace(lines.filter(~bad).drop(CORRUPT_COL), "bronze", name)

@@ -98,3 +98,32 @@ def test_published_tables_are_zstd_files(spark, scratch):
     path = Lake(spark, scratch).publish_replace(spark.range(1000), "silver", "t")
     files = glob.glob(f"{local_path(path)}/*.parquet")
     assert files and all(pq.ParquetFile(f).metadata.row_group(0).column(0).compression == "ZSTD" for f in files if pq.ParquetFile(f).metadata.num_rows)
+
+
+def test_seed_files_and_staged_lines_are_compressed(spark, scratch, monkeypatch):
+    """Parts of a seed file are compressed and of bounded length, staged lines have the published tables' codec; rows land as written."""
+    import glob
+    import pyarrow.parquet as pq
+
+    from lienlake.plans import seed_queries
+    from lienlake.session import local_path
+    from lienlake.sources import seeds
+
+    monkeypatch.setattr(seed_queries, "PART_LINES", 10)
+    staged = []
+    monkeypatch.setattr(seeds, "remove_dir", lambda spark, path: staged.append(path))
+    ids = spark.range(25).coalesce(1).selectExpr("concat('00', id) AS first")
+    rest = lambda name: [f"CAST(NULL AS string) AS {c}" for c in seeds.columns_of(name)[1:]]
+    frames = {name: ids.selectExpr(f"first AS {seeds.columns_of(name)[0]}", *rest(name)) for name in seeds.SEEDS}
+    frames["loans"] = frames["loans"].selectExpr("* EXCEPT (outstanding)", "if(loan_id = '007', 'n/a', '1.5') AS outstanding").select(*seeds.columns_of("loans"))
+    seed_queries.write_seeds(frames, f"{scratch}/seeds")
+    for name in seeds.SEEDS:
+        parts = glob.glob(f"{local_path(scratch)}/seeds/{name}.csv/part-*")
+        assert len(parts) == 3 and all(p.endswith(".csv.gz") for p in parts)
+    lake = Lake(spark, f"{scratch}/lake", autoflush=False)
+    seeds.land_seeds(spark, f"{scratch}/seeds", lake)
+    files = [f for s in staged for f in glob.glob(f"{local_path(s)}/*.parquet")]
+    assert len(staged) == len(seeds.SEEDS) and all(pq.ParquetFile(f).metadata.row_group(0).column(0).compression == "ZSTD" for f in files)
+    assert {name: lake.read("bronze", name).count() for name in seeds.SEEDS} == dict.fromkeys(seeds.SEEDS, 25) | {"loans": 24}
+    assert [r["line"][:4] for r in lake.read("bronze", "loans_rejected").collect()] == ["007,"]
+    assert sorted(r[0] for r in lake.read("bronze", "schemes").select("scheme_code").collect()) == sorted(f"00{i}" for i in range(25))
